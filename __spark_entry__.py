@@ -76,7 +76,9 @@ def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ul.extract_facts(_sources(spark, sf_dir))
+    # Spread the events before their code is made, so that no text is shuffled.
+    events = corpus.read_events(spark, sf_dir).select("event_id", "event_type", "user_id", "props")
+    return ul.extract_facts(corpus.code_sources(ul.widen(events)))
 
 
 def _stored_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,10 +20,43 @@ from usagelens.schemas import FACTS
 # Ship the worker code inside the task, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_COLUMNS = FACTS.names
 _FACTS_ARROW = to_arrow_schema(FACTS)
 _ROWS_PER_BATCH = 20_000
 
+# The columns each kind of fact fills; the others are null.
+_FILLED = {
+    "import": (
+        "repo",
+        "path",
+        "seq",
+        "line",
+        "col",
+        "alias_pos",
+        "is_from",
+        "module",
+        "level",
+        "name",
+        "local_name",
+        "is_aliased",
+        "statement_names",
+    ),
+    "definition": ("repo", "path", "seq", "line", "col", "definition_kind", "name"),
+    "call": ("repo", "path", "line", "col", "base_name", "attr_chain", "signature_shape"),
+    "diagnostic": ("repo", "path", "line", "col", "message"),
+}
+
+
+# Fields of syntax nodes that never have calls or imports below them.
+_BARE = {"arg", "asname", "attr", "ctx", "id", "kind", "level", "lineno", "module", "name", "names"}
+_BARE |= {"op", "ops", "tag", "type_comment"}
+
+# The fields to follow from each type of node; a constant's value is no node.
+_CHILDREN = {
+    node: tuple(field for field in node._fields if field not in _BARE)
+    for node in vars(ast).values()
+    if isinstance(node, type) and issubclass(node, ast.AST) and node is not ast.Constant
+}
+
 
 def extract_facts(sources: DataFrame) -> DataFrame:
     """Imports, definitions, calls and diagnostics of every file in ``sources``.
@@ -86,107 +119,119 @@ def diagnostics(facts: DataFrame) -> DataFrame:
 
 
 def _facts_of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pending = []
+    pending = {kind: [] for kind in _FILLED}
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
         for batch in batches:
-            repo, path, content = (batch.column(i) for i in range(3))
-            for i in range(batch.num_rows):
-                where = {"repo": repo[i].as_py(), "path": path[i].as_py()}
-                for fact in _facts_of_file(where["path"], content[i].as_py()):
-                    pending.append({**where, **fact})
-                if len(pending) >= _ROWS_PER_BATCH:
-                    yield _to_arrow(pending)
-                    pending = []
-    if pending:
-        yield _to_arrow(pending)
-
-
-def _to_arrow(rows: list[dict]) -> pa.RecordBatch:
+            for repo, path, content in zip(*(batch.column(i) for i in range(3))):
+                where = (repo.as_py(), path.as_py())
+                for kind, *values in _facts_of_file(where[1], content.as_py()):
+                    rows = pending[kind]
+                    rows.append((*where, *values))
+                    if len(rows) >= _ROWS_PER_BATCH:
+                        yield _to_arrow(kind, rows)
+                        rows.clear()
+    for kind, rows in pending.items():
+        if rows:
+            yield _to_arrow(kind, rows)
+
+
+def _to_arrow(kind: str, rows: list[tuple]) -> pa.RecordBatch:
+    filled = dict(zip(_FILLED[kind], zip(*rows)))
+    filled["kind"] = [kind] * len(rows)
     arrays = [
-        pa.array([row.get(column) for row in rows], type=_FACTS_ARROW.field(column).type)
-        for column in _COLUMNS
+        pa.array(filled[field.name], type=field.type)
+        if field.name in filled
+        else pa.nulls(len(rows), field.type)
+        for field in _FACTS_ARROW
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=_FACTS_ARROW)
 
 
-def _facts_of_file(path: str, content: str | bytes | None) -> list[dict]:
+def _facts_of_file(path: str, content: str | bytes | None) -> Iterator[tuple]:
+    """Tuples of a kind and the values of its columns after repo and path."""
     try:
         text = content.decode("utf-8") if isinstance(content, bytes) else content or ""
         tree = ast.parse(text, filename=path)
-        nodes = list(ast.walk(tree))
     except SyntaxError as error:
-        return [_diagnostic(str(error), error.lineno or 0, error.offset or 0)]
+        yield "diagnostic", error.lineno or 0, error.offset or 0, _plain(str(error))
+        return
     except Exception as error:
-        return [_diagnostic(f"Unexpected error while parsing: {error}", 0, 0)]
+        yield "diagnostic", 0, 0, _plain(f"Unexpected error while parsing: {error}")
+        return
+
+    statements = []
+    unseen = [tree]
+    while unseen:
+        node = unseen.pop()
+        if isinstance(node, ast.Call):
+            yield from _call_fact(node)
+        elif isinstance(node, (ast.Import, ast.ImportFrom)):
+            statements.append(node)
+        for field in _CHILDREN.get(type(node), ()):
+            value = getattr(node, field)
+            if isinstance(value, list):
+                unseen += value
+            elif value is not None:
+                unseen.append(value)
 
-    statements = [n for n in nodes if isinstance(n, (ast.Import, ast.ImportFrom))]
-    statements.sort(key=lambda n: (n.lineno, n.col_offset))
-    bindings = [row for node in statements for row in _import_rows(node)]
-    bindings += [row for node in tree.body for row in _definition_rows(node)]
     # Binding order within the file: imports in source order, then definitions.
-    for seq, row in enumerate(bindings):
-        row["seq"] = seq
-    return bindings + [row for node in nodes if isinstance(node, ast.Call) for row in _call_row(node)]
-
-
-def _at(kind: str, node: ast.AST) -> dict:
-    return {"kind": kind, "line": node.lineno, "col": node.col_offset}
-
-
-def _diagnostic(message: str, line: int, column: int) -> dict:
+    statements.sort(key=lambda node: (node.lineno, node.col_offset))
+    seq = 0
+    for node in statements:
+        for values in _import_values(node):
+            yield "import", seq, node.lineno, node.col_offset, *values
+            seq += 1
+    for node in tree.body:
+        for values in _definition_values(node):
+            yield "definition", seq, node.lineno, node.col_offset, *values
+            seq += 1
+
+
+def _plain(message: str) -> str:
     # A message may quote unpaired surrogates from the file, which Arrow text cannot hold.
-    message = message.encode("utf-8", "replace").decode("utf-8")
-    return {"kind": "diagnostic", "message": message, "line": line, "col": column}
+    return message.encode("utf-8", "replace").decode("utf-8")
 
 
-def _import_rows(node: ast.Import | ast.ImportFrom) -> Iterator[dict]:
-    is_from = isinstance(node, ast.ImportFrom)
+def _import_values(node: ast.Import | ast.ImportFrom) -> Iterator[tuple]:
     for pos, alias in enumerate(node.names):
-        row = _at("import", node) | {"alias_pos": pos, "is_from": is_from}
-        row["is_aliased"] = alias.asname is not None
-        if is_from:
-            row |= {"module": node.module, "level": node.level, "name": alias.name}
-            row["local_name"] = alias.asname or alias.name
+        aliased = alias.asname is not None
+        if isinstance(node, ast.ImportFrom):
+            local = alias.asname or alias.name
             # The first alias carries the whole statement, so edges need no regrouping.
-            row["statement_names"] = [a.name for a in node.names] if pos == 0 else None
+            names = [a.name for a in node.names] if pos == 0 else None
+            yield pos, True, node.module, node.level, alias.name, local, aliased, names
         else:
-            row |= {"module": alias.name, "level": 0}
-            row["local_name"] = alias.asname or alias.name.partition(".")[0]
-        yield row
+            local = alias.asname or alias.name.partition(".")[0]
+            yield pos, False, alias.name, 0, None, local, aliased, None
 
 
-def _definition_rows(node: ast.stmt) -> Iterator[dict]:
+def _definition_values(node: ast.stmt) -> Iterator[tuple]:
     match node:
         case ast.FunctionDef() | ast.AsyncFunctionDef():
-            kind, names = "function", [node.name]
+            yield "function", node.name
         case ast.ClassDef():
-            kind, names = "class", [node.name]
+            yield "class", node.name
         case ast.Assign():
-            kind, names = "variable", [t.id for t in node.targets if isinstance(t, ast.Name)]
+            for target in node.targets:
+                if isinstance(target, ast.Name):
+                    yield "variable", target.id
         case ast.AnnAssign(target=ast.Name()):
-            kind, names = "variable", [node.target.id]
-        case _:
-            return
-    for name in names:
-        yield _at("definition", node) | {"definition_kind": kind, "name": name}
+            yield "variable", node.target.id
 
 
-def _call_row(node: ast.Call) -> Iterator[dict]:
+def _call_fact(node: ast.Call) -> Iterator[tuple]:
     attrs, root = [], node.func
     while isinstance(root, ast.Attribute):
         attrs.append(root.attr)
         root = root.value
     if isinstance(root, ast.Name):
-        starred = [isinstance(arg, ast.Starred) for arg in node.args]
-        keywords = [kw.arg for kw in node.keywords]
-        yield _at("call", node) | {
-            "base_name": root.id,
-            "attr_chain": attrs[::-1],
-            "signature_shape": {
-                "positional_count": starred.count(False),
-                "keyword_args": sorted(k for k in keywords if k is not None),
-                "has_varargs": any(starred),
-                "has_varkw": None in keywords,
-            },
+        positional = sum(not isinstance(arg, ast.Starred) for arg in node.args)
+        keywords = [keyword.arg for keyword in node.keywords]
+        shape = {
+            "positional_count": positional,
+            "keyword_args": sorted(name for name in keywords if name is not None),
+            "has_varargs": positional < len(node.args),
+            "has_varkw": None in keywords,
         }
+        yield "call", node.lineno, node.col_offset, root.id, attrs[::-1], shape

@@ -8,6 +8,7 @@ from usagelens.operators.bindings import bindings, symbols
 from usagelens.operators.extract import calls, imports
 from usagelens.operators.import_graph import import_edges, module_index
 from usagelens.operators.lookup import lookup_join
+from usagelens.storage import store
 
 MODES = ("reference", "full")
 
@@ -146,10 +147,11 @@ def resolve_qualified(
     """Resolve ``base_name.attr_name`` rows: the base as above, the attribute in its local file.
 
     Adds the columns of ``resolve_names`` plus ``attr_found``, ``attr_target`` and
-    ``attr_defining_file``; the attribute of anything but a local import is not looked up.
+    ``attr_defining_file``; the attribute of anything but a local import is not looked up. The
+    resolved bases are stored, as the lookup reads them several times.
     """
     base = resolve_names(names.withColumn("name", F.col("base_name")), facts, files, mode)
-    base = base.drop("name")
+    base = store(base.drop("name"), "bases")
     attributes = symbols(facts).select(
         "repo",
         F.col("path").alias("defining_file"),

@@ -7,8 +7,6 @@ a scan finds in it can be stated in SQL. This is what the registered queries and
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.operators.extract import widen
-
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -79,7 +77,7 @@ def code_sources(events: DataFrame) -> DataFrame:
     folder = (
         F.when(kind == "view", "src/views/").when(kind == "error", ".venv/lib/").otherwise("pkg/")
     )
-    files = widen(events.select("event_id", "event_type", "user_id", "props")).select(
+    files = events.select(
         event_repo().alias("repo"),
         F.concat(folder, F.lit("e"), "event_id", F.lit(".py")).alias("path"),
         content.alias("content"),
