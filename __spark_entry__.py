@@ -21,8 +21,9 @@ from usagelens import functions as fn
 from usagelens.operators.exposure import with_default_severity
 from usagelens.operators.usage import REPO_KEYS
 from usagelens.plans import event_corpus as corpus
+from usagelens.plans.scan import run_scan_job
 from usagelens.schemas import REPO_USAGE_DAILY, USAGE, USAGE_DAILY
-from usagelens.sinks import overwrite, require_columns
+from usagelens.sinks import overwrite, require_columns, send_events
 from usagelens.sources import keep_libraries, keep_paths, read_parts, read_usage
 from usagelens.storage import scratch_path, store
 from usagelens.streaming import daily_usage_stream, read_days, write_days
@@ -703,6 +704,17 @@ def call_event_messages(spark, sf_dir):
     )
 
 
+@_query(_CODE + _RESOLVED + "SELECT repo || '/' || file AS file, symbol_called, TIMESTAMP '2024-02-01'"
+        " AS event_time FROM api WHERE is_external")
+def event_topic(spark, sf_dir):
+    """Events sent to a topic, a Parquet folder here, and read back."""
+    found = ul.collect_api_calls(_stored_facts(spark, sf_dir), _files(spark, sf_dir))
+    path = scratch_path(spark, "topic")
+    send_events(ul.call_events(found, SCAN_TIME), fmt="parquet", path=path)
+    parsed = ul.parse_events(spark.read.parquet(path))
+    return _plain_time(parsed.select("file", "symbol_called", "event_time"))
+
+
 @_query(_CODE + _RESOLVED + "SELECT * FROM api WHERE is_external AND library IN ('os', 'clicklib')")
 def library_filter(spark, sf_dir):
     found = ul.collect_api_calls(_stored_facts(spark, sf_dir), _files(spark, sf_dir))
@@ -774,6 +786,13 @@ def scan_summary(spark, sf_dir):
     return ul.scan_summary(facts, files, ul.collect_api_calls(facts, files))
 
 
+@_query(_ORACLES["scan_summary"])
+def scan_job(spark, sf_dir):
+    events = corpus.read_events(spark, sf_dir)
+    sources = corpus.code_sources(ul.widen(events))
+    return run_scan_job(sources, scratch_path(spark, "scan"), scan_time=SCAN_TIME).summary
+
+
 # --- tables and loads ---------------------------------------------------------------------------
 
 

@@ -1,0 +1,40 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from usagelens.operators.lookup import lookup_join
+
+
+@pytest.mark.parametrize("hot_keys", [1, 3, 1000])
+def test_equals_a_left_join_on_skewed_keys(spark, hot_keys):
+    """A third of the rows share one key that has no match, a third one that has."""
+    pick = random.Random(hot_keys)
+    keys = ["missing", "found"] + [f"k{i}" for i in range(50)]
+    weights = [25, 25] + [1] * 50
+    left = [(i, "r", pick.choices(keys, weights)[0]) for i in range(2000)]
+    right = [("r", "found", "hot")] + [("r", f"k{i}", f"v{i}") for i in range(0, 50, 2)]
+    left = spark.createDataFrame(left, "id int, repo string, key string")
+    right = spark.createDataFrame(right, "repo string, key string, value string")
+    joined = lookup_join(left, right, ["repo", "key"], hot_keys)
+    assert rows(joined, "id", "repo", "key", "value") == rows(
+        left.join(right, ["repo", "key"], "left"), "id", "repo", "key", "value"
+    )
+
+
+def test_broadcasts_are_bounded_and_hot_rows_not_shuffled(spark):
+    left = spark.range(1000).select((F.col("id") % 3).alias("key"), "id")
+    right = spark.range(3).select(F.col("id").alias("key"), F.lit("v").alias("value"))
+    joined = lookup_join(left, right, ["key"], hot_keys=2)
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=2" in text
+    assert joined.count() == 1000
+
+
+def test_empty_sides(spark):
+    left = spark.createDataFrame([], "key string, id int")
+    right = spark.createDataFrame([], "key string, value string")
+    one = spark.createDataFrame([("a", 1)], "key string, id int")
+    assert lookup_join(left, right, ["key"]).count() == 0
+    assert rows(lookup_join(one, right, ["key"]), "key", "id", "value") == [("a", 1, None)]

@@ -1,0 +1,104 @@
+import datetime as dt
+import json
+
+import pytest
+
+from tests.conftest import rows
+from usagelens.operators.usage import REPO_KEYS, daily_usage, library_days
+from usagelens.plans.usage import run_usage_job
+from usagelens.schemas import REPO_USAGE_DAILY
+from usagelens.sources import read_usage
+from usagelens.streaming import daily_usage_stream, read_days, write_days
+
+VALUE = "value string"
+
+
+def message(time, symbol="p.f", repo="r"):
+    library = symbol.split(".")[0]
+    return json.dumps({"repo": repo, "library": library, "symbol_called": symbol, "timestamp": time})
+
+
+class Topic:
+    """Messages as text files in a folder, read as a stream of ``value`` rows."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder = spark, folder
+        self.inbox = folder / "inbox"
+        self.inbox.mkdir()
+
+    def publish(self, name, *texts):
+        (self.inbox / f"{name}.txt").write_text("\n".join(texts))
+
+    def run(self):
+        stream = self.spark.readStream.text(str(self.inbox))
+        days, checkpoint = str(self.folder / "days"), str(self.folder / "checkpoint")
+        query = write_days(daily_usage_stream(stream), days, checkpoint)
+        query.awaitTermination()
+        found = read_days(self.spark, days)
+        return rows(found, "library", "symbol", "num_calls", "event_day_start")
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    return Topic(spark, tmp_path)
+
+
+def day(n):
+    return dt.datetime(2024, 1, n)
+
+
+def test_closed_days_are_written_and_the_last_stays_open(topic):
+    topic.publish(
+        "a",
+        message("2024-01-01T10:00:00Z"),
+        message("2024-01-01T11:00:00Z"),
+        message("2024-01-01T11:00:00Z", "q.g"),
+        message("2024-01-02T10:00:00Z"),
+        "not json",
+        '{"library": "p", "symbol_called": "p.f"}',
+    )
+    assert topic.run() == [("p", "p.f", 2, day(1)), ("q", "q.g", 1, day(1))]
+
+
+def test_restart_goes_on_and_drops_rows_of_written_days(topic):
+    topic.publish("a", message("2024-01-01T10:00:00Z"), message("2024-01-02T10:00:00Z"))
+    assert topic.run() == [("p", "p.f", 1, day(1))]
+    topic.publish("b", message("2024-01-01T12:00:00Z"), message("2024-01-03T10:00:00Z"))
+    assert topic.run() == [("p", "p.f", 1, day(1)), ("p", "p.f", 1, day(2))]
+    assert topic.run() == [("p", "p.f", 1, day(1)), ("p", "p.f", 1, day(2))]
+
+
+def test_a_day_stays_open_for_the_delay(topic):
+    topic.publish("a", message("2024-01-01T10:00:00Z"), message("2024-01-02T00:59:59Z"))
+    assert topic.run() == []
+    topic.publish("b", message("2024-01-01T23:00:00Z"), message("2024-01-02T01:00:00Z"))
+    assert topic.run() == [("p", "p.f", 2, day(1))]
+
+
+def test_run_without_messages_reads_as_no_rows(topic):
+    assert topic.run() == []
+
+
+def test_stream_equals_batch_on_closed_days(spark, tmp_path):
+    import usagelens as ul
+
+    start = dt.datetime(2024, 1, 30)
+    texts = [
+        message((start + dt.timedelta(hours=7 * i)).isoformat() + "Z", f"p.k{i % 3}", f"r{i % 2}")
+        for i in range(40)
+    ]
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "a.txt").write_text("\n".join(texts))
+    paths = {name: str(tmp_path / name) for name in ("days", "checkpoint", "usage")}
+    stream = spark.readStream.text(str(inbox))
+    run_usage_job(stream, paths["days"], paths["checkpoint"], paths["usage"])
+
+    events = ul.parse_events(spark.read.text(str(inbox)))
+    last = start + dt.timedelta(hours=7 * 39)
+    closed = daily_usage(events, REPO_KEYS).filter(f"event_day_end <= timestamp'{last}' - interval 1 hour")
+    days = read_days(spark, paths["days"], REPO_USAGE_DAILY)
+    assert rows(days, *closed.columns) == rows(closed)
+    assert rows(library_days(days)) == rows(library_days(closed))
+    months = rows(read_usage(spark, paths["usage"]), "time_window")
+    assert set(months) == {(dt.datetime(2024, 1, 1),), (dt.datetime(2024, 2, 1),)}

@@ -3,8 +3,6 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.operators.extract import definitions, imports
-
 
 def bindings(facts: DataFrame) -> DataFrame:
     """Every binding of a module-level name, numbered in binding order within its file.
@@ -13,30 +11,18 @@ def bindings(facts: DataFrame) -> DataFrame:
     as written, without its relative level; definitions have none. A relative import that names
     no module binds nothing.
     """
-    imported = (
-        imports(facts)
-        .filter(F.col("module").isNotNull())
-        .withColumn("target", F.concat_ws(".", "module", "name"))
-        .select(
-            "repo",
-            "path",
-            F.col("local_name").alias("name"),
-            "seq",
-            F.lit("import").alias("kind"),
-            "target",
-            _import_text().alias("declaration"),
-        )
-    )
-    defined = definitions(facts).select(
+    is_import = F.col("kind") == "import"
+    is_definition = F.col("kind") == "definition"
+    bound = facts.filter((is_import & F.col("module").isNotNull()) | is_definition)
+    return bound.select(
         "repo",
         "path",
-        "name",
+        F.coalesce("local_name", "name").alias("name"),
         "seq",
-        "kind",
-        F.lit(None).cast("string").alias("target"),
-        _definition_text().alias("declaration"),
+        F.coalesce("definition_kind", "kind").alias("kind"),
+        F.when(is_import, F.concat_ws(".", "module", "name")).alias("target"),
+        F.when(is_import, _import_text()).otherwise(_definition_text()).alias("declaration"),
     )
-    return imported.unionByName(defined)
 
 
 def symbols(facts: DataFrame) -> DataFrame:
@@ -83,8 +69,8 @@ def _import_text() -> Column:
 
 def _definition_text() -> Column:
     text = (
-        F.when(F.col("kind") == "function", F.format_string("def %s(...)", "name"))
-        .when(F.col("kind") == "class", F.format_string("class %s", "name"))
+        F.when(F.col("definition_kind") == "function", F.format_string("def %s(...)", "name"))
+        .when(F.col("definition_kind") == "class", F.format_string("class %s", "name"))
         .otherwise(F.format_string("%s = <value>", "name"))
     )
     return F.format_string("%s  (%s:%d:%d)", text, "path", "line", "col")

@@ -54,7 +54,7 @@ _BARE |= {"op", "ops", "tag", "type_comment"}
 _CHILDREN = {
     node: tuple(field for field in node._fields if field not in _BARE)
     for node in vars(ast).values()
-    if isinstance(node, type) and issubclass(node, ast.AST) and node is not ast.Constant
+    if isinstance(node, type) and issubclass(node, ast.AST) and not issubclass(node, ast.Constant)
 }
 
 

@@ -6,13 +6,16 @@ from pyspark.sql import SparkSession
 def build_session(app_name: str, **settings: str) -> SparkSession:
     """A session with event-time days and months in UTC.
 
-    Shuffle width is left to adaptive execution. Streaming state lives in RocksDB, off the heap.
+    Shuffles start three partitions per core wide, so that terabytes still fit a task's memory,
+    and adaptive execution merges what is small. Streaming state lives in RocksDB, off the heap.
+    Source files can be megabytes each, so few rows are decoded at a time.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.parquet.columnarReaderBatchSize", "512")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -22,4 +25,7 @@ def build_session(app_name: str, **settings: str) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(width, None) is None:
+        spark.conf.set(width, max(200, 3 * spark.sparkContext.defaultParallelism))
     return spark

@@ -12,7 +12,7 @@ from usagelens.operators.usage import SYMBOL_KEYS, daily_usage
 from usagelens.schemas import USAGE_DAILY
 
 DELAY = "1 hour"
-FILES_PER_LIBRARY = 8
+FILES_PER_LIBRARY = 32
 
 
 def daily_usage_stream(
@@ -26,13 +26,16 @@ def daily_usage_stream(
     return daily_usage(parse_events(messages).withWatermark("event_time", delay), keys)
 
 
-def write_days(days: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def write_days(
+    days: DataFrame, path: str, checkpoint: str, files_per_library: int = FILES_PER_LIBRARY
+) -> StreamingQuery:
     """Append closed days to Parquet, one folder per library, and stop when the input is used up.
 
-    A later run goes on from ``checkpoint``. Each library's rows go to a few tasks, chosen by
-    symbol: neither a file per task and library, nor one task for a hot library.
+    A later run goes on from ``checkpoint``. Rows are hashed into at most ``files_per_library``
+    tasks per library, so there is neither a file per state partition and library nor one task
+    that writes a hot library or symbol alone. Raise it where one library holds most rows.
     """
-    part = F.pmod(F.xxhash64("symbol"), F.lit(FILES_PER_LIBRARY))
+    part = F.pmod(F.xxhash64(*days.columns), F.lit(files_per_library))
     return (
         days.repartition("library", part)
         .writeStream.outputMode("append")
