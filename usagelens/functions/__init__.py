@@ -6,7 +6,13 @@ from usagelens.functions.names import (
     module_prefix,
     month_bucket,
 )
-from usagelens.functions.paths import display_path, module_name, relative_base, resolvable
+from usagelens.functions.paths import (
+    display_path,
+    module_name,
+    package_name,
+    relative_base,
+    resolvable,
+)
 
 __all__ = [
     "display_path",
@@ -15,6 +21,7 @@ __all__ = [
     "module_name",
     "module_prefix",
     "month_bucket",
+    "package_name",
     "relative_base",
     "resolvable",
 ]

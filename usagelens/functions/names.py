@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 def module_prefix(target: Column) -> Column:
     """The part before the last dot, or the whole target when it has none."""
-    prefix = F.regexp_extract(target, r"(?s)^(.*)\.[^.]*$", 1)
+    last = F.substring_index(target, ".", -1)
+    prefix = F.left(target, F.length(target) - F.length(last) - 1)
     return F.when(target.contains("."), prefix).otherwise(target)
 
 

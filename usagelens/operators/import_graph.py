@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions import module_name, relative_base, resolvable
+from usagelens.functions import module_name, package_name, relative_base, resolvable
 from usagelens.operators.extract import imports
 from usagelens.operators.lookup import lookup_join
 
@@ -15,13 +15,9 @@ def module_index(files: DataFrame) -> DataFrame:
     ``files`` needs repo and path, so over a source table the text is never read.
     """
     path = F.col("path")
-    package = F.regexp_extract(path, r"^(.+)/__init__\.py$", 1)
     candidates = F.array(
         F.struct(module_name(path).alias("module"), F.lit(1).alias("rank")),
-        F.struct(
-            F.nullif(F.replace(package, F.lit("/"), F.lit(".")), F.lit("")).alias("module"),
-            F.lit(2).alias("rank"),
-        ),
+        F.struct(package_name(path).alias("module"), F.lit(2).alias("rank")),
     )
     return (
         files.filter(resolvable(path))

@@ -29,49 +29,61 @@ def resolve_names(
     Names, bindings and edges of a file are brought together by one shuffle on (repo, path); both
     lookups are windows within it. ``facts`` should be a stored table.
     """
-    if mode not in MODES:
+    return _resolve(names, *_bound_and_edges(facts, files, mode))
+
+
+def _bound_and_edges(
+    facts: DataFrame, files: DataFrame, mode: str
+) -> tuple[DataFrame, DataFrame | None]:
+    """What names are bound to, and the edges to match targets with unless bindings have theirs."""
+    if mode == "full":
+        return _located_bindings(facts, files), None
+    if mode != "reference":
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    bound = bindings(facts).select(
+        "repo", "path", "name", F.col("target").alias("_target"), F.col("seq").alias("_rank")
+    )
+    edges = import_edges(facts, files).select(
+        "repo", "path", F.col("module").alias("_module"), F.col("file").alias("_file")
+    )
+    return bound, edges
+
+
+def _resolve(names: DataFrame, bound: DataFrame, edges: DataFrame | None) -> DataFrame:
     own = names.columns
-    rows = names.withColumn("_role", F.lit("use"))
-    if mode == "reference":
-        bound = bindings(facts).select(
-            "repo", "path", "name", F.col("target").alias("_target"), F.col("seq").alias("_rank")
-        )
-        edges = import_edges(facts, files).select(
-            "repo",
-            "path",
-            F.col("module").alias("_module"),
-            F.col("file").alias("_file"),
-            F.lit("edge").alias("_role"),
-        )
-        rows = rows.unionByName(edges, allowMissingColumns=True)
-    else:
-        bound = _located_bindings(facts, files)
-    rows = rows.unionByName(
+    rows = names.withColumn("_role", F.lit("use")).unionByName(
         bound.withColumn("_role", F.lit("binding")), allowMissingColumns=True
-    ).repartition("repo", "path")
+    )
+    if edges is not None:
+        rows = rows.unionByName(
+            edges.withColumn("_role", F.lit("edge")), allowMissingColumns=True
+        )
+    role = F.col("_role")
 
     by_name = Window.partitionBy("repo", "path", "name")
-    is_target = F.col("_target").isNotNull()
-    first = F.min_by(F.struct(*_found_columns(mode)), F.when(is_target, F.col("_rank")))
-    rows = rows.select(
-        *[c for c in rows.columns if c not in ("_target", "_known")],
-        first.over(by_name).alias("_first"),
-        F.max(F.col("_role") == "binding").over(by_name).alias("_bound"),
-    ).withColumn("import_module", F.col("_first._target"))
-
-    if mode == "reference":
-        rows = rows.filter((F.col("_role") == "edge") | ((F.col("_role") == "use") & F.col("_bound")))
-        rows = rows.withColumn("_module", F.coalesce("_module", module_prefix(F.col("import_module"))))
-        by_module = Window.partitionBy("repo", "path", "_module")
-        rows = rows.withColumn("_known", F.max(F.col("_role") == "edge").over(by_module))
-        rows = rows.withColumn("_found", F.max("_file").over(by_module))
-    else:
+    found = [c for c in ("_target", "_known", "_file") if c in bound.columns]
+    rank = F.when(F.col("_target").isNotNull(), F.col("_rank"))
+    rows = (
+        rows.repartition("repo", "path")
+        .withColumn("_first", F.min_by(F.struct(*found), rank).over(by_name))
+        .withColumn("_bound", F.max(role == "binding").over(by_name))
+        .withColumn("import_module", F.col("_first._target"))
+    )
+    is_use = (role == "use") & F.col("_bound")
+    if edges is None:
         rows = rows.withColumn("_known", F.col("_first._known"))
         rows = rows.withColumn("_found", F.col("_first._file"))
+    else:
+        rows = rows.filter(is_use | (role == "edge"))
+        rows = rows.withColumn(
+            "_module", F.coalesce("_module", module_prefix(F.col("import_module")))
+        )
+        by_module = Window.partitionBy("repo", "path", "_module")
+        rows = rows.withColumn("_known", F.max(role == "edge").over(by_module))
+        rows = rows.withColumn("_found", F.max("_file").over(by_module))
 
     is_import = F.col("import_module").isNotNull()
-    return rows.filter((F.col("_role") == "use") & F.col("_bound")).select(
+    return rows.filter(is_use).select(
         *own,
         "import_module",
         is_import.alias("is_import"),
@@ -80,10 +92,6 @@ def resolve_names(
     )
 
 
-def _found_columns(mode: str) -> list[str]:
-    return ["_target"] if mode == "reference" else ["_target", "_known", "_file"]
-
-
 def _located_bindings(facts: DataFrame, files: DataFrame) -> DataFrame:
     """Bindings that carry the file their own import resolves to.
 
@@ -178,7 +186,14 @@ def collect_api_calls(
     included. ``facts`` should be a stored table; ``files`` needs repo and path only.
     """
     used = calls(facts).withColumnRenamed("base_name", "name")
-    resolved = resolve_names(used, facts, files, mode).select(
+    bound, edges = _bound_and_edges(facts, files, mode)
+    if external_only:
+        # Only imports can make a call external.
+        bound = bound.filter(F.col("_target").isNotNull())
+    if edges is not None:
+        # An edge without a file says no more than no edge: the call is external either way.
+        edges = edges.filter(F.col("_file").isNotNull())
+    resolved = _resolve(used, bound, edges).select(
         "repo",
         F.col("path").alias("file"),
         full_symbol(F.col("import_module"), F.col("name"), F.col("attr_chain")).alias("symbol_called"),
