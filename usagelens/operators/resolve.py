@@ -63,24 +63,21 @@ def _resolve(names: DataFrame, bound: DataFrame, edges: DataFrame | None) -> Dat
     by_name = Window.partitionBy("repo", "path", "name")
     found = [c for c in ("_target", "_known", "_file") if c in bound.columns]
     rank = F.when(F.col("_target").isNotNull(), F.col("_rank"))
-    rows = (
-        rows.repartition("repo", "path")
-        .withColumn("_first", F.min_by(F.struct(*found), rank).over(by_name))
-        .withColumn("_bound", F.max(role == "binding").over(by_name))
-        .withColumn("import_module", F.col("_first._target"))
-    )
+    first = F.min_by(F.struct(*found), rank).over(by_name)
+    is_bound = F.max(role == "binding").over(by_name)
+    rows = rows.repartition("repo", "path").withColumns({"_first": first, "_bound": is_bound})
+    rows = rows.withColumn("import_module", F.col("_first._target"))
     is_use = (role == "use") & F.col("_bound")
     if edges is None:
-        rows = rows.withColumn("_known", F.col("_first._known"))
-        rows = rows.withColumn("_found", F.col("_first._file"))
+        rows = rows.withColumns({"_known": F.col("_first._known"), "_found": F.col("_first._file")})
     else:
         rows = rows.filter(is_use | (role == "edge"))
         rows = rows.withColumn(
             "_module", F.coalesce("_module", module_prefix(F.col("import_module")))
         )
         by_module = Window.partitionBy("repo", "path", "_module")
-        rows = rows.withColumn("_known", F.max(role == "edge").over(by_module))
-        rows = rows.withColumn("_found", F.max("_file").over(by_module))
+        known, file = F.max(role == "edge").over(by_module), F.max("_file").over(by_module)
+        rows = rows.withColumns({"_known": known, "_found": file})
 
     is_import = F.col("import_module").isNotNull()
     return rows.filter(is_use).select(
