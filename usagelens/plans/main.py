@@ -1,7 +1,8 @@
-"""Command line for the jobs: ``spark-submit -m`` style, one subcommand each."""
+"""Command line for the jobs, one subcommand each."""
 
 import argparse
 import json
+import os
 from collections.abc import Sequence
 
 from usagelens.plans.exposure import run_exposure_job
@@ -53,7 +54,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.job == "scan":
         settings = _read_json(args.settings)
         kafka = settings.get("kafka", {})
-        sources = read_code(spark, settings.get("repos", []))
+        roots = [r if "://" in r else os.path.abspath(r) for r in settings.get("repos", [])]
+        sources = read_code(spark, roots)
         if args.apply_filters:
             sources = keep_paths(
                 sources, settings.get("include_extensions"), settings.get("exclude_dirs", ())
