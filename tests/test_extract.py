@@ -167,4 +167,4 @@ print("calls:", ul.calls(ul.extract_facts(df)).count())
 def test_widen_leaves_wide_scans_alone(spark):
     wide = spark.range(100, numPartitions=64)
     assert ul.widen(wide) is wide
-    assert ul.widen(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 8
+    assert ul.widen(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 4
