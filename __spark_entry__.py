@@ -800,7 +800,7 @@ def scan_job(spark, sf_dir):
 def usage_table_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "usage")
     months = ul.monthly_usage(_events(spark, sf_dir))
-    overwrite(months.limit(0), path)
+    overwrite(months.filter("usage_count > 1"), path)
     overwrite(months, path)
     return _plain_time(read_usage(spark, path))
 

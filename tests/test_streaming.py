@@ -102,3 +102,26 @@ def test_stream_equals_batch_on_closed_days(spark, tmp_path):
     assert rows(library_days(days)) == rows(library_days(closed))
     months = rows(read_usage(spark, paths["usage"]), "time_window")
     assert set(months) == {(dt.datetime(2024, 1, 1),), (dt.datetime(2024, 2, 1),)}
+
+
+def test_months_grow_run_by_run(spark, tmp_path):
+    """Later runs replace the open month only and leave finished months alone."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    paths = {name: str(tmp_path / name) for name in ("days", "checkpoint", "usage")}
+
+    def run(name, *times):
+        (inbox / f"{name}.txt").write_text("\n".join(message(t) for t in times))
+        run_usage_job(spark.readStream.text(str(inbox)), paths["days"], paths["checkpoint"], paths["usage"])
+        found = read_usage(spark, paths["usage"]).select("time_window", "usage_count")
+        return {row.time_window.month: row.usage_count for row in found.collect()}
+
+    def files(month):
+        return {p.name for p in (tmp_path / "usage").glob(f"time_window=2024-{month:02}*/*.parquet")}
+
+    assert run("a", "2024-01-01T10:00:00Z", "2024-01-02T10:00:00Z") == {1: 1}
+    assert run("b", "2024-01-31T10:00:00Z", "2024-02-01T10:00:00Z", "2024-02-02T02:00:00Z") == {1: 3, 2: 1}
+    january = files(1)
+    assert run("c", "2024-02-02T03:00:00Z", "2024-03-05T10:00:00Z") == {1: 3, 2: 3}
+    assert january and files(1) == january
+    assert run("d", "2024-03-06T10:00:00Z", "2024-03-07T10:00:00Z") == {1: 3, 2: 3, 3: 2}

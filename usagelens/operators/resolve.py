@@ -1,6 +1,6 @@
 """What the names used in a file refer to, and which calls leave the repo."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from usagelens.functions import full_symbol, library_of, module_prefix, relative_base
@@ -60,7 +60,7 @@ def _resolve(names: DataFrame, bound: DataFrame, edges: DataFrame | None) -> Dat
         )
     role = F.col("_role")
 
-    by_name = Window.partitionBy("repo", "path", "name")
+    by_name = _within_file("name")
     found = [c for c in ("_target", "_known", "_file") if c in bound.columns]
     rank = F.when(F.col("_target").isNotNull(), F.col("_rank"))
     first = F.min_by(F.struct(*found), rank).over(by_name)
@@ -75,7 +75,7 @@ def _resolve(names: DataFrame, bound: DataFrame, edges: DataFrame | None) -> Dat
         rows = rows.withColumn(
             "_module", F.coalesce("_module", module_prefix(F.col("import_module")))
         )
-        by_module = Window.partitionBy("repo", "path", "_module")
+        by_module = _within_file("_module")
         known, file = F.max(role == "edge").over(by_module), F.max("_file").over(by_module)
         rows = rows.withColumns({"_known": known, "_found": file})
 
@@ -89,6 +89,14 @@ def _resolve(names: DataFrame, bound: DataFrame, edges: DataFrame | None) -> Dat
     )
 
 
+def _within_file(column: str) -> WindowSpec:
+    """A window per file and ``column``, led by a hash: paths share long prefixes, and sorting
+    compares the hash first.
+    """
+    keys = ["repo", "path", column]
+    return Window.partitionBy(F.xxhash64(*keys), *keys)
+
+
 def _located_bindings(facts: DataFrame, files: DataFrame) -> DataFrame:
     """Bindings that carry the file their own import resolves to.
 

@@ -12,6 +12,7 @@ from usagelens.plans.usage import run_usage_job
 from usagelens.session import build_session
 from usagelens.sinks.database import WRITE_MODES, jdbc_options
 from usagelens.sources import keep_paths, read_code, read_topic
+from usagelens.streaming.usage import FILES_PER_LIBRARY
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -29,8 +30,9 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     usage.add_argument("--kafka-topic", required=True)
     usage.add_argument("--output-path", required=True)
     usage.add_argument("--checkpoint-path", required=True)
-    usage.add_argument("--usage-path", help="also rewrite the monthly table here")
+    usage.add_argument("--usage-path", help="also keep the monthly table here")
     usage.add_argument("--state-partitions", type=int)
+    usage.add_argument("--files-per-library", type=int, default=FILES_PER_LIBRARY)
 
     exposure = jobs.add_parser("exposure", help="score usage of deprecated symbols")
     exposure.add_argument("--aggregated-path", default="results/aggregated_usage")
@@ -75,6 +77,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             args.checkpoint_path,
             args.usage_path,
             state_partitions=args.state_partitions,
+            files_per_library=args.files_per_library,
         )
     elif args.job == "exposure":
         run_exposure_job(

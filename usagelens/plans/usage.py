@@ -1,11 +1,19 @@
 """Usage job: message stream in, closed days and their months out."""
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from usagelens.operators.usage import REPO_KEYS, months_of_days
 from usagelens.schemas import REPO_USAGE_DAILY
-from usagelens.sinks.tables import overwrite
-from usagelens.streaming.usage import DELAY, daily_usage_stream, read_days, write_days
+from usagelens.sources.tables import read_usage
+from usagelens.streaming.usage import (
+    DELAY,
+    FILES_PER_LIBRARY,
+    daily_usage_stream,
+    read_days,
+    write_days,
+)
 
 
 def run_usage_job(
@@ -15,8 +23,9 @@ def run_usage_job(
     usage_path: str | None = None,
     delay: str = DELAY,
     state_partitions: int | None = None,
+    files_per_library: int = FILES_PER_LIBRARY,
 ) -> None:
-    """Run the stream until its input is used up; then, if asked, rewrite the monthly table.
+    """Run the stream until its input is used up; then, if asked, bring the monthly table up to date.
 
     Days are kept per repo, library and symbol; ``library_days`` sums them over repos. The number
     of ``state_partitions`` is fixed by the first run on a checkpoint.
@@ -25,6 +34,34 @@ def run_usage_job(
     if state_partitions is not None:
         spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
     days = daily_usage_stream(messages, REPO_KEYS, delay)
-    write_days(days, days_path, checkpoint_path).awaitTermination()
+    write_days(days, days_path, checkpoint_path, files_per_library).awaitTermination()
     if usage_path is not None:
-        overwrite(months_of_days(read_days(spark, days_path, REPO_USAGE_DAILY)), usage_path)
+        roll_up_months(spark, days_path, usage_path)
+
+
+def roll_up_months(spark: SparkSession, days_path: str, usage_path: str) -> None:
+    """Replace the months that new days can belong to, in a table with one folder per month.
+
+    A watermark only moves forward, so days written later are later days: months before the last
+    one in the table are complete and are neither read nor written again.
+    """
+    days = read_days(spark, days_path, REPO_USAGE_DAILY)
+    last = _last_month(spark, usage_path)
+    if last is not None:
+        days = days.filter(F.col("event_day_start") >= F.lit(last))
+    (
+        months_of_days(days)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("time_window")
+        .parquet(usage_path)
+    )
+
+
+def _last_month(spark: SparkSession, usage_path: str):
+    try:
+        return read_usage(spark, usage_path).agg(F.max("time_window")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
