@@ -351,7 +351,11 @@ def deprecated_list(spark, sf_dir):
     return with_default_severity(corpus.deprecated_symbols(corpus.read_events(spark, sf_dir)))
 
 
-@_query(_USAGE + _LISTED + "SELECT symbol, count(*) AS listed FROM listed GROUP BY ALL HAVING count(*) > 1")
+@_query(
+    _USAGE
+    + _LISTED
+    + "SELECT symbol, count(*) AS listed FROM listed GROUP BY ALL HAVING count(*) > 1"
+)
 def deprecated_list_repeats(spark, sf_dir):
     return ul.repeated_symbols(corpus.deprecated_symbols(corpus.read_events(spark, sf_dir)))
 
@@ -377,7 +381,10 @@ def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     usage = corpus.usage_events(events)
     return ul.to_messages(
         usage.select(
-            "repo", "library", "symbol_called", F.col("event_time").cast("timestamp").alias("timestamp")
+            "repo",
+            "library",
+            "symbol_called",
+            F.col("event_time").cast("timestamp").alias("timestamp"),
         )
     )
 
@@ -598,12 +605,11 @@ def dependents(spark, sf_dir):
     _CODE
     + _RESOLVED
     + """
-SELECT DISTINCT repo, path, base_name AS name, import_module, import_module IS NOT NULL AS is_import,
-       is_local AS import_is_local, defining_file
+SELECT DISTINCT repo, path, base_name AS name, import_module,
+       import_module IS NOT NULL AS is_import, is_local AS import_is_local, defining_file
 FROM resolved
 UNION ALL
-SELECT repo, path, name, NULL, false, NULL, path FROM (SELECT * FROM e WHERE event_type = 'purchase')
-JOIN (VALUES ('pay')) AS p(name) ON true
+SELECT repo, path, 'pay', NULL, false, NULL, path FROM e WHERE event_type = 'purchase'
 """
 )
 def resolved_names(spark, sf_dir):
@@ -632,14 +638,13 @@ def qualified_names(spark, sf_dir):
         "repo", "path", "base_name", F.get("attr_chain", F.lit(0)).alias("attr_name")
     )
     asked = names.filter(F.col("attr_name").isNotNull())
-    return ul.resolve_qualified(asked, facts, _files(spark, sf_dir)).drop("is_import", "attr_target")
+    resolved = ul.resolve_qualified(asked, facts, _files(spark, sf_dir))
+    return resolved.drop("is_import", "attr_target")
 
 
 @_query(_CODE + _RESOLVED + "SELECT * FROM api WHERE is_external")
 def api_calls_external(spark, sf_dir):
-    return _flat_calls(
-        ul.collect_api_calls(_stored_facts(spark, sf_dir), _files(spark, sf_dir))
-    )
+    return _flat_calls(ul.collect_api_calls(_stored_facts(spark, sf_dir), _files(spark, sf_dir)))
 
 
 @_query(_CODE + _RESOLVED + "SELECT * FROM api")
@@ -699,13 +704,18 @@ FROM api WHERE is_external
 def call_event_messages(spark, sf_dir):
     found = ul.collect_api_calls(_stored_facts(spark, sf_dir), _files(spark, sf_dir))
     parsed = ul.parse_events(ul.to_messages(ul.call_events(found, SCAN_TIME)))
-    return _plain_time(
-        _flat_calls(parsed.select("file", "symbol_called", "library", "event_time", "signature_shape"))
-    )
+    columns = ["file", "symbol_called", "library", "event_time", "signature_shape"]
+    return _plain_time(_flat_calls(parsed.select(*columns)))
 
 
-@_query(_CODE + _RESOLVED + "SELECT repo || '/' || file AS file, symbol_called, TIMESTAMP '2024-02-01'"
-        " AS event_time FROM api WHERE is_external")
+@_query(
+    _CODE
+    + _RESOLVED
+    + """
+SELECT repo || '/' || file AS file, symbol_called, TIMESTAMP '2024-02-01' AS event_time
+FROM api WHERE is_external
+"""
+)
 def event_topic(spark, sf_dir):
     """Events sent to a topic, a Parquet folder here, and read back."""
     found = ul.collect_api_calls(_stored_facts(spark, sf_dir), _files(spark, sf_dir))

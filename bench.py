@@ -53,7 +53,8 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     entry = load_entry()
-    sources = spark.createDataFrame([("r", f"f{i}.py", "f()") for i in range(8)], "repo string, path string, content string")
+    files = [("r", f"f{i}.py", "f()") for i in range(8)]
+    sources = spark.createDataFrame(files, ["repo", "path", "content"])
     entry.ul.extract_facts(sources.repartition(8)).count()
 
     seconds = {}

@@ -59,18 +59,28 @@ def lookup_names(names: DataFrame, facts: DataFrame) -> DataFrame:
     return names.join(symbols(facts), ["repo", "path", "name"])
 
 
+# How declarations read, and where they say they are.
+_FROM_IMPORT = "from %s import %s as %s"
+_PLAIN_IMPORT = "import %s as %s"
+_FUNCTION = "def %s(...)"
+_CLASS = "class %s"
+_VARIABLE = "%s = <value>"
+_AT_OFFSET = "%s  (%s @ offset %d)"
+_AT_LINE = "%s  (%s:%d:%d)"
+
+
 def _import_text() -> Column:
-    statement = F.when(
-        F.col("is_from"),
-        F.format_string("from %s import %s as %s", "module", "name", "local_name"),
-    ).otherwise(F.format_string("import %s as %s", "module", "local_name"))
-    return F.format_string("%s  (%s @ offset %d)", statement, "path", "line")
+    text = F.when(
+        F.col("is_from"), F.format_string(_FROM_IMPORT, "module", "name", "local_name")
+    ).otherwise(F.format_string(_PLAIN_IMPORT, "module", "local_name"))
+    return F.format_string(_AT_OFFSET, text, "path", "line")
 
 
 def _definition_text() -> Column:
+    kind = F.col("definition_kind")
     text = (
-        F.when(F.col("definition_kind") == "function", F.format_string("def %s(...)", "name"))
-        .when(F.col("definition_kind") == "class", F.format_string("class %s", "name"))
-        .otherwise(F.format_string("%s = <value>", "name"))
+        F.when(kind == "function", F.format_string(_FUNCTION, "name"))
+        .when(kind == "class", F.format_string(_CLASS, "name"))
+        .otherwise(F.format_string(_VARIABLE, "name"))
     )
-    return F.format_string("%s  (%s:%d:%d)", text, "path", "line", "col")
+    return F.format_string(_AT_LINE, text, "path", "line", "col")

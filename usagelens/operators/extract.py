@@ -23,6 +23,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _FACTS_ARROW = to_arrow_schema(FACTS)
 _ROWS_PER_BATCH = 20_000
 
+# Fixed value: how the diagnostic of anything but a syntax error starts.
+_OTHER_FAILURE = "Unexpected error while parsing: "
+
 # The columns each kind of fact fills; the others are null.
 _FILLED = {
     "import": (
@@ -157,7 +160,7 @@ def _facts_of_file(path: str, content: str | bytes | None) -> Iterator[tuple]:
         yield "diagnostic", error.lineno or 0, error.offset or 0, _plain(str(error))
         return
     except Exception as error:
-        yield "diagnostic", 0, 0, _plain(f"Unexpected error while parsing: {error}")
+        yield "diagnostic", 0, 0, _plain(_OTHER_FAILURE + str(error))
         return
 
     statements = []

@@ -14,6 +14,15 @@ from usagelens.sinks.database import WRITE_MODES, jdbc_options
 from usagelens.sources import keep_paths, read_code, read_topic
 from usagelens.streaming.usage import FILES_PER_LIBRARY
 
+# Where each job looks unless told otherwise.
+TOPIC = "ast.api_calls"
+SERVERS = "localhost:9092"
+CLIENT = "api-usage-scanner"
+AGGREGATED_PATH = "results/aggregated_usage"
+DEPRECATED_APIS_PATH = "configs/deprecated_apis.json"
+DEPRECATED_USAGE_PATH = "results/deprecated_usage"
+REPO_EXPOSURE_PATH = "results/exposure_scores"
+
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="usagelens", description=__doc__)
@@ -35,10 +44,10 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     usage.add_argument("--files-per-library", type=int, default=FILES_PER_LIBRARY)
 
     exposure = jobs.add_parser("exposure", help="score usage of deprecated symbols")
-    exposure.add_argument("--aggregated-path", default="results/aggregated_usage")
-    exposure.add_argument("--deprecated-apis-path", default="configs/deprecated_apis.json")
-    exposure.add_argument("--deprecated-usage-output", default="results/deprecated_usage")
-    exposure.add_argument("--repo-exposure-output", default="results/exposure_scores")
+    exposure.add_argument("--aggregated-path", default=AGGREGATED_PATH)
+    exposure.add_argument("--deprecated-apis-path", default=DEPRECATED_APIS_PATH)
+    exposure.add_argument("--deprecated-usage-output", default=DEPRECATED_USAGE_PATH)
+    exposure.add_argument("--repo-exposure-output", default=REPO_EXPOSURE_PATH)
 
     load = jobs.add_parser("load", help="load a Parquet table into a database")
     load.add_argument("what", choices=list(LOADS))
@@ -63,9 +72,9 @@ def main(argv: Sequence[str] | None = None) -> None:
                 sources, settings.get("include_extensions"), settings.get("exclude_dirs", ())
             )
         topic = {
-            "topic": kafka.get("topic", "ast.api_calls"),
-            "kafka.bootstrap.servers": kafka.get("bootstrap_servers", "localhost:9092"),
-            "kafka.client.id": kafka.get("client_id", "api-usage-scanner"),
+            "topic": kafka.get("topic", TOPIC),
+            "kafka.bootstrap.servers": kafka.get("bootstrap_servers", SERVERS),
+            "kafka.client.id": kafka.get("client_id", CLIENT),
         }
         enabled = kafka.get("enabled", False)
         run_scan_job(sources, args.work_path, args.mode, send=enabled, **topic).summary.show()
