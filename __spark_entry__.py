@@ -28,6 +28,19 @@ from usagelens.sources import keep_libraries, keep_paths, read_parts, read_usage
 from usagelens.storage import scratch_path, store
 from usagelens.streaming import daily_usage_stream, read_days, write_days
 
+try:
+    import corpus_pipeline
+    from usagelens.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "usagelens.llm"):
+        raise
+    _LLM_QUERIES, _LLM_ORACLES = {}, {}
+else:
+    _LLM_QUERIES = llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    _LLM_ORACLES = llm.ORACLE_SQL | (
+        {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    )
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SCAN_TIME = datetime.datetime(2024, 2, 1, tzinfo=datetime.timezone.utc)
@@ -54,11 +67,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | _LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | _LLM_ORACLES
 
 
 # --- shared inputs -----------------------------------------------------------------------------

@@ -32,7 +32,7 @@ def plain(columns, records):
     return sorted(tuple(text(record[i]) for i in order) for record in records)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry._QUERIES))
 def test_query_matches_sql(spark, duck, name):
     found = entry.queries()[name](spark, str(SF_DIR))
     expected = duck.sql(entry.oracle_sql()[name])
