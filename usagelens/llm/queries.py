@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.llm.exact_dedup import exact_groups
+from usagelens.llm.quality_rules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -41,3 +42,16 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("kept") & (F.col("copy") == 1)).alias("kept"),
         F.col("sha256").alias("text_sha256"),
     )
+
+
+@_query()
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    judged = judge(docs, carry=["doc_id"]).select(
+        "doc_id",
+        *[f"_quality_m.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines")],
+        "_quality_m.n_repeat_words",
+        F.col("_quality_base_failed").alias("base_failed"),
+        F.col("_quality_kept").alias("kept"),
+    )
+    return judged
