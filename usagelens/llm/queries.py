@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.llm.exact_dedup import exact_groups
+from usagelens.llm.mixing import mix
 from usagelens.llm.quality_rules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +56,47 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_quality_kept").alias("kept"),
     )
     return judged
+
+
+@_query("""
+WITH d AS (
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS key
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) AS place
+  FROM d GROUP BY source),
+w AS (SELECT *, (place - 1) % 3 + 1 AS weight FROM s),
+l AS (
+  SELECT *,
+         ((SELECT sum(source_size) FROM s) - coalesce(sum(3 * source_size) OVER (
+            ORDER BY 3 * source_size / weight, place
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY 3 * source_size / weight, place
+                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w),
+t AS (
+  SELECT source, source_size, place,
+         least(CAST(3 * source_size AS DOUBLE), (SELECT max(level) FROM l) * weight) AS target
+  FROM l),
+c AS (
+  SELECT doc_id, key, size, source_size, target, place,
+         sum(size) OVER (PARTITION BY place ORDER BY key, size
+                         ROWS UNBOUNDED PRECEDING) AS served
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+i AS (
+  SELECT doc_id, key, size, sum(size) OVER (
+           ORDER BY (p * source_size + served) / target, place, key, p
+           ROWS UNBOUNDED PRECEDING) AS upto
+  FROM c, (VALUES (0), (1), (2)) AS passes(p) WHERE size > 0),
+k AS (
+  SELECT key, sum(CASE WHEN upto <= (SELECT sum(source_size) FROM t) THEN size ELSE 0 END) AS taken
+  FROM i GROUP BY key)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+FROM c LEFT JOIN k USING (key)
+""")
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(_table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
