@@ -4,9 +4,10 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from usagelens.llm.rows import keep, keyed
 from usagelens.llm.words import utf8
 from usagelens.storage import store
 
@@ -45,18 +46,6 @@ def fingerprint(data: np.ndarray, powers: np.ndarray, primes: tuple[int, ...] =
     return total
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows with a key of their content: ``k`` of id and text, ``x`` of the text alone."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(
-        F.xxhash64(F.col(id_col), text).alias("k"),
-        F.xxhash64(text).alias("x"),
-        F.col(id_col).alias("id"),
-        text.alias("text"),
-        F.struct("*").alias("row"),
-    )
-
-
 def fingerprints(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -72,7 +61,7 @@ def fingerprints(
     """
     names = [f"f{k}" for k in range(len(primes))]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = _keyed(docs, id_col, text_col).select(
+    rows = keyed(docs, id_col, text_col).select(
         "k",
         "x",
         "id",
@@ -144,7 +133,7 @@ def exact_groups(
     prints = store(fingerprints(docs, id_col, text_col, primes=primes), "fingerprints")
     repeated = prints.groupBy(*group).agg(*counts).filter("members > 1")
     members = prints.join(repeated, group).select(*row, "id", "head", "members")
-    texts = _keyed(docs, id_col, text_col)
+    texts = keyed(docs, id_col, text_col)
     texts = texts.select("k", "x", F.col("text").cast("binary").alias("data"))
     pending = store(texts.join(members, ["k", "x"]), "equal-fingerprints")
 
@@ -178,14 +167,12 @@ def exact_groups(
         F.max("id").alias("keep_id"), F.sum("copies").alias("group_size"), F.max("k").alias("only")
     )
     out = placed.join(totals, [*group, "round"])
-    kept = (F.col("id") == F.col("keep_id")) | (F.col("keep_id").isNull() & (F.col("k") == F.col("only")))
-    return out.select("k", "x", "id", "copies", "keep_id", "group_size", F.coalesce(kept, F.lit(False)).alias("kept"), "sha256")
+    nameless = F.col("keep_id").isNull() & (F.col("k") == F.col("only"))
+    kept = F.coalesce((F.col("id") == F.col("keep_id")) | nameless, F.lit(False)).alias("kept")
+    return out.select("k", "x", "id", "copies", "keep_id", "group_size", kept, "sha256")
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one of each group of equal texts, with all columns."""
-    keep = exact_groups(docs, id_col, text_col).filter("kept").select("k", "x")
-    rows = _keyed(docs, id_col, text_col).select("k", "x", "row")
-    again = F.row_number().over(Window.partitionBy("k", "x").orderBy("x"))
-    stay = rows.join(keep, ["k", "x"], "left_semi").withColumn("again", again)
-    return stay.filter("again = 1").select("row.*")
+    kept = exact_groups(docs, id_col, text_col).filter("kept")
+    return keep(docs, kept, id_col, text_col)

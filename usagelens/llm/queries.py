@@ -2,12 +2,15 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.llm.exact_dedup import exact_groups
 from usagelens.llm.mixing import mix
+from usagelens.llm.packing import pack_documents
 from usagelens.llm.quality_rules import judge
+from usagelens.llm.simhash import near_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -100,3 +103,19 @@ FROM c LEFT JOIN k USING (key)
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(_table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@_query()
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+@_query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer)
+    return packed.withColumnRenamed("id", "doc_id")
