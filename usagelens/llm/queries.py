@@ -11,6 +11,7 @@ from usagelens.llm.mixing import mix
 from usagelens.llm.packing import pack_documents
 from usagelens.llm.quality_rules import judge
 from usagelens.llm.simhash import near_groups
+from usagelens.llm.substring_dedup import repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -119,3 +120,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer)
     return packed.withColumnRenamed("id", "doc_id")
+
+
+@_query()
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )

@@ -68,11 +68,12 @@ def _powers(base: int, count: int) -> np.ndarray:
 
 
 _tables: dict[tuple[int, int], np.ndarray] = {}
+_REACH = 1 << 20
 
 
 def _table(base: int, count: int) -> np.ndarray:
     size = 1 << max(12, (count - 1).bit_length())
-    if size > 8 * _PIECE:
+    if size > 2 * _REACH:
         return _powers(base, count)
     if (base, size) not in _tables:
         _tables[base, size] = _powers(base, size)
@@ -80,16 +81,23 @@ def _table(base: int, count: int) -> np.ndarray:
 
 
 def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """A polynomial hash, modulo 2**64, of each range of ``values``."""
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _table(base, len(values)), out=total[1:])
-    back = _table(pow(base, -1, 1 << 64), len(values) + 1)
-    return mix((total[ends] - total[starts]) * back[starts])
+    """A polynomial hash, modulo 2**64, of each range of ``values``; both ends must ascend."""
+    out, inverse, at = np.empty(len(starts), np.uint64), pow(base, -1, 1 << 64), 0
+    while at < len(starts):
+        low = starts[at]
+        stop = int(np.searchsorted(starts, low + _REACH, "left"))
+        part = values[low : ends[stop - 1]].astype(np.uint64) + np.uint64(1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * _table(base, len(part)), out=total[1:])
+        first, last = starts[at:stop] - low, ends[at:stop] - low
+        out[at:stop] = (total[last] - total[first]) * _table(inverse, len(part) + 1)[first]
+        at = stop
+    return mix(out)
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0):
     """A 64-bit hash of each word; ``which`` chooses one of two independent ones."""
-    return _ranges(data.astype(np.uint64) + np.uint64(1), starts, ends, _BASES[which])
+    return _ranges(data, starts, ends, _BASES[which])
 
 
 def window_hashes(words: np.ndarray, first: np.ndarray, size: int, which: int = 0) -> np.ndarray:
