@@ -3,7 +3,7 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.llm.exact_dedup import exact_groups
@@ -12,6 +12,7 @@ from usagelens.llm.packing import pack_documents
 from usagelens.llm.quality_rules import judge
 from usagelens.llm.simhash import near_groups
 from usagelens.llm.substring_dedup import repeated_passages
+from usagelens.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -31,6 +32,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(id_col: str = "doc_id") -> Column:
+    """The fold of a document; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5
+
+
 @_query("""
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -130,3 +136,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@_query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").filter(_remainder() != 0)
+    scored = toxicity(_table(spark, sf_dir, "documents"), labels)
+    held_out = (_remainder("id") == 0).alias("held_out")
+    return scored.select(F.col("id").alias("doc_id"), held_out, "score", "predicted")
