@@ -7,8 +7,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.llm.exact_dedup import exact_groups
+from usagelens.llm.line_dedup import drop_boilerplate
 from usagelens.llm.mixing import mix
 from usagelens.llm.packing import pack_documents
+from usagelens.llm.quality_model import grade_documents
 from usagelens.llm.quality_rules import judge
 from usagelens.llm.simhash import near_groups
 from usagelens.llm.substring_dedup import repeated_passages
@@ -144,3 +146,45 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(_table(spark, sf_dir, "documents"), labels)
     held_out = (_remainder("id") == 0).alias("held_out")
     return scored.select(F.col("id").alias("doc_id"), held_out, "score", "predicted")
+
+
+@_query()
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 of low quality, 1 of good quality but toxic, 2 good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    ratings = _table(spark, sf_dir, "labels").filter(_remainder() != 0)
+    graded = grade_documents(
+        _table(spark, sf_dir, "documents"), ratings.select("doc_id", grade.alias("grade"))
+    )
+    return graded.select(
+        F.col("id").alias("doc_id"),
+        (_remainder("id") == 0).alias("held_out"),
+        "expected_grade",
+        "tail_probability",
+        (F.col("tail_probability") >= 0.5).alias("kept"),
+    )
+
+
+@_query("""
+WITH l AS (
+  SELECT doc_id, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
+  FROM (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines
+        FROM documents)),
+t AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM l),
+b AS (
+  SELECT body, true AS gone FROM t WHERE body <> ''
+  GROUP BY body HAVING count(DISTINCT coalesce(source, chr(1))) >= 10)
+SELECT doc_id, count(*) FILTER (body <> '') AS n_lines, count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone IS NULL), ''))
+         AS kept_sha256
+FROM t LEFT JOIN b USING (body) GROUP BY doc_id
+""")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = drop_boilerplate(_table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        F.col("id").alias("doc_id"),
+        "n_lines",
+        "n_removed",
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
