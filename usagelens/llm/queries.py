@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.llm.exact_dedup import exact_groups
+from usagelens.llm.language_model import score_documents
 from usagelens.llm.line_dedup import drop_boilerplate
 from usagelens.llm.mixing import mix
 from usagelens.llm.packing import pack_documents
@@ -188,3 +189,18 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@_query()
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = score_documents(docs, docs.filter(_remainder() != 1))
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        (_remainder("id") == 1).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
