@@ -1,5 +1,8 @@
 """Stored tables the batch steps start from."""
 
+from functools import reduce
+from urllib.parse import unquote, urlsplit
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,13 +21,36 @@ def read_deprecated(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_parts(spark: SparkSession, path: str) -> DataFrame | None:
-    """All Parquet parts under ``path`` by column name; a column missing in some is null there.
+    """All ``*.parquet`` parts at any depth under ``path`` by column name.
 
-    A missing path is an error. A path without any part gives None.
+    A column missing in some parts is null there, also where ``key=value`` folders give it to
+    others. A missing path is an error. A path without any part gives None.
     """
+    reader = spark.read.option("mergeSchema", True)
     try:
-        return spark.read.option("mergeSchema", True).parquet(path)
+        every = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+        files = [unquote(file) for file in every.parquet(path).inputFiles()]
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return None
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        layouts.setdefault(_layout(file, path), []).append(file)
+    tables = []
+    for (base, *keys), parts in layouts.items():
+        reader = spark.read.option("mergeSchema", True)
+        tables.append((reader.option("basePath", base) if keys else reader).parquet(*parts))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def _layout(file: str, root: str) -> tuple[str, ...]:
+    """The folder that holds a part's ``key=value`` folders, if any, and their keys."""
+    below = urlsplit(file).path.split("/")[1:-1]
+    above = len([name for name in urlsplit(root).path.split("/") if name])
+    keyed = [i for i in range(above, len(below)) if "=" in below[i]]
+    if not keyed:
+        return ("",)
+    rest = "/".join(below[keyed[0] :])
+    base = file.rpartition("/")[0].removesuffix(rest).rstrip("/")
+    return base, *[below[i].partition("=")[0] for i in keyed]
