@@ -5,6 +5,7 @@ from usagelens.functions.names import (
     library_of,
     module_prefix,
     month_bucket,
+    month_label,
 )
 from usagelens.functions.paths import (
     display_path,
@@ -21,6 +22,7 @@ __all__ = [
     "module_name",
     "module_prefix",
     "month_bucket",
+    "month_label",
     "package_name",
     "relative_base",
     "resolvable",

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_DAY = 86_400_000_000
+
 
 def module_prefix(target: Column) -> Column:
     """The part before the last dot, or the whole target when it has none."""
@@ -22,5 +24,21 @@ def library_of(symbol: Column) -> Column:
 
 
 def month_bucket(time: Column) -> Column:
-    """First instant of the month, in the session's time zone."""
-    return F.date_trunc("month", time)
+    """First instant of the UTC month, whatever the session's time zone."""
+    days = F.date_diff(F.trunc(_utc_date(time), "month"), _epoch())
+    return F.timestamp_micros(days.cast("long") * _DAY)
+
+
+def month_label(time: Column) -> Column:
+    """The UTC month as ``yyyy-MM``."""
+    return F.left(_utc_date(time).cast("string"), F.lit(7))
+
+
+def _epoch() -> Column:
+    return F.to_date(F.lit("1970-01-01"))
+
+
+def _utc_date(time: Column) -> Column:
+    # Counted from the epoch, as truncation and formatting use the session's time zone.
+    days = F.floor(F.unix_micros(time.cast("timestamp")) / _DAY)
+    return F.date_add(_epoch(), days.cast("int"))

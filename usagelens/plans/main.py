@@ -12,7 +12,7 @@ from usagelens.plans.usage import run_usage_job
 from usagelens.session import build_session
 from usagelens.sinks.database import WRITE_MODES, jdbc_options
 from usagelens.sources import keep_paths, read_code, read_topic
-from usagelens.streaming.usage import FILES_PER_LIBRARY
+from usagelens.streaming.usage import FILES_PER_FOLDER
 
 # Where each job looks unless told otherwise.
 TOPIC = "ast.api_calls"
@@ -23,6 +23,9 @@ DEPRECATED_APIS_PATH = "configs/deprecated_apis.json"
 DEPRECATED_USAGE_PATH = "results/deprecated_usage"
 REPO_EXPOSURE_PATH = "results/exposure_scores"
 
+# Source files can be megabytes each, so a scan decodes few rows of a source table at a time.
+SESSION = {"scan": {"spark.sql.parquet.columnarReaderBatchSize": "512"}}
+
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="usagelens", description=__doc__)
@@ -32,7 +35,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     scan.add_argument("--settings", required=True, help="JSON file: repos and kafka settings")
     scan.add_argument("--work-path", required=True, help="shared folder for facts and events")
     scan.add_argument("--mode", choices=["reference", "full"], default="reference")
-    scan.add_argument("--apply-filters", action="store_true", help="apply the path settings")
+    scan.add_argument("--apply-filters", action="store_true", help="apply the path and library settings")
 
     usage = jobs.add_parser("usage", help="count calls per day and month")
     usage.add_argument("--kafka-bootstrap-servers", required=True)
@@ -41,7 +44,8 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     usage.add_argument("--checkpoint-path", required=True)
     usage.add_argument("--usage-path", help="also keep the monthly table here")
     usage.add_argument("--state-partitions", type=int)
-    usage.add_argument("--files-per-library", type=int, default=FILES_PER_LIBRARY)
+    usage.add_argument("--files-per-folder", type=int, default=FILES_PER_FOLDER)
+    usage.add_argument("--by-library", action="store_true", help="folders by library, not month")
 
     exposure = jobs.add_parser("exposure", help="score usage of deprecated symbols")
     exposure.add_argument("--aggregated-path", default=AGGREGATED_PATH)
@@ -61,7 +65,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parse_args(argv)
-    spark = build_session(f"usagelens-{args.job}")
+    spark = build_session(f"usagelens-{args.job}", **SESSION.get(args.job, {}))
     if args.job == "scan":
         settings = _read_json(args.settings)
         kafka = settings.get("kafka", {})
@@ -77,7 +81,11 @@ def main(argv: Sequence[str] | None = None) -> None:
             "kafka.client.id": kafka.get("client_id", CLIENT),
         }
         enabled = kafka.get("enabled", False)
-        run_scan_job(sources, args.work_path, args.mode, send=enabled, **topic).summary.show()
+        libraries = settings.get("target_libraries", ()) if args.apply_filters else ()
+        scan = run_scan_job(
+            sources, args.work_path, args.mode, send=enabled, target_libraries=libraries, **topic
+        )
+        scan.summary.show()
     elif args.job == "usage":
         messages = read_topic(spark, args.kafka_bootstrap_servers, args.kafka_topic)
         run_usage_job(
@@ -86,7 +94,8 @@ def main(argv: Sequence[str] | None = None) -> None:
             args.checkpoint_path,
             args.usage_path,
             state_partitions=args.state_partitions,
-            files_per_library=args.files_per_library,
+            files_per_folder=args.files_per_folder,
+            by_library=args.by_library,
         )
     elif args.job == "exposure":
         run_exposure_job(

@@ -4,17 +4,19 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usagelens.functions import month_label
 from usagelens.operators.usage import REPO_KEYS, months_of_days
 from usagelens.schemas import REPO_USAGE_DAILY
-from usagelens.sources.tables import read_usage
 from usagelens.streaming.usage import (
     DELAY,
-    FILES_PER_LIBRARY,
+    FILES_PER_FOLDER,
     daily_usage_stream,
     read_days,
     write_days,
 )
 
+_WIDTH = "spark.sql.shuffle.partitions"
+
 
 def run_usage_job(
     messages: DataFrame,
@@ -23,18 +25,25 @@ def run_usage_job(
     usage_path: str | None = None,
     delay: str = DELAY,
     state_partitions: int | None = None,
-    files_per_library: int = FILES_PER_LIBRARY,
+    files_per_folder: int = FILES_PER_FOLDER,
+    by_library: bool = False,
 ) -> None:
     """Run the stream until its input is used up; then, if asked, bring the monthly table up to date.
 
     Days are kept per repo, library and symbol; ``library_days`` sums them over repos. The number
-    of ``state_partitions`` is fixed by the first run on a checkpoint.
+    of ``state_partitions`` is fixed by the first run on a checkpoint and holds for the stream
+    alone. A checkpoint belongs to one folder layout.
     """
     spark = messages.sparkSession
+    width = spark.conf.get(_WIDTH)
     if state_partitions is not None:
-        spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
-    days = daily_usage_stream(messages, REPO_KEYS, delay)
-    write_days(days, days_path, checkpoint_path, files_per_library).awaitTermination()
+        spark.conf.set(_WIDTH, state_partitions)
+    try:
+        days = daily_usage_stream(messages, REPO_KEYS, delay)
+        written = write_days(days, days_path, checkpoint_path, files_per_folder, by_library)
+        written.awaitTermination()
+    finally:
+        spark.conf.set(_WIDTH, width)
     if usage_path is not None:
         roll_up_months(spark, days_path, usage_path)
 
@@ -43,12 +52,12 @@ def roll_up_months(spark: SparkSession, days_path: str, usage_path: str) -> None
     """Replace the months that new days can belong to, in a table with one folder per month.
 
     A watermark only moves forward, so days written later are later days: months before the last
-    one in the table are complete and are neither read nor written again.
+    one of the last successful roll-up are complete and are neither read nor written again. That
+    month is noted beside the data once all folders are in place. A run that fails in between
+    leaves the older note, and one that finds none builds every month.
     """
-    days = read_days(spark, days_path, REPO_USAGE_DAILY)
-    last = _last_month(spark, usage_path)
-    if last is not None:
-        days = days.filter(F.col("event_day_start") >= F.lit(last))
+    note = f"{usage_path}/_rolled_up"
+    days = read_days(spark, days_path, REPO_USAGE_DAILY, _noted_month(spark, note))
     (
         months_of_days(days)
         .write.mode("overwrite")
@@ -56,12 +65,16 @@ def roll_up_months(spark: SparkSession, days_path: str, usage_path: str) -> None
         .partitionBy("time_window")
         .parquet(usage_path)
     )
+    last = days.agg(F.max(month_label(F.col("event_day_start"))).alias("value")).first()[0]
+    if last is not None:
+        spark.createDataFrame([(last,)], "value string").coalesce(1).write.mode("overwrite").text(note)
 
 
-def _last_month(spark: SparkSession, usage_path: str):
+def _noted_month(spark: SparkSession, note: str) -> str | None:
     try:
-        return read_usage(spark, usage_path).agg(F.max("time_window")).first()[0]
+        found = spark.read.text(note).first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+    return found[0] if found else None

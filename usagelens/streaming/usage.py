@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from usagelens.functions import month_label
 from usagelens.operators.events import parse_events
 from usagelens.operators.usage import SYMBOL_KEYS, daily_usage
 from usagelens.schemas import USAGE_DAILY
 
 DELAY = "1 hour"
-FILES_PER_LIBRARY = 32
+FILES_PER_FOLDER = 32
+MONTH = "event_month"
 
 
 def daily_usage_stream(
@@ -27,27 +29,50 @@ def daily_usage_stream(
 
 
 def write_days(
-    days: DataFrame, path: str, checkpoint: str, files_per_library: int = FILES_PER_LIBRARY
+    days: DataFrame,
+    path: str,
+    checkpoint: str,
+    files_per_folder: int = FILES_PER_FOLDER,
+    by_library: bool = False,
 ) -> StreamingQuery:
-    """Append closed days to Parquet, one folder per library, and stop when the input is used up.
+    """Append closed days to Parquet, one folder per month, and stop when the input is used up.
 
-    A later run goes on from ``checkpoint``. Rows are hashed into at most ``files_per_library``
-    tasks per library, so there is neither a file per state partition and library nor one task
-    that writes a hot library or symbol alone. Raise it where one library holds most rows.
+    A later run goes on from ``checkpoint``. Rows are hashed into at most ``files_per_folder``
+    tasks per folder, so there is neither a file per state partition nor one task that writes a
+    month alone; raise it where a month is large. ``by_library`` makes one folder per library
+    instead, for readers that expect it and corpora with few libraries: each run then writes to
+    every one of them, and no month can be pruned.
     """
-    part = F.pmod(F.xxhash64(*days.columns), F.lit(files_per_library))
+    part = F.pmod(F.xxhash64(*days.columns), F.lit(files_per_folder))
+    folder = "library" if by_library else MONTH
+    if not by_library:
+        days = days.withColumn(MONTH, month_label(F.col("event_day_start")))
     return (
-        days.repartition("library", part)
+        days.repartition(folder, part)
         .writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("library")
+        .partitionBy(folder)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_days(spark: SparkSession, path: str, schema: T.StructType = USAGE_DAILY) -> DataFrame:
-    """The days written so far; the schema is given, as a first run may close none."""
-    return spark.read.schema(schema).parquet(path)
+def read_days(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = USAGE_DAILY,
+    since_month: str | None = None,
+) -> DataFrame:
+    """The days written so far; the schema is given, as a first run may close none.
+
+    Of the months before ``since_month`` no file is opened, unless folders are by library.
+    """
+    days = spark.read.schema(T.StructType([*schema, T.StructField(MONTH, T.StringType())]))
+    days = days.parquet(path)
+    if since_month is not None:
+        month = month_label(F.col("event_day_start"))
+        pruned = F.col(MONTH).isNull() | (F.col(MONTH) >= since_month)
+        days = days.filter(pruned & (month >= since_month))
+    return days.select(*schema.names)
