@@ -92,7 +92,8 @@ def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Spread the events before their code is made, so that no text is shuffled.
     events = corpus.read_events(spark, sf_dir).select("event_id", "event_type", "user_id", "props")
-    return ul.extract_facts(corpus.code_sources(ul.widen(events)))
+    tasks = spark.sparkContext.defaultParallelism
+    return ul.extract_facts(corpus.code_sources(ul.widen(events, tasks)))
 
 
 def _stored_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -812,7 +813,7 @@ def scan_summary(spark, sf_dir):
 @_query(_ORACLES["scan_summary"])
 def scan_job(spark, sf_dir):
     events = corpus.read_events(spark, sf_dir)
-    sources = corpus.code_sources(ul.widen(events))
+    sources = corpus.code_sources(ul.widen(events, spark.sparkContext.defaultParallelism))
     return run_scan_job(sources, scratch_path(spark, "scan"), scan_time=SCAN_TIME).summary
 
 

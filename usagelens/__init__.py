@@ -8,6 +8,7 @@ from usagelens.operators.extract import (
     definitions,
     diagnostics,
     extract_facts,
+    files,
     imports,
     widen,
 )
@@ -36,6 +37,7 @@ __all__ = [
     "extract_added",
     "extract_facts",
     "extract_single",
+    "files",
     "file_delta",
     "import_edges",
     "imports",

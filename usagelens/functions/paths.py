@@ -33,11 +33,14 @@ def resolvable(path: Column) -> Column:
     return path.endswith(".py") & (F.instr(path, ".") == F.length(path) - 2)
 
 
-def relative_base(path: Column, module: Column, level: Column) -> Column:
+def relative_base(
+    path: Column, module: Column, level: Column, with_root: bool = False
+) -> Column:
     """Module a ``from`` import at ``level`` refers to, seen from the file at ``path``.
 
     Level 0 is absolute. Otherwise the file's own name and ``level - 1`` packages are dropped and
-    ``module`` is appended; climbing past the root or ending with no name gives null.
+    ``module`` is appended; climbing past the root gives null. So does ending with no name, at the
+    root itself, unless ``with_root`` makes that an empty text.
     """
     dotted = _dotted(path)
     # Of "a.b.file.py" the name and the extension go at level 1, and one package per level more.
@@ -46,7 +49,7 @@ def relative_base(path: Column, module: Column, level: Column) -> Column:
     base = F.concat_ws(".", package, F.nullif(module, F.lit("")))
     return (
         F.when(level == 0, F.nullif(module, F.lit("")))
-        .when(is_module_file(path) & (kept >= 0), F.nullif(base, F.lit("")))
+        .when(is_module_file(path) & (kept >= 0), base if with_root else F.nullif(base, F.lit("")))
     )
 
 

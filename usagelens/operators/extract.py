@@ -46,6 +46,7 @@ _FILLED = {
     "definition": ("repo", "path", "seq", "line", "col", "definition_kind", "name"),
     "call": ("repo", "path", "line", "col", "base_name", "attr_chain", "signature_shape"),
     "diagnostic": ("repo", "path", "line", "col", "message"),
+    "file": ("repo", "path"),
 }
 
 
@@ -62,23 +63,27 @@ _CHILDREN = {
 
 
 def extract_facts(sources: DataFrame) -> DataFrame:
-    """Imports, definitions, calls and diagnostics of every file in ``sources``.
+    """Imports, definitions, calls and diagnostics of every file in ``sources``, and the file itself.
 
     ``sources`` holds repo, path and content (text or bytes). A file that cannot be decoded or
-    parsed gives one diagnostic and nothing else. Facts feed several steps, so jobs store them
+    parsed gives one diagnostic and nothing else but itself. Facts feed several steps, so jobs store them
     (``usagelens.storage.store``) before resolving names.
     """
     return sources.select("repo", "path", "content").mapInArrow(_facts_of_batches, FACTS)
 
 
-def widen(sources: DataFrame) -> DataFrame:
-    """Spread a plain scan that has fewer splits than the cluster has cores.
+def widen(sources: DataFrame, tasks: int) -> DataFrame:
+    """Spread sources that are read as fewer splits than the cluster has cores over ``tasks`` tasks.
 
-    Parsing is CPU-bound, so a small input read as one split would keep one core busy. A scan that
-    already has enough splits is left alone and not shuffled.
+    Parsing is CPU-bound, so a small input read as one split would keep one core busy. This moves
+    the texts, so leave a table alone that has splits enough.
     """
-    cores = sources.sparkSession.sparkContext.defaultParallelism
-    return sources if sources.rdd.getNumPartitions() >= cores else sources.repartition(cores)
+    return sources.repartition(tasks)
+
+
+def files(facts: DataFrame) -> DataFrame:
+    """The repo and path of every file read, parsed or not."""
+    return facts.filter(F.col("kind") == "file").select("repo", "path")
 
 
 def imports(facts: DataFrame) -> DataFrame:
@@ -153,6 +158,7 @@ def _to_arrow(kind: str, rows: list[tuple]) -> pa.RecordBatch:
 
 def _facts_of_file(path: str, content: str | bytes | None) -> Iterator[tuple]:
     """Tuples of a kind and the values of its columns after repo and path."""
+    yield ("file",)
     try:
         text = content.decode("utf-8") if isinstance(content, bytes) else content or ""
         tree = ast.parse(text, filename=path)

@@ -7,8 +7,6 @@ from usagelens.functions import full_symbol, library_of, module_prefix, relative
 from usagelens.operators.bindings import bindings, symbols
 from usagelens.operators.extract import calls, imports
 from usagelens.operators.import_graph import import_edges, module_index
-from usagelens.operators.lookup import lookup_join
-from usagelens.storage import store
 
 MODES = ("reference", "full")
 
@@ -103,13 +101,14 @@ def _located_bindings(facts: DataFrame, files: DataFrame) -> DataFrame:
     A ``from`` import is listed once per module it may mean, the submodule before the package; the
     rank puts a candidate that resolves ahead of one that does not.
     """
-    base = relative_base(F.col("path"), F.col("module"), F.col("level"))
+    base = relative_base(F.col("path"), F.col("module"), F.col("level"), with_root=True)
+    named = F.nullif(base, F.lit(""))
     prefix = F.when(
-        F.col("is_from"), F.concat_ws(".", F.coalesce(base, F.col("module")), F.col("name"))
+        F.col("is_from"), F.concat_ws(".", F.coalesce(named, F.col("module")), F.col("name"))
     ).otherwise(
         F.when(F.col("is_aliased"), F.col("module")).otherwise(F.col("local_name"))
     )
-    modules = F.when(F.col("is_from"), F.array(F.concat_ws(".", base, "name"), base)).otherwise(
+    modules = F.when(F.col("is_from"), F.array(F.concat_ws(".", named, "name"), base)).otherwise(
         F.array("module")
     )
     located = (
@@ -124,7 +123,7 @@ def _located_bindings(facts: DataFrame, files: DataFrame) -> DataFrame:
             F.posexplode(modules).alias("_choice", "module"),
         )
     )
-    located = lookup_join(located, module_index(files), ["repo", "module"]).select(
+    located = located.join(module_index(files), ["repo", "module"], "left").select(
         "repo",
         "path",
         "name",
@@ -160,22 +159,24 @@ def resolve_qualified(
     """Resolve ``base_name.attr_name`` rows: the base as above, the attribute in its local file.
 
     Adds the columns of ``resolve_names`` plus ``attr_found``, ``attr_target`` and
-    ``attr_defining_file``; the attribute of anything but a local import is not looked up. The
-    resolved bases are stored, as the lookup reads them several times.
+    ``attr_defining_file``; the attribute of anything but a local import is not looked up.
     """
     base = resolve_names(names.withColumn("name", F.col("base_name")), facts, files, mode)
-    base = store(base.drop("name"), "bases")
+    # What is not looked up keeps a key that no file has, so those rows stay spread out.
+    nowhere = F.concat(F.lit("\0"), F.col("path"))
+    base = base.drop("name").withColumn(
+        "_file", F.when(F.col("import_is_local"), F.col("defining_file")).otherwise(nowhere)
+    )
     attributes = symbols(facts).select(
         "repo",
-        F.col("path").alias("defining_file"),
+        F.col("path").alias("_file"),
         F.col("name").alias("attr_name"),
         F.lit(True).alias("_found"),
         F.col("target").alias("attr_target"),
     )
-    is_local = F.coalesce("import_is_local", F.lit(False))
-    looked_up = lookup_join(base.filter(is_local), attributes, ["repo", "defining_file", "attr_name"])
-    return looked_up.unionByName(base.filter(~is_local), allowMissingColumns=True).select(
-        *base.columns,
+    looked_up = base.join(attributes, ["repo", "_file", "attr_name"], "left")
+    return looked_up.select(
+        *[c for c in base.columns if c != "_file"],
         F.coalesce("_found", F.lit(False)).alias("attr_found"),
         "attr_target",
         F.when(F.col("_found"), F.col("defining_file")).alias("attr_defining_file"),

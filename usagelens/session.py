@@ -8,14 +8,12 @@ def build_session(app_name: str, **settings: str) -> SparkSession:
 
     Shuffles start three partitions per core wide, so that terabytes still fit a task's memory,
     and adaptive execution merges what is small. Streaming state lives in RocksDB, off the heap.
-    Source files can be megabytes each, so few rows are decoded at a time.
     """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.parquet.columnarReaderBatchSize", "512")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
