@@ -21,17 +21,17 @@ def facts_of(sources, content, path="a.py"):
 
 
 def test_module_alias_call(sources):
-    code = 'import pandas as pd\ndef load():\n    df = pd.read_csv("file.csv")\n    return df\n'
+    code = "import shapely as geo\nclass Map:\n    area = geo.box(0, 0, 1, 2)\n"
     found = ul.calls(facts_of(sources, code))
     assert rows(found, "line", "col", "base_name", "attr_chain", *SHAPE) == [
-        (3, 9, "pd", ["read_csv"], 1, [])
+        (3, 11, "geo", ["box"], 4, [])
     ]
 
 
 def test_from_alias_call(sources):
-    code = 'from pandas import read_csv as rc\ndef load2():\n    df = rc("file.csv", sep=";")\n'
+    code = "from zlib import crc32 as check\nsums = [check(part, value=7) for part in ()]\n"
     found = ul.calls(facts_of(sources, code))
-    assert rows(found, "base_name", "attr_chain", *SHAPE) == [("rc", [], 1, ["sep"])]
+    assert rows(found, "base_name", "attr_chain", *SHAPE) == [("check", [], 1, ["value"])]
 
 
 def test_signature_shape(sources):
@@ -94,7 +94,7 @@ def test_definitions_are_module_level(sources):
 def test_broken_file_gives_one_diagnostic(sources):
     facts = facts_of(sources, "import os\nimport broken(", "pkg/bad.py")
     assert rows(ul.diagnostics(facts)) == [("r", "pkg/bad.py", "invalid syntax (bad.py, line 2)", 2, 14)]
-    assert facts.count() == 1
+    assert facts.filter("kind <> 'file'").count() == 1
 
 
 @pytest.mark.parametrize("content", [b"\xff\xfe", "x = 1\x00", "-" * 200_000 + "1", "(" * 5000])
@@ -108,7 +108,7 @@ def test_unparsable_content_never_fails_the_task(spark, content):
         ]
     )
     df = spark.createDataFrame([("r", "a.py", content)], schema)
-    assert ul.extract_facts(df).select("kind").collect() == [("diagnostic",)]
+    assert rows(ul.extract_facts(df), "kind") == [("diagnostic",), ("file",)]
 
 
 def test_bytes_and_text_agree(spark, sources):
@@ -119,7 +119,7 @@ def test_bytes_and_text_agree(spark, sources):
 
 
 def test_empty_and_null_content_have_no_facts(sources):
-    assert ul.extract_facts(sources({"a.py": "", "b.py": None})).count() == 0
+    assert rows(ul.extract_facts(sources({"a.py": "", "b.py": None})), "kind") == [("file",)] * 2
 
 
 def test_matches_a_plain_walk_over_the_standard_library(spark):
@@ -164,7 +164,14 @@ print("calls:", ul.calls(ul.extract_facts(df)).count())
     assert "calls: 1" in done.stdout, done.stderr[-2000:]
 
 
-def test_widen_leaves_wide_scans_alone(spark):
-    wide = spark.range(100, numPartitions=64)
-    assert ul.widen(wide) is wide
-    assert ul.widen(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 4
+def test_widen_runs_no_job(spark):
+    grouped = spark.range(100).groupBy("id").count()
+    spark.sparkContext.setJobGroup("widen", "")
+    wide = ul.widen(grouped, 6)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("widen")
+    assert "RoundRobinPartitioning(6)" in wide._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_file_read_is_a_fact(sources):
+    facts = ul.extract_facts(sources({"a.py": "f()", "b.py": "import broken(", "c.py": None}))
+    assert rows(ul.files(facts)) == [("r", "a.py"), ("r", "b.py"), ("r", "c.py")]

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import usagelens as ul
 from tests.test_queries import SF_DIR
@@ -49,6 +50,25 @@ def test_calls_are_shuffled_once(stored):
     assert "SortMergeJoin" not in above
 
 
+def test_lookups_read_each_side_once(stored):
+    """No ranking of keys and nothing stored on the way: imports, files and calls are read once."""
+    sources, facts = stored
+    files = sources.select("repo", "path")
+    edges = plan(ul.import_edges(facts, files))
+    assert edges.count("FileScan") == 2 and "TakeOrdered" not in edges
+    for mode, scans in (("reference", 4), ("full", 5)):
+        text = plan(ul.collect_api_calls(facts, files, mode=mode))
+        assert text.count("FileScan") <= scans and "TakeOrdered" not in text
+
+
+def test_qualified_lookup_writes_nothing(spark, stored):
+    sources, facts = stored
+    names = ul.calls(facts).select("repo", "path", "base_name", F.get("attr_chain", F.lit(0)).alias("attr_name"))
+    spark.sparkContext.setJobGroup("qualified", "")
+    ul.resolve_qualified(names, facts, sources.select("repo", "path"))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("qualified")
+
+
 def test_fact_scans_are_pruned(stored):
     _, facts = stored
     text = plan(ul.calls(facts).select("base_name"))

@@ -22,10 +22,12 @@ def called(scan, files, mode="reference", external_only=False):
 
 
 def test_symbol_targets(scan):
-    facts, _ = scan({"a.py": "import pandas as pd\nfrom numpy import array as nparray\n"})
+    code = "from colorsys import hls_to_rgb as paint\nimport fractions as fr, wave\n"
+    facts, _ = scan({"a.py": code})
     assert rows(ul.symbols(facts), "name", "target") == [
-        ("nparray", "numpy.array"),
-        ("pd", "pandas"),
+        ("fr", "fractions"),
+        ("paint", "colorsys.hls_to_rgb"),
+        ("wave", "wave"),
     ]
 
 
@@ -62,6 +64,15 @@ def test_relative_import_of_a_package_binds_nothing(scan):
     assert called(scan, files, "full") == [("p/a.py", "p.x.f", "p", False, "p/x.py", "p.x")]
 
 
+def test_import_from_the_root_folder(scan):
+    files = {"m.py": "from . import u\nu.f()\n", "u.py": "", "p/n.py": "from .. import u as v, w\nv.g()\nw.h()\n"}
+    assert called(scan, files, "full") == [
+        ("m.py", "u.f", "u", False, "u.py", "u"),
+        ("p/n.py", "u.g", "u", False, "u.py", "u"),
+        ("p/n.py", "w.h", "w", True, None, "w"),
+    ]
+
+
 def test_dotted_import(scan):
     code = {"a.py": 'import os.path\nos.path.join("a")\n'}
     assert called(scan, code) == [("a.py", "os.path.path.join", "os", True, None, "os.path")]

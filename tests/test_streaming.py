@@ -5,7 +5,7 @@ import pytest
 
 from tests.conftest import rows
 from usagelens.operators.usage import REPO_KEYS, daily_usage, library_days
-from usagelens.plans.usage import run_usage_job
+from usagelens.plans.usage import roll_up_months, run_usage_job
 from usagelens.schemas import REPO_USAGE_DAILY
 from usagelens.sources import read_usage
 from usagelens.streaming import daily_usage_stream, read_days, write_days
@@ -125,3 +125,46 @@ def test_months_grow_run_by_run(spark, tmp_path):
     assert run("c", "2024-02-02T03:00:00Z", "2024-03-05T10:00:00Z") == {1: 3, 2: 3}
     assert january and files(1) == january
     assert run("d", "2024-03-06T10:00:00Z", "2024-03-07T10:00:00Z") == {1: 3, 2: 3, 3: 2}
+
+
+def test_months_missing_after_a_failed_run_come_back(spark, tmp_path):
+    """A run that fails while folders are put in place leaves a table without its first months."""
+    texts = [message(f"2024-0{m}-1{d}T10:00:00Z") for m in (1, 2, 3) for d in (0, 1)]
+    (tmp_path / "inbox").mkdir()
+    (tmp_path / "inbox" / "a.txt").write_text("\n".join(texts))
+    paths = {name: str(tmp_path / name) for name in ("days", "checkpoint", "usage", "whole")}
+    stream = spark.readStream.text(str(tmp_path / "inbox"))
+    run_usage_job(stream, paths["days"], paths["checkpoint"], paths["whole"])
+    whole = read_usage(spark, paths["whole"])
+    march = whole.filter("time_window >= '2024-03-01'")
+    march.write.partitionBy("time_window").parquet(paths["usage"])
+    for _ in range(2):
+        roll_up_months(spark, paths["days"], paths["usage"])
+        found = rows(read_usage(spark, paths["usage"]), "time_window", "usage_count")
+        assert found == rows(whole, "time_window", "usage_count") and len(found) == 3
+
+
+def test_roll_up_opens_new_months_only(spark, tmp_path):
+    texts = [message(f"2024-0{m}-1{d}T10:00:00Z", f"p{m}.f") for m in (1, 2, 3) for d in (0, 1)]
+    (tmp_path / "inbox").mkdir()
+    (tmp_path / "inbox" / "a.txt").write_text("\n".join(texts))
+    for layout in (False, True):
+        days, checkpoint = str(tmp_path / f"days{layout}"), str(tmp_path / f"checkpoint{layout}")
+        stream = spark.readStream.text(str(tmp_path / "inbox"))
+        run_usage_job(stream, days, checkpoint, by_library=layout)
+        recent = read_days(spark, days, REPO_USAGE_DAILY, "2024-02")
+        assert rows(recent, "symbol") == [("p2.f",), ("p2.f",), ("p3.f",)]
+        assert len(rows(read_days(spark, days, REPO_USAGE_DAILY), "symbol")) == 5
+        plan = recent._jdf.queryExecution().executedPlan().toString()
+        assert ("PartitionFilters: [(isnull(event_month" in plan) != layout
+        names = {p.name.partition("=")[0] for p in (tmp_path / f"days{layout}").glob("*=*")}
+        assert names == {"library" if layout else "event_month"}
+
+
+def test_state_width_does_not_outlive_the_stream(spark, tmp_path):
+    (tmp_path / "inbox").mkdir()
+    (tmp_path / "inbox" / "a.txt").write_text(message("2024-01-01T10:00:00Z"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    stream = spark.readStream.text(str(tmp_path / "inbox"))
+    run_usage_job(stream, str(tmp_path / "days"), str(tmp_path / "checkpoint"), state_partitions=2)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -29,20 +29,20 @@ from usagelens.storage import scratch_path, store
 MONTH = dt.datetime(2024, 1, 1)
 LISTED = [
     {
-        "symbol": "pandas.read_table",
-        "library": "pandas",
-        "deprecated_in": "1.4",
-        "removed_in": "2.0",
+        "symbol": "gtk.Widget.show_all",
+        "library": "gtk",
+        "deprecated_in": "3.9",
+        "removed_in": "4.0",
         "severity": 3,
-        "replacement": "pandas.read_csv",
+        "replacement": "gtk.Widget.show",
     },
-    {"symbol": "numpy.matrix", "library": "numpy", "deprecated_in": "1.15", "removed_in": "2.0"},
+    {"symbol": "orm.bulk_save", "library": "orm", "deprecated_in": "2.1", "removed_in": "3.0"},
 ]
 
 
 @pytest.fixture
 def usage(spark):
-    data = [("r1", "pandas.read_table", MONTH, 5), ("r1", "numpy.matrix", MONTH, 2), ("r2", "x.y", MONTH, 9)]
+    data = [("r1", "gtk.Widget.show_all", MONTH, 5), ("r1", "orm.bulk_save", MONTH, 2), ("r2", "x.y", MONTH, 9)]
     return spark.createDataFrame(data, USAGE)
 
 
@@ -53,22 +53,36 @@ def listed_path(tmp_path):
     return str(path)
 
 
-def test_read_code(spark, tmp_path):
-    for name, text in {"one/a.py": "f()\n", "one/p/b.py": "g()\n", "one/c.txt": "", "two/a.py": "é\n"}.items():
-        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
-        (tmp_path / name).write_text(text, encoding="utf-8")
+def test_read_code_reads_what_a_walk_finds(spark, tmp_path):
+    texts = ["a.py", "_b.py", "p/__init__.py", "p/_q/c.py", ".venv/lib/d.py", "sp ace/e%20.py", "p/é.py"]
+    for i, name in enumerate([*texts, "p/none.txt"]):
+        (tmp_path / "one" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "one" / name).write_text(f"f{i}()\n")
+    (tmp_path / "one" / "folder.py").mkdir()
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "a.py").write_text("g()\n")
     (tmp_path / "three").mkdir()
-    roots = [str(tmp_path / "one"), f"file://{tmp_path}/two/", str(tmp_path / "three")]
+    roots = [str(tmp_path / "one"), f"file://{tmp_path}/two/", str(tmp_path / "three"), "/not/there"]
     code = read_code(spark, roots)
-    assert rows(code.withColumn("content", F.col("content").cast("string"))) == [
-        ("one", "a.py", "f()\n"),
-        ("one", "p/b.py", "g()\n"),
-        ("two", "a.py", "é\n"),
-    ]
-    assert rows(ul.calls(ul.extract_facts(code)), "repo", "path", "base_name") == [
-        ("one", "a.py", "f"),
-        ("one", "p/b.py", "g"),
+    walked = [
+        (root.name, str(file.relative_to(root)), file.read_text())
+        for root in (tmp_path / "one", tmp_path / "two")
+        for file in root.rglob("*.py")
+        if file.is_file()
     ]
+    assert len(walked) == len(texts) + 1
+    assert rows(code.withColumn("content", F.col("content").cast("string"))) == sorted(walked)
+    assert read_code(spark, []).count() == 0
+
+
+def test_call_into_a_package_read_from_a_folder_is_local(spark, tmp_path):
+    (tmp_path / "pkg").mkdir()
+    (tmp_path / "pkg" / "__init__.py").write_text("def run(): pass\n")
+    (tmp_path / "m.py").write_text("import pkg\npkg.run()\n")
+    facts = ul.extract_facts(read_code(spark, [str(tmp_path)]))
+    assert ul.collect_api_calls(facts, ul.files(facts)).count() == 0
+    found = ul.collect_api_calls(facts, ul.files(facts), external_only=False)
+    assert rows(found, "file", "is_external", "defining_file") == [("m.py", False, "pkg/__init__.py")]
 
 
 def test_path_and_library_filters(spark):
@@ -85,8 +99,8 @@ def test_path_and_library_filters(spark):
 def test_deprecated_list_spans_lines(spark, listed_path):
     found = read_deprecated(spark, listed_path)
     assert rows(found, "symbol", "severity", "replacement") == [
-        ("numpy.matrix", None, None),
-        ("pandas.read_table", 3, "pandas.read_csv"),
+        ("gtk.Widget.show_all", 3, "gtk.Widget.show"),
+        ("orm.bulk_save", None, None),
     ]
 
 
@@ -112,6 +126,20 @@ def test_parts_are_merged_by_name(spark, usage, tmp_path):
     assert merged.count() == 6 and merged.filter("usage_count is null").count() == 3
 
 
+def test_parts_are_found_at_any_depth(spark, usage, tmp_path):
+    """Plain sub-folders, ``key=value`` folders at two depths, and a part at the top."""
+    path = str(tmp_path / "us age")
+    slim = usage.drop("usage_count")
+    usage.write.parquet(f"{path}/2024/01")
+    usage.write.parquet(f"{path}/2024/02/deep=er%3A/folder")
+    usage.write.partitionBy("time_window").parquet(f"{path}/parted")
+    slim.write.mode("append").parquet(path)
+    found = read_parts(spark, path)
+    assert rows(found.filter("usage_count is not null"), *USAGE.names) == sorted(3 * rows(usage), key=repr)
+    assert found.count() == 12 and found.filter("deep = 'er:'").count() == 3
+    assert read_parts(spark, f"{path}/2024").count() == 6
+
+
 def test_missing_and_empty_inputs(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_parts(spark, str(tmp_path / "nowhere"))
@@ -161,7 +189,7 @@ def test_jdbc_options():
 
 
 def test_scan_sends_events_and_summarises(spark, sources, tmp_path):
-    code = sources({"a.py": "import pandas\npandas.read_table(1)\n", "b.py": "import broken("})
+    code = sources({"a.py": "import gtk\ngtk.Box(1)\n", "b.py": "import broken("})
     code = code.unionByName(sources({"a.py": "import u\nu.f()\n", "u.py": ""}, repo="s"))
     when = dt.datetime(2024, 1, 5, tzinfo=dt.timezone.utc)
     topic = str(tmp_path / "topic")
@@ -173,9 +201,9 @@ def test_scan_sends_events_and_summarises(spark, sources, tmp_path):
     assert rows(scan.diagnostics, "path", "line") == [("b.py", 1)]
     sent = ul.parse_events(spark.read.parquet(topic))
     assert rows(sent, "repo", "file", "symbol_called", "event_time") == [
-        ("r", "r/a.py", "pandas.read_table", dt.datetime(2024, 1, 5))
+        ("r", "r/a.py", "gtk.Box", dt.datetime(2024, 1, 5))
     ]
-    assert rows(ul.monthly_usage(sent)) == [("r", "pandas.read_table", MONTH, 1)]
+    assert rows(ul.monthly_usage(sent)) == [("r", "gtk.Box", MONTH, 1)]
 
 
 def test_disabled_topic_sends_nothing(spark, sources, tmp_path):
@@ -191,8 +219,8 @@ def test_exposure_job(spark, usage, listed_path, tmp_path):
         run_exposure_job(spark, paths[0], listed_path, paths[1], paths[2])
     scored = spark.read.parquet(paths[1])
     assert rows(scored, "symbol_called", "severity", "exposure_score") == [
-        ("numpy.matrix", 1, 2),
-        ("pandas.read_table", 3, 15),
+        ("gtk.Widget.show_all", 3, 15),
+        ("orm.bulk_save", 1, 2),
     ]
     exposed = spark.read.schema(REPO_EXPOSURE).parquet(paths[2])
     assert rows(exposed) == [("r1", MONTH, 17, 7, 2)]
@@ -225,12 +253,52 @@ def test_topic_stream(spark):
     assert stream.isStreaming and "value" in stream.columns
 
 
+def test_scan_reads_its_sources_once(spark, sources, tmp_path):
+    code = store(sources({"a.py": "import os\nos.getcwd()\nimport re\nre.compile(1)\n"}), "code")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = code.mapInArrow(count, code.schema)
+    scan = run_scan_job(counted, str(tmp_path / "work"), target_libraries=["re"])
+    assert rows(scan.summary, "tracked_files", "external_calls") == [(1, 1)]
+    assert seen.value == 1
+
+
+def test_months_are_utc_in_any_session(spark):
+    from usagelens.functions import month_bucket, month_label
+
+    events = [("r", "p", "p.f", "p.f", t) for t in ("2024-02-01T00:30:00Z", "2024-01-31T23:30:00Z")]
+    names = "repo string, library string, symbol string, symbol_called string, t string"
+
+    def months():
+        table = spark.createDataFrame(events, names).withColumn("event_time", F.col("t").cast("timestamp"))
+        days = ul.daily_usage(table, ("repo", "library", "symbol", "symbol_called"))
+        tables = [ul.monthly_usage(table), ul.months_of_days(days)]
+        tables.append(table.select(month_bucket(F.col("event_time")).alias("time_window"), F.lit(1)))
+        label = month_label(F.col("event_time"))
+        return [
+            rows(t.withColumn("time_window", F.unix_micros("time_window"))) for t in tables
+        ] + [rows(table.select(label))]
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        west = months()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert west == months()
+    assert west[-1] == [("2024-01",), ("2024-02",)]
+
+
 def test_jobs_run_from_the_command_line(spark, tmp_path, monkeypatch):
     from usagelens.plans import main
 
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     (tmp_path / "code" / "repo").mkdir(parents=True)
-    (tmp_path / "code" / "repo" / "a.py").write_text("import numpy as np\nnp.matrix(1)\n")
+    (tmp_path / "code" / "repo" / "a.py").write_text("import imp as loader\nloader.load_source(1)\n")
     settings = tmp_path / "settings.json"
     settings.write_text(json.dumps({"repos": [str(tmp_path / "code" / "repo")], "exclude_dirs": ["x"]}))
     work = str(tmp_path / "work")
@@ -243,7 +311,7 @@ def test_jobs_run_from_the_command_line(spark, tmp_path, monkeypatch):
         + ["--deprecated-usage-output", paths["scored"], "--repo-exposure-output", paths["exposed"]]
     )
     exposed = spark.read.parquet(paths["exposed"])
-    assert rows(exposed, "repo", "exposure_score") == [("repo", 4)]
+    assert rows(exposed, "repo", "exposure_score") == [("repo", 5)]
 
 
 def test_command_line():
