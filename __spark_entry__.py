@@ -21,10 +21,24 @@ from usagelens import functions as fn
 from usagelens.operators.exposure import with_default_severity
 from usagelens.operators.usage import REPO_KEYS
 from usagelens.plans import event_corpus as corpus
+from usagelens.plans.exposure import run_exposure_job
 from usagelens.plans.scan import run_scan_job
-from usagelens.schemas import REPO_USAGE_DAILY, USAGE, USAGE_DAILY
+from usagelens.plans.usage import run_usage_job
+from usagelens.schemas import (
+    DEPRECATED_USAGE,
+    REPO_EXPOSURE,
+    REPO_USAGE_DAILY,
+    USAGE,
+    USAGE_DAILY,
+)
 from usagelens.sinks import overwrite, require_columns, send_events
-from usagelens.sources import keep_libraries, keep_paths, read_parts, read_usage
+from usagelens.sources import (
+    keep_libraries,
+    keep_paths,
+    read_deprecated,
+    read_parts,
+    read_usage,
+)
 from usagelens.storage import scratch_path, store
 from usagelens.streaming import daily_usage_stream, read_days, write_days
 
@@ -292,6 +306,24 @@ def usage_monthly(spark, sf_dir):
     return _plain_time(ul.monthly_usage(_events(spark, sf_dir)))
 
 
+@_query(
+    _USAGE
+    + """
+SELECT library, symbol, count(*) AS num_calls, day AS event_day_start,
+       day + INTERVAL 1 DAY AS event_day_end
+FROM (SELECT library, symbol, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM u
+      WHERE library <> 'error') GROUP BY ALL
+"""
+)
+def usage_daily_messages(spark, sf_dir):
+    """Days of messages, some of which have no time."""
+    time = F.when(F.col("library") != "error", F.col("event_time").cast("timestamp"))
+    messages = ul.to_messages(
+        _events(spark, sf_dir).select("repo", "library", "symbol_called", time.alias("timestamp"))
+    )
+    return _plain_time(ul.daily_usage(ul.parse_events(messages)))
+
+
 @_query(_USAGE + _MONTHS + "SELECT * FROM months")
 def usage_months_of_days(spark, sf_dir):
     days = ul.daily_usage(_events(spark, sf_dir), REPO_KEYS)
@@ -384,6 +416,40 @@ def repo_exposure(spark, sf_dir):
     return _plain_time(ul.repo_exposure(_scored(spark, sf_dir)))
 
 
+def _list_file(spark: SparkSession, sf_dir: str) -> str:
+    """The deprecated list as a JSON array in a file."""
+    path = scratch_path(spark, "list")
+    listed = corpus.deprecated_symbols(corpus.read_events(spark, sf_dir))
+    array = listed.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+    array.select(F.replace("value", F.lit("},{"), F.lit("},\n{"))).write.text(path)
+    return path
+
+
+@_query(_ORACLES["deprecated_list"])
+def deprecated_list_file(spark, sf_dir):
+    return with_default_severity(read_deprecated(spark, _list_file(spark, sf_dir)))
+
+
+def _run_exposure_job(spark: SparkSession, sf_dir: str) -> str:
+    folder = scratch_path(spark, "exposure-job")
+    overwrite(ul.monthly_usage(_events(spark, sf_dir)), f"{folder}/usage")
+    paths = [f"{folder}/{name}" for name in ("usage", "scored", "exposed")]
+    run_exposure_job(spark, paths[0], _list_file(spark, sf_dir), *paths[1:])
+    return folder
+
+
+@_query(_ORACLES["repo_exposure"])
+def exposure_job(spark, sf_dir):
+    folder = _run_exposure_job(spark, sf_dir)
+    return _plain_time(spark.read.schema(REPO_EXPOSURE).parquet(f"{folder}/exposed"))
+
+
+@_query(_ORACLES["deprecated_usage"])
+def exposure_job_scores(spark, sf_dir):
+    folder = _run_exposure_job(spark, sf_dir)
+    return _plain_time(spark.read.schema(DEPRECATED_USAGE).parquet(f"{folder}/scored"))
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 
@@ -432,6 +498,30 @@ def usage_stream_months(spark, sf_dir):
     return _plain_time(ul.months_of_days(read_days(spark, path, REPO_USAGE_DAILY)))
 
 
+@_query(_ORACLES["usage_stream_months"])
+def usage_stream_restart(spark, sf_dir):
+    """The usage job over the first half of the month, then over the rest and some late messages."""
+    folder = scratch_path(spark, "usage-job")
+    events = corpus.read_events(spark, sf_dir)
+    is_first = F.col("ts") < F.lit("2024-01-15")
+    late = events.filter(~is_first).withColumns(
+        {"ts": F.lit("2024-01-01T12:00:00").cast(events.schema["ts"].dataType)}
+    )
+    for name, part in (("1", events.filter(is_first)), ("2", events.filter(~is_first).union(late))):
+        part.write.parquet(f"{folder}/inbox/{name}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/inbox/*")
+        usage = corpus.usage_events(stream).select(
+            "repo",
+            "library",
+            "symbol_called",
+            F.col("event_time").cast("timestamp").alias("timestamp"),
+        )
+        run_usage_job(
+            ul.to_messages(usage), f"{folder}/days", f"{folder}/checkpoint", f"{folder}/usage"
+        )
+    return _plain_time(read_usage(spark, f"{folder}/usage"))
+
+
 # --- code facts ---------------------------------------------------------------------------------
 
 
@@ -817,6 +907,124 @@ def scan_job(spark, sf_dir):
     return run_scan_job(sources, scratch_path(spark, "scan"), scan_time=SCAN_TIME).summary
 
 
+# --- competing imports ------------------------------------------------------------------------
+
+# The files of ``tangled_sources``.
+_TANGLED = """
+WITH e AS (
+  SELECT 'repo' || (user_id % 10) AS repo, event_type, json_extract_string(props, '$.k') AS k,
+         event_id AS n
+  FROM events),
+repos AS (SELECT DISTINCT repo FROM e),
+t AS (
+  SELECT repo, event_type, k, n, stem || n || '.py' AS path
+  FROM e JOIN (VALUES ('click', 'pkg/e'), ('view', 'lib/e'), ('purchase', 'pkg/sub/e'),
+                      ('signup', 'm'), ('error', 'r')) AS s(kind, stem) ON event_type = kind)
+"""
+
+
+def _tangled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    events = corpus.read_events(spark, sf_dir).select("event_id", "event_type", "user_id", "props")
+    wide = ul.widen(events, spark.sparkContext.defaultParallelism)
+    facts = store(ul.extract_facts(corpus.tangled_sources(wide)), "tangled", ["kind"])
+    return facts, ul.files(facts)
+
+
+@_query(
+    _TANGLED
+    + """
+SELECT repo, path, name, target, declared
+FROM t JOIN (VALUES
+  ('click', 'x', 'a', 'import a{k} as x|import b{k} as x|def x(...)'),
+  ('view', '*', 'm.*', 'from m import * as *'),
+  ('view', 'v', 'pkg.u', 'import pkg.u as v'),
+  ('purchase', 'f', 'u.f', 'from u import f as f'),
+  ('signup', 'm{n}', 'm{n}', 'import m{n} as m{n}')
+) AS s(kind, bare, aim, texts) ON event_type = kind,
+LATERAL (SELECT replace(bare, '{n}', n::VARCHAR) AS name,
+                CASE aim WHEN 'a' THEN 'a' || k ELSE replace(aim, '{n}', n::VARCHAR) END AS target,
+                replace(replace(texts, '{k}', k), '{n}', n::VARCHAR) AS declared)
+UNION ALL SELECT repo, path, 'f', NULL, 'def f(...)' FROM repos, (VALUES ('pkg/u.py'), ('u.py')) AS h(path)
+"""
+)
+def tangled_symbols(spark, sf_dir):
+    """The first target wins; declarations are listed in binding order."""
+    facts, _ = _tangled(spark, sf_dir)
+    texts = F.filter("declarations", lambda _, i: i % 2 == 1)
+    declared = F.array_join(F.transform(texts, lambda x: F.substring_index(x, "  (", 1)), "|")
+    return ul.symbols(facts).select("repo", "path", "name", "target", declared.alias("declared"))
+
+
+@_query(
+    _TANGLED
+    + """
+SELECT repo, replace(replace(path, '.py', ''), '/', '.') AS module, path AS file FROM t
+UNION ALL SELECT repo, 'm' || n || '.__init__', 'm' || n || '/__init__.py' FROM t
+WHERE event_type = 'signup'
+UNION ALL SELECT repo, module, file
+FROM repos, (VALUES ('pkg.u', 'pkg/u.py'), ('u', 'u.py')) AS h(module, file)
+"""
+)
+def tangled_modules(spark, sf_dir):
+    """A module wins over a package of its name."""
+    return ul.module_index(_tangled(spark, sf_dir)[1])
+
+
+@_query(
+    _TANGLED
+    + """
+SELECT repo, path, replace(replace(name, '{k}', k), '{n}', n::VARCHAR) AS module,
+       replace(found, '{n}', n::VARCHAR) AS file, found IS NOT NULL AS is_local, imported_names
+FROM t JOIN (VALUES
+  ('click', 'a{k}', NULL, ''), ('click', 'b{k}', NULL, ''), ('view', 'm', NULL, '*'),
+  ('view', 'pkg.u', 'pkg/u.py', ''), ('purchase', 'pkg.u', 'pkg/u.py', 'f'),
+  ('signup', 'm{n}', 'm{n}.py', '')
+) AS g(kind, name, found, imported_names) ON event_type = kind
+"""
+)
+def tangled_edges(spark, sf_dir):
+    edges = ul.import_edges(*_tangled(spark, sf_dir))
+    return edges.withColumn("imported_names", F.concat_ws(",", "imported_names"))
+
+
+_TANGLED_CALLS = """
+SELECT repo, path AS file, replace(replace(symbol, '{k}', k), '{n}', n::VARCHAR) AS symbol_called,
+       found IS NULL AS is_external, replace(found, '{n}', n::VARCHAR) AS defining_file,
+       replace(replace(aim, '{k}', k), '{n}', n::VARCHAR) AS import_module
+FROM t JOIN (VALUES %s) AS c(kind, symbol, found, aim) ON event_type = kind
+"""
+
+
+def _tangled_calls(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    found = ul.collect_api_calls(*_tangled(spark, sf_dir), external_only=False, mode=mode)
+    return found.select(
+        "repo", "file", "symbol_called", "is_external", "defining_file", "import_module"
+    )
+
+
+@_query(
+    _TANGLED
+    + _TANGLED_CALLS
+    % """
+  ('click', 'a{k}.f', NULL, 'a{k}'), ('view', 'pkg.u.go', NULL, 'pkg.u'),
+  ('purchase', 'u.f', NULL, 'u.f'), ('signup', 'm{n}.go', 'm{n}.py', 'm{n}')"""
+)
+def tangled_calls(spark, sf_dir):
+    return _tangled_calls(spark, sf_dir, "reference")
+
+
+@_query(
+    _TANGLED
+    + _TANGLED_CALLS
+    % """
+  ('click', 'a{k}.f', NULL, 'a{k}'), ('view', 'pkg.u.go', 'pkg/u.py', 'pkg.u'),
+  ('purchase', 'pkg.u.f', 'pkg/u.py', 'pkg.u.f'), ('signup', 'm{n}.go', 'm{n}.py', 'm{n}'),
+  ('error', 'u.g', 'u.py', 'u')"""
+)
+def tangled_calls_full_mode(spark, sf_dir):
+    return _tangled_calls(spark, sf_dir, "full")
+
+
 # --- tables and loads ---------------------------------------------------------------------------
 
 
@@ -840,9 +1048,11 @@ SELECT repo, symbol_called, time_window, CASE WHEN symbol_called NOT LIKE 'click
 def parquet_parts_union(spark, sf_dir):
     path = scratch_path(spark, "parts")
     months = ul.monthly_usage(_events(spark, sf_dir))
-    is_click = F.col("symbol_called").startswith("click")
-    months.filter(~is_click).withColumn("note", F.lit("extra")).write.parquet(f"{path}/part=1")
-    months.filter(is_click).drop("usage_count").write.parquet(f"{path}/part=2")
+    library = F.substring_index("symbol_called", ".", 1)
+    months.filter(library == "view").withColumn("note", F.lit("extra")).write.parquet(f"{path}/part=1")
+    months.filter(library == "click").drop("usage_count").write.parquet(f"{path}/part=2")
+    months.filter(library == "purchase").write.parquet(f"{path}/2024/01")
+    months.filter(~library.isin("view", "click", "purchase")).write.mode("append").parquet(path)
     return _plain_time(require_columns(read_parts(spark, path), USAGE.names))
 
 

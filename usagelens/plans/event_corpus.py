@@ -94,3 +94,44 @@ def code_sources(events: DataFrame) -> DataFrame:
     )
     repos = events.select(event_repo().alias("repo")).distinct()
     return files.unionByName(repos.select("repo", F.inline(helpers)))
+
+
+def tangled_sources(events: DataFrame) -> DataFrame:
+    """Files whose imports compete: names bound three times, a module beside a package of its name,
+    star, dotted and relative imports. One file per event, one more per ``signup``, and two helper
+    files per repo.
+    """
+    kind, k, number = F.col("event_type"), event_k(), F.col("event_id").cast("string")
+    path = (
+        F.when(kind == "click", F.concat(F.lit("pkg/e"), number))
+        .when(kind == "view", F.concat(F.lit("lib/e"), number))
+        .when(kind == "purchase", F.concat(F.lit("pkg/sub/e"), number))
+        .when(kind == "signup", F.concat(F.lit("m"), number))
+        .otherwise(F.concat(F.lit("r"), number))
+    )
+    content = (
+        F.when(
+            kind == "click",
+            F.format_string(
+                "import a%s as x\nimport b%s as x\ndef x(): pass\nx.f()\n", k, k
+            ),
+        )
+        .when(kind == "view", F.lit("from m import *\nimport pkg.u as v\nv.go()\n"))
+        .when(kind == "purchase", F.lit("from ..u import f\nf()\n"))
+        .when(kind == "signup", F.format_string("import m%s\nm%s.go()\n", number, number))
+        .otherwise(F.lit("from . import u\nu.g()\n"))
+    )
+    one = F.struct(F.concat(path, F.lit(".py")).alias("path"), content.alias("content"))
+    package = F.struct(
+        F.concat(path, F.lit("/__init__.py")).alias("path"), F.lit("").alias("content")
+    )
+    made = F.when(kind == "signup", F.array(one, package)).otherwise(F.array(one))
+    files = events.select(event_repo().alias("repo"), F.inline(made))
+    helpers = F.array(
+        *[
+            F.struct(F.lit(name).alias("path"), F.lit("def f(): pass\n").alias("content"))
+            for name in ("pkg/u.py", "u.py")
+        ]
+    )
+    repos = events.select(event_repo().alias("repo")).distinct()
+    return files.unionByName(repos.select("repo", F.inline(helpers)))
