@@ -180,12 +180,12 @@ def judge(
     if limits.count() <= max_broadcast_groups:
         limits = F.broadcast(limits)
     m = F.col(_name("m"))
-    noise = WORD_CHARS_NOISE / F.sqrt(m["n_words"])
+    noise = WORD_CHARS_NOISE / F.sqrt(F.greatest(m["n_words"], F.lit(1)))
     fine = m["mean_word"].between(
         F.col("limits.mean_word_low") - noise, F.col("limits.mean_word_high") + noise
     )
     for x in SHARES:
-        over = 1 / F.sqrt(m["n_lines"]) if x == "dup_line_share" else F.lit(0.0)
+        over = 1 / F.sqrt(F.greatest(m["n_lines"], F.lit(1))) if x == "dup_line_share" else F.lit(0.0)
         fine &= m[x] <= F.col(f"limits.{x}_high") + over
     same = F.col(groups[0]).eqNullSafe(F.col("limits.g0"))
     same &= F.col(groups[1]).eqNullSafe(F.col("limits.g1"))
