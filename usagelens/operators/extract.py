@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -26,6 +26,10 @@ _ROWS_PER_BATCH = 20_000
 # Fixed value: how the diagnostic of anything but a syntax error starts.
 _OTHER_FAILURE = "Unexpected error while parsing: "
 
+# What the parser says of source that is nested too deeply for it.
+_TOO_COMPLEX = "Parser stack overflowed"
+_TOO_DEEP = "maximum recursion depth exceeded"
+
 # The columns each kind of fact fills; the others are null.
 _FILLED = {
     "import": (
@@ -126,6 +130,12 @@ def diagnostics(facts: DataFrame) -> DataFrame:
     )
 
 
+def is_too_complex(message: Column) -> Column:
+    """Whether a diagnostic is of valid or invalid source nested too deeply for the parser."""
+    said = [F.lit(_OTHER_FAILURE + limit) for limit in (_TOO_COMPLEX, _TOO_DEEP)]
+    return F.startswith(message, said[0]) | F.startswith(message, said[1])
+
+
 def _facts_of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pending = {kind: [] for kind in _FILLED}
     with warnings.catch_warnings():
@@ -165,9 +175,16 @@ def _facts_of_file(path: str, content: str | bytes | None) -> Iterator[tuple]:
     except SyntaxError as error:
         yield "diagnostic", error.lineno or 0, error.offset or 0, _plain(str(error))
         return
-    except Exception as error:
+    except (ValueError, RecursionError) as error:  # undecodable, null bytes, nested too deeply
         yield "diagnostic", 0, 0, _plain(_OTHER_FAILURE + str(error))
         return
+    except MemoryError as error:
+        # The parser's own limit. A worker short of memory fails its task instead, so that what a
+        # file gives does not depend on the worker.
+        if not str(error).startswith(_TOO_COMPLEX):
+            raise
+        yield "diagnostic", 0, 0, _OTHER_FAILURE + str(error)
+        return
 
     statements = []
     unseen = [tree]

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.operators.extract import diagnostics, extract_facts
+from usagelens.operators.extract import diagnostics, extract_facts, is_too_complex
 
 _KEY = ["repo", "path"]
 
@@ -45,9 +45,14 @@ def extract_single(sources: DataFrame, repo: str, path: str) -> DataFrame:
 
 
 def scan_summary(facts: DataFrame, files: DataFrame, external_calls: DataFrame) -> DataFrame:
-    """Tracked files, external calls and diagnostics per repo."""
-    counted = ["tracked_files", "external_calls", "diagnostics"]
-    parts = [files, external_calls, diagnostics(facts)]
+    """Tracked files, external calls and diagnostics per repo.
+
+    ``too_complex`` counts those of the diagnostics that are the parser's limit, not the file's
+    fault.
+    """
+    counted = ["tracked_files", "external_calls", "diagnostics", "too_complex"]
+    failed = diagnostics(facts)
+    parts = [files, external_calls, failed, failed.filter(is_too_complex(F.col("message")))]
     rows = None
     for name, part in zip(counted, parts):
         ones = part.select("repo", *[F.lit(int(c == name)).alias(c) for c in counted])
