@@ -1,0 +1,108 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from tests.conftest import rows
+from tests.llm.conftest import MESSY, words
+from usagelens.llm import simhash as sh
+from usagelens.llm.components import components
+
+
+def plain_simhash(text):
+    low = [w.lower() for w in words(text)]
+    shingles = [b" ".join(low[i : i + 3]) for i in range(max(len(low) - 2, 1))] if low else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def roots(values, most=2):
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in itertools.combinations(sorted(values), 2):
+        if (a ^ b).bit_count() <= most:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    return {v: find(v) for v in values}
+
+
+def test_golay_code_is_perfect():
+    words = np.arange(1 << 23, dtype=np.uint32)
+    nearest = sh.golay()[1][sh.golay()[0][words], 0]
+    assert np.bitwise_count(nearest).max() == 3
+    code = np.unique(words ^ nearest)
+    assert len(code) == 4096 and len(np.unique(code >> 11)) == 4096
+    assert np.bitwise_count(code[1:]).min() == 7
+
+
+def test_fuzzy_keys_meet_within_two_bits():
+    pick = random.Random(5)
+    for _ in range(300):
+        a = pick.getrandbits(64)
+        flips = pick.sample(range(64), pick.randint(0, 2))
+        b = a ^ sum(1 << f for f in flips)
+        stored, _ = sh.fuzzy_keys(np.array([a], np.uint64))
+        _, looked = sh.fuzzy_keys(np.array([b], np.uint64))
+        assert set(stored[0]) & set(looked[0])
+
+
+@pytest.mark.parametrize("hot", [1, 64])
+def test_links_connect_what_pairs_would(spark, hot):
+    """Clusters of near words, chains, and lone words; with and without crowded keys."""
+    pick = random.Random(hot)
+    values = {pick.getrandbits(64) for _ in range(100)}
+    for _ in range(12):
+        value = pick.getrandbits(64)
+        for _ in range(40):
+            value ^= sum(1 << f for f in pick.sample(range(64), pick.randint(1, 3)))
+            values.add(value)
+    signed = lambda v: v - (1 << 64) * (v >> 63)
+    prints = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    joined = dict(components(sh.links(prints, hot)).collect())
+    groups = {}
+    for v, root in roots(values).items():
+        groups.setdefault(root, set()).add(signed(v))
+    mine = {}
+    for v in values:
+        mine.setdefault(joined.get(signed(v), signed(v)), set()).add(signed(v))
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, groups.values()))
+    assert max(map(len, mine.values())) > 10
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)]
+    random.Random(1).shuffle(links)
+    found = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert set(found.values()) == {0, 1000} and len(found) == 501
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_fingerprints_of_messy_rows(documents):
+    found = sh.fingerprints(documents(MESSY))
+    assert rows(found.selectExpr("id", "hex(fp)")) == sorted(
+        ((i, f"{plain_simhash(t):X}") for i, t in MESSY), key=repr
+    )
+
+
+def test_pieces_do_not_change_a_fingerprint(monkeypatch):
+    text = " ".join(random.Random(1).choices(["Alpha", "b", "gamma", "d\n"], k=300)).encode()
+    whole = sh.simhash(text)
+    for size in (1, 7, 100):
+        monkeypatch.setattr(sh, "_PIECE", size)
+        assert sh.simhash(text) == whole == plain_simhash(text.decode())
+
+
+def test_smallest_id_of_each_group_stays(documents):
+    docs = documents(MESSY)
+    stay = sh.drop_near_copies(docs)
+    assert stay.columns == docs.columns
+    # 2, 3, 5 and a null id have no word; 1 and 6 are equal.
+    assert rows(stay, "doc_id") == sorted([(1,), (2,), (8,), (9,), (11,), (None,)], key=repr)
+    assert sh.drop_near_copies(docs.limit(0)).count() == 0
