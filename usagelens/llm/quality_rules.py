@@ -14,9 +14,14 @@ WINDOW = 5
 #: Measures with an upper cutoff, and the least spread that is granted to each.
 SHARES = {"symbol_share": 0.02, "dup_line_share": 0.1, "repeat_share": 0.1, "capital_share": 0.05}
 WORD_CHARS_SPREAD = 0.25
-#: In short texts chance has a part: a mean word length may stray further by this over the root of
-#: the number of words, a share of repeated lines by one over the root of the number of lines.
+#: In short texts chance has a part: a measure may stray further, by this over the root of a size.
 WORD_CHARS_NOISE = 15.0
+NOISE = {
+    "symbol_share": ("word_chars", 0.6),
+    "capital_share": ("word_chars", 0.6),
+    "dup_line_share": ("n_lines", 1.0),
+    "repeat_share": ("n_words", 1.0),
+}
 _PREFIX = "_quality_"
 
 
@@ -185,7 +190,8 @@ def judge(
         F.col("limits.mean_word_low") - noise, F.col("limits.mean_word_high") + noise
     )
     for x in SHARES:
-        over = 1 / F.sqrt(F.greatest(m["n_lines"], F.lit(1))) if x == "dup_line_share" else F.lit(0.0)
+        size, noise = NOISE[x]
+        over = noise / F.sqrt(F.greatest(m[size], F.lit(1)))
         fine &= m[x] <= F.col(f"limits.{x}_high") + over
     same = F.col(groups[0]).eqNullSafe(F.col("limits.g0"))
     same &= F.col(groups[1]).eqNullSafe(F.col("limits.g1"))
