@@ -4,7 +4,7 @@ Only the histogram, one count per length up to the capacity, reaches the driver.
 there into patterns of lengths with counts; documents' pieces then find their places by rank.
 """
 
-import os
+import base64
 import re
 from collections import Counter
 
@@ -19,35 +19,45 @@ from usagelens.llm.words import utf8
 from usagelens.storage import store
 
 _BREAK = re.compile(r"(?<=\S)(?= \S)")
-_REMEMBERED = 300_000
+_WIDE = re.compile(r" \s|\s |\0")
+_REMEMBERED = 600_000
 
 
 class WordTokens:
-    """Token ids of texts, remembering those of words.
+    """Token ids of texts by a byte-level vocabulary of ranks, remembering those of words.
 
-    A byte-level vocabulary of this kind never merges across a single space between two
-    characters that are not white space, so a text is the concatenation of its parts there.
+    Such a vocabulary never merges across a single space between two characters that are not white
+    space, so a text is the concatenation of its parts there. Names of special tokens in a text
+    are ordinary text.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as file:
+            lines = (line.split() for line in file)
+            ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
+        self._encode = tiktoken.Encoding(
+            "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
         self._known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        known, parts = self._known, _BREAK.split(text)
+        if _WIDE.search(text):
+            parts = _BREAK.split(text)
+        else:
+            parts = text.replace(" ", "\0 ").split("\0")
+        known = self._known
         try:
             return b"".join([known[p] for p in parts])
         except KeyError:
             if len(known) > _REMEMBERED:
                 known.clear()
-            new = [p for p in dict.fromkeys(parts) if p not in known]
-            for p, e in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[p] = np.array(e.ids, "<u4").tobytes()
+            for p in parts:
+                if p not in known:
+                    known[p] = np.array(self._encode(p), "<u4").tobytes()
             return b"".join([known[p] for p in parts])
 
 
@@ -155,26 +165,26 @@ def pack(pieces: DataFrame, order_by: list[str], capacity: int = 1024) -> DataFr
     and rank decides the place. Pieces equal in all of ``order_by`` may change places.
     """
     columns = pieces.columns
-    part = store(
-        pieces.repartitionByRange("length", *order_by).withColumn("part", F.spark_partition_id()),
-        "ranged-pieces",
-    )
-    sizes = part.groupBy("length", "part").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("length").orderBy("part")
-    before = F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-    sizes = store(sizes.withColumn("before", F.coalesce(before, F.lit(0))), "piece-counts")
+    pieces = store(pieces, "pieces")  # the ranges are found by a pass of their own
+    part, before, rank = "_pack_part", "_pack_before", "_pack_rank"
+    ranged = pieces.repartitionByRange("length", *order_by)
+    ranged = store(ranged.withColumn(part, F.spark_partition_id()), "ranged-pieces")
+    sizes = ranged.groupBy("length", part).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("length").orderBy(part)
+    ahead = F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    sizes = store(sizes.withColumn(before, F.coalesce(ahead, F.lit(0))), "piece-counts")
     totals = sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()  # capacity rows at most
     places = _places({r["length"]: r["n"] for r in totals}, capacity)
-    within = Window.partitionBy("length", "part").orderBy(*order_by)
+    within = Window.partitionBy("length", part).orderBy(*order_by)
     ranked = (
-        part.join(sizes.select("length", "part", "before"), ["length", "part"])
-        .withColumn("rank", F.col("before") + F.row_number().over(within) - 1)
-        .select(*columns, "rank")
+        ranged.join(sizes.select("length", part, before), ["length", part])
+        .withColumn(rank, F.col(before) + F.row_number().over(within) - 1)
+        .select(*columns, rank)
     )
 
     def run(batches):
         for batch in batches:
-            lengths, ranks = batch["length"].to_numpy(), batch["rank"].to_numpy()
+            lengths, ranks = batch["length"].to_numpy(), batch[rank].to_numpy()
             sequence, offset = np.empty_like(ranks), np.empty_like(ranks)
             for length in np.unique(lengths).tolist():
                 mine = lengths == length

@@ -126,7 +126,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query()
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.tiktoken")
     packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer)
     return packed.withColumnRenamed("id", "doc_id")
 
