@@ -46,19 +46,14 @@ class Features:
         return tuple(xxhash.xxh64_intdigest(n) % self._buckets for n in names)
 
     def __call__(self, text: bytes) -> np.ndarray:
-        known, out, before = self._known, [], None
+        known, words = self._known, text.split()
         if len(known) > _REMEMBERED:
             known.clear()
-        for word in text.split():
-            found = known.get(word)
-            if found is None:
-                found = known[word] = self._look(word)
-            out.append(found[0])
-            out.append(found[1])
-            if word == before:
-                out.append(found[2])
-            before = word
-        return np.array(out, np.int32)
+        for word in set(words).difference(known):
+            known[word] = self._look(word)
+        found = np.array([known[w] for w in words], np.int32).reshape(-1, 3)
+        again = [i for i in range(1, len(words)) if words[i] == words[i - 1]]
+        return np.concatenate([found[:, :2].ravel(), found[again, 2]])
 
 
 def _sigmoid(x):
