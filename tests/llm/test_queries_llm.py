@@ -13,7 +13,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from tests.llm import test_language_model, test_quality_rules, test_simhash, test_substring_dedup
+from tests.llm import test_language_model as plain_model
+from tests.llm import test_quality_rules as plain_rules
+from tests.llm import test_simhash as plain_prints
+from tests.llm import test_substring_dedup as plain_passages
 from tests.llm.conftest import words
 from usagelens.llm import queries
 
@@ -60,7 +63,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_substrings(spark, texts):
     found = run(spark, "op1_substring_dedup")
-    expect = test_substring_dedup.expected([t for _, t in texts], 35)
+    expect = plain_passages.expected([t for _, t in texts], 35)
     for (i, _), (n, removed, kept) in zip(texts, expect, strict=True):
         assert (found[i].n_words, found[i].n_removed) == (n, removed)
         assert found[i].kept_sha256 == sha256(kept.encode()).hexdigest()
@@ -97,7 +100,7 @@ def test_packing(spark, texts):
 def test_language_model(spark, texts):
     found = run(spark, "op6_language_model")
     training = [r for r in texts if zlib.crc32(str(r[0]).encode()) % 5 != 1]
-    n, expect = test_language_model.base_scores(texts, training)
+    n, expect = plain_model.base_scores(texts, training)
     for i, text in texts:
         size, known, base = expect[i, text]
         r = found[i]
@@ -111,7 +114,7 @@ def test_language_model(spark, texts):
 def test_quality_rules_query(spark, texts):
     found = run(spark, "op8_quality_rules")
     for i, text in texts:
-        r, expect = found[i], test_quality_rules.plain(text)
+        r, expect = found[i], plain_rules.plain(text)
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == expect
         assert r.base_failed == (expect[0] < 10 or 100 * expect[4] > 20 * expect[0])
         assert not (r.base_failed and r.kept)
@@ -119,9 +122,9 @@ def test_quality_rules_query(spark, texts):
 
 def test_simhash_query(spark, texts):
     found = run(spark, "op9_simhash")
-    prints = {i: test_simhash.plain_simhash(t) for i, t in texts}
+    prints = {i: plain_prints.plain_simhash(t) for i, t in texts}
     assert {i: int(r.fingerprint, 16) for i, r in found.items()} == prints
-    root = test_simhash.roots(set(prints.values()))
+    root = plain_prints.roots(set(prints.values()))
     least = {}
     for i, p in sorted(prints.items(), reverse=True):
         least[root[p]] = i
