@@ -71,46 +71,48 @@ class Measurer:
 
     def __init__(self, lexicon: dict[str, float]):
         self._lexicon = lexicon
-        self._known: dict[str, int] = {}
-        self._rows: list[tuple[float, ...]] = []
-        self._table = np.zeros((0, 9))
+        self._heads = {unit.rstrip("-")[: PREFIXES[0]] for unit in lexicon}
+        self._known: dict[bytes, int] = {}
+        self._table = np.zeros((1 << 16, 9))
+
+    def _score(self, core: str) -> float:
+        if core[: PREFIXES[0]] not in self._heads:
+            return 0.0
+        return max(self._lexicon.get(u, 0.0) for u in units(core))
 
     def _look(self, word: str) -> tuple[float, ...]:
+        if word.isalpha() and word.islower():
+            return (self._score(word), 0, word in SECOND_PERSON, 0, 0, 0, 0, 0, 0)
         core, disguised = plain(word)
-        score = max((self._lexicon.get(u, 0.0) for u in units(core)), default=0.0) if core else 0.0
-        marks = sum(not c.isalnum() for c in word)
+        score = self._score(core) if core else 0.0
+        marks = 0 if word.isalnum() else sum(not c.isalnum() for c in word)
         upper = sum(c.isupper() for c in word)
+        shouts, asks = word.count("!"), word.count("?")
         return (
             score,
             score > 0 and disguised,
             core in SECOND_PERSON,
             upper,
             upper > 1 and upper == sum(c.isalpha() for c in word),
-            word.count("!"),
-            word.count("?"),
-            marks - word.count("!") - word.count("?"),
+            shouts,
+            asks,
+            marks - shouts - asks,
             disguised,
         )
 
     def __call__(self, text: bytes) -> list[float]:
-        words = [w.decode("utf-8", "replace") for w in text.split()]
+        words = text.split()
         if not words:
             return [0.0] * len(FEATURES)
-        if len(self._known) > _REMEMBERED:
-            self._known.clear()
-            self._rows.clear()
         known = self._known
-        ids = np.empty(len(words), np.int64)
-        for i, word in enumerate(words):
-            at = known.get(word)
-            if at is None:
-                at = known[word] = len(self._rows)
-                self._rows.append(self._look(word))
-            ids[i] = at
-        if len(self._table) != len(self._rows):
-            fresh = len(self._table) if len(self._table) < len(self._rows) else 0
-            new = np.array(self._rows[fresh:], float)
-            self._table = np.concatenate([self._table[:fresh], new])
+        if len(known) > _REMEMBERED:
+            known.clear()
+        for word in set(words).difference(known):
+            at = known[word] = len(known)
+            if at == len(self._table):
+                self._table = np.concatenate([self._table, np.zeros_like(self._table)])
+            self._table[at] = self._look(word.decode("utf-8", "replace"))
+        ids = np.array([known[w] for w in words], np.int64)
         seen = self._table[ids]
         score, person = seen[:, 0], seen[:, 2] > 0
         hits = score > 0
