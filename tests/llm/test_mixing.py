@@ -1,0 +1,78 @@
+import random
+
+import pytest
+
+from tests.conftest import rows
+from tests.llm.conftest import MESSY, words
+from usagelens.llm.mixing import mix, source_targets, take_mix
+
+
+def shared_out(sizes, weights=(1, 2, 3)):
+    """Targets by sharing again and again what capped sources leave."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    capped = {}
+    while True:
+        left = sum(sizes.values()) - sum(capped.values())
+        free = [s for s in names if s not in capped]
+        share = {s: left * weight[s] / sum(weight[t] for t in free) for s in free}
+        over = [s for s in free if share[s] > 3 * sizes[s]]
+        if not over:
+            return capped | share
+        capped |= {s: 3 * sizes[s] for s in over}
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_targets_equal_repeated_sharing(spark, seed):
+    pick = random.Random(seed)
+    sizes = {f"s{i}": pick.choice([0, 1, 10, 500, 100_000]) for i in range(pick.randint(1, 12))}
+    sizes[None] = 77
+    table = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    found = {r.source: r.target for r in source_targets(table).collect()}
+    assert found == pytest.approx(shared_out(sizes))
+
+
+def corpus():
+    pick = random.Random(9)
+    return [
+        (i, "w " * pick.randint(0, 60), pick.choice(["big"] * 12 + ["b", "c", "d", None]))
+        for i in range(900)
+    ]
+
+
+def test_each_source_comes_near_its_target(documents):
+    data = corpus()
+    docs = documents(data)
+    mixed = mix(docs).collect()
+    assert sorted((r.id, r.size) for r in mixed) == [(i, len(words(t))) for i, t, _ in data]
+    source = {i: s for i, _, s in data}
+    taken, target = {}, {}
+    for r in mixed:
+        taken[source[r.id]] = taken.get(source[r.id], 0) + r.taken
+        target[source[r.id]] = r.target
+        assert r.taken in {0, r.size, 2 * r.size, 3 * r.size}
+    total = sum(len(words(t)) for _, t, _ in data)
+    assert 0 <= total - sum(taken.values()) < 60
+    assert all(abs(taken[s] - target[s]) < 60 for s in taken)
+    assert rows(mix(docs.repartition(7)), "id", "taken") == rows(mix(docs), "id", "taken")
+
+
+def test_rows_of_the_mix(documents):
+    data = corpus()
+    docs = documents(data + data[:30])
+    taken = take_mix(docs)
+    assert taken.columns == docs.columns
+    counts = {r.doc_id: r["count"] for r in taken.groupBy("doc_id").count().collect()}
+    expect = {}
+    for r in mix(docs).collect():
+        expect[r.id] = expect.get(r.id, 0) + r.copies
+    assert counts == {i: n for i, n in expect.items() if n}
+
+
+def test_messy_rows(documents):
+    found = mix(documents(MESSY))
+    assert rows(found, "id", "size") == sorted(((i, len(words(t))) for i, t in MESSY), key=repr)
+    assert found.filter("taken > 3 * size or target is null").count() == 0
+    assert mix(documents(MESSY).limit(0)).count() == 0
+    assert rows(mix(documents([(1, None), (2, "")])), "taken") == [(0,), (0,)]
+    assert take_mix(documents([(1, None), (2, "")])).count() == 2

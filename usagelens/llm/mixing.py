@@ -5,6 +5,8 @@ it, in shuffled order, divided by the source's target. Served in that order, eve
 the same share of its target at any moment; the mix ends when the budget is spent.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,7 +63,6 @@ def mix(
     source_col: str = "source",
     weights: tuple[int, ...] = (1, 2, 3),
     seed: str = "mix",
-    rows_per_bucket: int = 20_000,
 ) -> DataFrame:
     """One row per document: ``key, id, size, source_size, target, copies, taken``.
 
@@ -70,9 +71,10 @@ def mix(
     the order, and with it the mix, is the same in every run.
 
     Running sums are made in two steps. Keys are uniform, so a source, however large, falls into
-    buckets of about ``rows_per_bucket`` rows; sums of whole buckets give each its start, and rows
-    are only summed within their bucket. The end of the mix is found likewise, by ranges of finish
-    times and then within the one range where the budget ends. No text is shuffled.
+    about the root of all rows' number of buckets, each with that many rows at most; sums of whole
+    buckets give each its start, and rows are only summed within their bucket. The end of the mix
+    is found likewise, by ranges of finish times and then within the one range where the budget
+    ends. No text is shuffled.
     """
     sized = docs.select(
         _key(id_col, text_col, seed).alias("key"),
@@ -82,7 +84,7 @@ def mix(
     )
     sized = store(sized, "sizes")
     rows = sized.count()
-    buckets = max(1, rows // rows_per_bucket)
+    buckets = math.isqrt(rows) + 1
     digits = F.conv(F.substring("key", 1, 7), 16, 10).cast("long")
     sized = sized.withColumn("bucket", F.floor(digits * buckets / (1 << 28)))
     summed = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -133,7 +135,7 @@ def mix(
     items = placed.filter("size > 0").withColumn("p", passes)
     items = items.select("size", turn(F.col("p")).alias("turn"))
     budget = targets.agg(F.sum("source_size")).first()[0] or 0
-    ranges = max(64, rows // (5 * rows_per_bucket))
+    ranges = math.isqrt(rows) + 1
     ranged = items.withColumn("range", F.floor(F.col("turn.finish") * ranges))
     up_to = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
     spent = (
