@@ -1,5 +1,6 @@
 import math
 import random
+import uuid
 import zlib
 from collections import Counter
 
@@ -125,3 +126,33 @@ def test_word_counts(documents):
     expect = Counter(t for _, text in MESSY + two_tongues(30) for t in tokens(text) if t is not None)
     assert {bytes(r.word): r.n for r in found.collect()} == expect
     assert zlib.crc32(b"abc") % lm.OTHERS == lm.Vocabulary.other(b"abcdef")
+
+
+def test_every_training_document_trains_by_default(documents, monkeypatch, tmp_path):
+    """Each task notes the texts it trains on; the rounds together see each once."""
+    train = lm._train
+
+    def noting(*args):
+        step = train(*args)
+
+        def run(batches):
+            def noted():
+                for batch in batches:
+                    for text in batch["text"].to_pylist():
+                        (tmp_path / uuid.uuid4().hex).write_text(text)
+                    yield batch
+
+            yield from step(noted())
+
+        return run
+
+    monkeypatch.setattr(lm, "_train", noting)
+    data = two_tongues(60)
+    lm.score_documents(documents(data[:1]), documents(data))
+    seen = Counter(path.read_text() for path in tmp_path.iterdir())
+    assert seen == Counter(text for _, text in data)
+
+
+def test_no_share_is_left_out(documents):
+    with pytest.raises(ValueError):
+        lm.score_documents(documents(MESSY), documents(MESSY), rounds=3, share=8)

@@ -275,23 +275,27 @@ def score_documents(
     text_col: str = "text",
     hidden: int = 32,
     rounds: int = 3,
-    share: int = 8,
+    share: int | None = None,
     lanes: int = 128,
     window: int = 16,
     rate: float = 0.01,
 ) -> DataFrame:
     """``id, n_tokens, n_known, train_tokens, base_score, score``, one row per row of ``docs``.
 
-    All of ``training`` is counted. In each of ``rounds`` rounds another one in ``share`` of its
-    documents, chosen by hash, trains the model: every task goes on from the common parameters
-    with its own documents, and the results are averaged, weighted by tokens. What is trained on
-    and gathered so grows with the corpus; the parameters do not. Only they and the counts of the
+    All of ``training`` is counted and trains the model. In each of ``rounds`` rounds another one
+    in ``share`` of its documents, dealt by hash, does: every task goes on from the common
+    parameters with its own documents, and the results are averaged, weighted by tokens. There are
+    as many shares as rounds, or fewer, so no document is left out. What is trained on and
+    gathered so grows with the corpus; the parameters do not. Only they and the counts of the
     ``HEAD`` most frequent words reach the driver and are broadcast. Of other words the counts
     come by a join. A document is scored as a whole, with the state carried from its first token
     to its end, which is a token too. A null text is empty: the end alone.
 
     ``base_score`` is the sum of log10((c + 0.5) / (N + 0.5 (V + 1))) over the tokens.
     """
+    share = share or rounds
+    if share > rounds:
+        raise ValueError("more shares than rounds would leave documents out of the training")
     spark = docs.sparkSession
     context = spark.sparkContext
     learned = keyed(training, id_col, text_col).select("k", "text")
