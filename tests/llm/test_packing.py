@@ -8,7 +8,14 @@ import pytest
 
 from tests.conftest import rows
 from tests.llm.conftest import MESSY
-from usagelens.llm.packing import WordTokens, pack, pack_documents, pack_histogram, token_pieces
+from usagelens.llm.packing import (
+    WordTokens,
+    added_tokens,
+    pack,
+    pack_documents,
+    pack_histogram,
+    token_pieces,
+)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -90,3 +97,37 @@ def test_pack_keeps_other_columns(spark):
     assert sorted(rows(found, "id", "part")) == [(i, i) for i in range(500)]
     fill = found.groupBy("sequence_id").sum("length").collect()
     assert max(r[1] for r in fill) <= 10
+
+
+@pytest.fixture(scope="module")
+def as_loaded():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def special_texts():
+    pick = random.Random(6)
+    marks = ["<|endoftext|>", "<|endoftext|", "|>", "<", " ", "  ", "\n", "a", "Word", "é", "'s", "\0"]
+    return ["x<|endoftext|>", "<|endoftext|>" * 3] + ["".join(pick.choices(marks, k=12)) for _ in range(2000)]
+
+
+def test_added_tokens_have_their_ids(as_loaded):
+    tokens = WordTokens(RANKS, added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
+    assert np.frombuffer(tokens.encode("x<|endoftext|>"), "<u4").tolist() == [87, 50256]
+    for text in special_texts():
+        assert np.frombuffer(tokens.encode(text), "<u4").tolist() == plain_ids(as_loaded, text), text
+
+
+def test_query_and_stage_know_added_tokens(spark, as_loaded, tmp_path):
+    import corpus_pipeline
+    from usagelens.llm.queries import QUERIES
+
+    data = list(enumerate(special_texts()[:50]))
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    expect = {i: np.array(plain_ids(as_loaded, t) + [0], "<u4").tobytes() for i, t in data}
+    for found in (QUERIES["op3_packing"](spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, "")):
+        found = {r.doc_id: r for r in found.collect()}
+        assert {i: r.ids_crc32 for i, r in found.items()} == {i: zlib.crc32(x) for i, x in expect.items()}
+        assert {i: r.doc_tokens for i, r in found.items()} == {i: len(x) // 4 for i, x in expect.items()}

@@ -5,6 +5,7 @@ there into patterns of lengths with counts; documents' pieces then find their pl
 """
 
 import base64
+import json
 import re
 from collections import Counter
 
@@ -23,15 +24,25 @@ _WIDE = re.compile(r" \s|\s |\0")
 _REMEMBERED = 600_000
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Ids of the added tokens of a ``tokenizers`` file, which it finds in any text by name."""
+    with open(path, encoding="utf-8") as file:
+        listed = json.load(file)["added_tokens"]
+    for token in listed:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"{token['content']} is matched by more than its name")
+    return {token["content"]: token["id"] for token in listed}
+
+
 class WordTokens:
     """Token ids of texts by a byte-level vocabulary of ranks, remembering those of words.
 
     Such a vocabulary never merges across a single space between two characters that are not white
-    space, so a text is the concatenation of its parts there. Names of special tokens in a text
-    are ordinary text.
+    space, so a text is the concatenation of its parts there. Names in ``added`` have the id given
+    there wherever they occur, and the text is split at them; other names are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: dict[str, int] | None = None):
         import public_tokenizers
         import tiktoken
 
@@ -42,9 +53,20 @@ class WordTokens:
             "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
         self._known: dict[str, bytes] = {}
+        self._added = {name: np.array([i], "<u4").tobytes() for name, i in (added or {}).items()}
+        names = sorted(map(re.escape, self._added), key=len, reverse=True)
+        self._names = re.compile(f"({'|'.join(names)})") if names else None
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
+        if self._names is None or not self._names.search(text):
+            return self._ordinary(text)
+        cut = self._names.split(text)  # names are at the odd places
+        return b"".join(
+            self._added[part] if i % 2 else self._ordinary(part) for i, part in enumerate(cut)
+        )
+
+    def _ordinary(self, text: str) -> bytes:
         if _WIDE.search(text):
             parts = _BREAK.split(text)
         else:
@@ -68,14 +90,16 @@ def token_pieces(
     text_col: str = "text",
     capacity: int = 1024,
     end_id: int = 0,
+    added: dict[str, int] | None = None,
 ) -> DataFrame:
     """``k, x, id, start, length, ids, doc_tokens``: each document's ids, ended by ``end_id``, cut
     into pieces of at most ``capacity``. ``ids`` holds little-endian unsigned 32-bit numbers. A
-    null text counts as empty and has one piece with the end alone.
+    null text counts as empty and has one piece with the end alone. ``added`` are the ids of added
+    tokens by name.
     """
 
     def run(batches):
-        tokens = WordTokens(tokenizer_path)
+        tokens = WordTokens(tokenizer_path, added)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             _, offsets = utf8(batch["text"])
@@ -209,13 +233,14 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     capacity: int = 1024,
+    added: dict[str, int] | None = None,
 ) -> DataFrame:
     """``id, start, length, ids_crc32, doc_tokens, sequence_id, offset``, one row per piece.
 
     The ids themselves are not shuffled: their checksum stands for them, and ``token_pieces``
     gives them again in place.
     """
-    cut = token_pieces(docs, tokenizer_path, id_col, text_col, capacity)
+    cut = token_pieces(docs, tokenizer_path, id_col, text_col, capacity, added=added)
     checksum = F.crc32("ids").alias("ids_crc32")
     slim = cut.select("k", "x", "id", "start", "length", checksum, "doc_tokens")
     return pack(slim, ["k", "x", "start"], capacity).drop("k", "x")

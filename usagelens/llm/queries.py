@@ -10,7 +10,7 @@ from usagelens.llm.exact_dedup import exact_groups
 from usagelens.llm.language_model import score_documents
 from usagelens.llm.line_dedup import drop_boilerplate
 from usagelens.llm.mixing import mix
-from usagelens.llm.packing import pack_documents
+from usagelens.llm.packing import added_tokens, pack_documents
 from usagelens.llm.quality_model import grade_documents
 from usagelens.llm.quality_rules import judge
 from usagelens.llm.simhash import near_groups
@@ -127,7 +127,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer)
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer, added=added)
     return packed.withColumnRenamed("id", "doc_id")
 
 
