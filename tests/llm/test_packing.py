@@ -131,3 +131,26 @@ def test_query_and_stage_know_added_tokens(spark, as_loaded, tmp_path):
         found = {r.doc_id: r for r in found.collect()}
         assert {i: r.ids_crc32 for i, r in found.items()} == {i: zlib.crc32(x) for i, x in expect.items()}
         assert {i: r.doc_tokens for i, r in found.items()} == {i: len(x) // 4 for i, x in expect.items()}
+
+
+def test_sequences_hold_the_ids_of_all_documents(spark, documents, as_loaded):
+    """Equal rows included: put together again, the pieces are the documents' ids."""
+    import corpus_pipeline
+
+    data = MESSY + [(12, "equal " * 3000)] * 3
+    found = corpus_pipeline.packing(spark, documents(data), "").collect()
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in found)
+    expect = []
+    for i, text in data:
+        ids = np.array(plain_ids(as_loaded, text) + [0], "<u4")
+        expect += [(i, at, ids[at : at + 1024].tobytes()) for at in range(0, len(ids), 1024)]
+    assert sorted(((r.doc_id, r.start, bytes(r.ids)) for r in found), key=repr) == sorted(expect, key=repr)
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, bytes(r.ids)))
+    for parts in sequences.values():
+        at = 0
+        for offset, ids in sorted(parts):
+            assert offset == at
+            at += len(ids) // 4
+        assert at <= 1024

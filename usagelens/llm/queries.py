@@ -129,7 +129,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.tiktoken")
     added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
     packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer, added=added)
-    return packed.withColumnRenamed("id", "doc_id")
+    return packed.select(
+        F.col("id").alias("doc_id"),
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
 
 
 @_query()
