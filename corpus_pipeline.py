@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from usagelens.llm.exact_dedup import drop_exact_copies
-from usagelens.llm.jaccard import drop_similar
 from usagelens.llm.mixing import take_mix
 from usagelens.llm.packing import added_tokens, pack_documents
 from usagelens.llm.quality_rules import drop_low_quality
+from usagelens.llm.simhash import drop_near_copies
 from usagelens.storage import store
 
 
@@ -26,9 +26,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 or more of their 5-word shingles the one
-    with the smallest id stays."""
-    return drop_similar(docs)
+    """Of documents linked by SimHash fingerprints of 3-word shingles that differ in 2 bits or
+    fewer the one with the smallest id stays."""
+    return drop_near_copies(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
