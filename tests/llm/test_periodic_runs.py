@@ -1,0 +1,118 @@
+import random
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import MESSY, words
+from usagelens.llm import periodic_runs as pr
+
+
+def plain_runs(x):
+    """All runs, period by period, the smallest period of each by trying all."""
+    n, out = len(x), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and x[j] == x[j + q]:
+                j += 1
+            length = j + q - i
+            if length >= max(6, 4 * q):
+                part = x[i : j + q]
+                if not any(part[p:] == part[:-p] for p in range(1, q)):
+                    out.append((i, length, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def plain(x):
+    runs = plain_runs(x)
+    kept = [w for i, w in enumerate(x) if not any(s + q <= i < s + n for s, n, q in runs)]
+    return runs, b" ".join(kept).decode()
+
+
+def random_texts(seed, count, longest):
+    pick = random.Random(seed)
+    for _ in range(count):
+        n, letters = pick.randint(0, longest), pick.choice([1, 2, 3, 40])
+        x = [str(pick.randrange(letters)) for _ in range(n)]
+        if n and pick.random() < 0.6:
+            a = pick.randrange(n)
+            p = 1 + pick.randrange((n - a) // 4 + 1)
+            x = [x[i] if i < a else x[a + (i - a) % p] for i in range(n)]
+            if pick.random() < 0.3:
+                x[pick.randrange(n)] = "break"
+        yield " ".join(x)
+
+
+@pytest.mark.parametrize("bits", range(1, 13))
+def test_transform_is_undone_and_exact(bits):
+    x = np.random.default_rng(bits).integers(0, pr.PRIME, (3, 1 << bits)).astype(float)
+    found = pr.transform(x.copy())
+    assert ((found.sum(1) - x[:, 0] * x.shape[1]) % pr.PRIME == 0).all()
+    assert ((pr.transform(found, True) - x) % pr.PRIME == 0).all()
+
+
+@pytest.mark.parametrize("size", [1, 2, 8, 64, 2048])
+def test_mismatches_are_sums_of_squares(size):
+    draw = np.random.default_rng(size)
+    blocks = draw.integers(0, pr.PRIME, (3, size))
+    windows = draw.integers(0, pr.PRIME, (3, 2 * size))
+    windows[1, size // 2 : size // 2 + size] = blocks[1]
+    found = pr.mismatches(blocks, windows)
+    assert found[1, size // 2] == 0
+    for r in range(3):
+        for d in {0, size // 2, size - 1}:
+            apart = blocks[r].astype(object) - windows[r, d : d + size].astype(object)
+            assert found[r, d] == (apart**2).sum() % pr.PRIME
+
+
+def test_all_runs_are_found(spark, documents):
+    texts = list(random_texts(1, 400, 100)) + list(random_texts(2, 4, 1500))
+    found = pr.periodic_runs(documents(list(enumerate(texts)))).collect()
+    assert len(found) == len(texts)
+    total = 0
+    for r in found:
+        x = words(texts[r.id])
+        runs, kept = plain(x)
+        total += len(runs)
+        assert (r.n_words, [tuple(q) for q in r.runs], r.collapsed) == (len(x), runs, kept)
+    assert total > 200
+
+
+def test_long_periods():
+    """Periods beyond the longest transform, whose blocks are shorter than the period."""
+    for period, times in ((2047, 4), (2048, 4), (5000, 5), (9001, 4)):
+        cycle = [b"%d" % (i * i % 7919 + i) for i in range(period)]
+        text = b" ".join([b"x", *(cycle * times), b"y"])
+        ((size, runs, kept),) = pr._texts_runs([text])
+        assert size == period * times + 2 and [period * times] == runs[:, 1].tolist()
+        assert kept == b" ".join([b"x", *cycle, b"y"])
+
+
+def test_one_word_and_nested_runs():
+    text = b" ".join(([b"a"] * 3000 + [b"b"]) * 5)
+    ((_, runs, kept),) = pr._texts_runs([text])
+    assert sorted(runs[:, 2].tolist()) == [1] * 5 + [3001]
+    assert kept.split() == [b"a", b"b"]
+    ((_, runs, _),) = pr._texts_runs([b"a " * 100_000])
+    assert runs.tolist() == [[0, 100_000, 1]]
+
+
+def test_hashes_that_fail_are_made_up_for(monkeypatch):
+    """All words hash alike, so every distance of a zero is extended too far, then exactly."""
+    monkeypatch.setattr(pr._Extender, "_equal", lambda self, a, b, d: np.ones(len(a), bool))
+    for text in random_texts(5, 150, 60):
+        ((_, runs, kept),) = pr._texts_runs([text.encode()])
+        assert kept.decode() == plain(words(text))[1]
+
+
+def test_messy_rows(documents):
+    found = pr.periodic_runs(documents(MESSY)).collect()
+    expect = sorted(((i, len(words(t)), *plain(words(t))[1:]) for i, t in MESSY if i != 9), key=repr)
+    mine = sorted(((r.id, r.n_words, r.collapsed) for r in found if r.id != 9), key=repr)
+    assert mine == expect
+    (long,) = (r for r in found if r.id == 9)
+    assert long.n_words == 60_001 and [tuple(r) for r in long.runs] == [(1, 60_000, 2)]
+    assert long.collapsed == "long word more"
+    assert pr.periodic_runs(documents(MESSY).limit(0)).count() == 0
