@@ -14,6 +14,7 @@ import public_tokenizers
 import pytest
 
 from tests.llm import test_language_model as plain_model
+from tests.llm import test_periodic_runs as plain_runs
 from tests.llm import test_quality_rules as plain_rules
 from tests.llm import test_simhash as plain_prints
 from tests.llm import test_substring_dedup as plain_passages
@@ -46,7 +47,7 @@ def test_entry_registers_all():
     entry = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(entry)
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(queries.ORACLE_SQL) < set(entry.oracle_sql())
 
 
@@ -131,6 +132,48 @@ def test_simhash_query(spark, texts):
     assert {i: r.component_id for i, r in found.items()} == {i: least[root[p]] for i, p in prints.items()}
 
 
+def test_runs_query(spark, texts):
+    found = run(spark, "op11_periodic_runs")
+    hit = 0
+    for i, text in texts:
+        x = words(text)
+        h, n = zlib.crc32(str(i).encode()), len(x)
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            x = [x[j] if j < a else x[a + (j - a) % p] for j in range(n)]
+        runs, kept = plain_runs.plain(x)
+        hit += bool(runs)
+        best = min(((-m, s, q) for s, m, q in runs), default=(None, None, None))
+        r = found[i]
+        assert r.n_runs == len(runs)
+        if runs:
+            assert (r.length, r.start, r.period) == (-best[0], *best[1:])
+            assert r.exponent_milli == 1000 * r.length // r.period
+        else:
+            assert (r.length, r.start, r.period, r.exponent_milli) == (None,) * 4
+        listed = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+        assert r.runs_sha256 == sha256(listed.encode()).hexdigest()
+        assert r.collapsed_sha256 == sha256(kept.encode()).hexdigest()
+    assert hit > 10 and len(found) == len(texts)
+
+
+def test_bpe_query(spark, texts):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    found = run(spark, "op12_bpe")
+    for i, text in texts:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        r = found[i]
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == sha256(decoded.encode()).hexdigest()
+
+
 def test_classifiers_on_labelled_rows(spark, duck):
     labels = {i: (q, t) for i, q, t in duck.sql("SELECT doc_id, quality, toxic FROM labels").fetchall()}
     graded, toxic = run(spark, "op2_quality_classifier"), run(spark, "op10_toxicity")

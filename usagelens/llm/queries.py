@@ -6,16 +6,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usagelens.llm import bpe
+from usagelens.llm.divergence import source_divergence
 from usagelens.llm.exact_dedup import exact_groups
 from usagelens.llm.language_model import score_documents
 from usagelens.llm.line_dedup import drop_boilerplate
 from usagelens.llm.mixing import mix
 from usagelens.llm.packing import added_tokens, pack_documents
+from usagelens.llm.periodic_runs import periodic_runs
 from usagelens.llm.quality_model import grade_documents
 from usagelens.llm.quality_rules import judge
 from usagelens.llm.simhash import near_groups
 from usagelens.llm.substring_dedup import repeated_passages
 from usagelens.llm.toxicity import toxicity
+from usagelens.llm.words import SPACE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -213,3 +217,109 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in a tenth of the documents all words from one on repeat with a period."""
+    hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(hashed / 10)
+    words = F.filter(F.split("text", SPACE), lambda w: w != "")
+    planted = (
+        docs.filter(hashed % 10 == 0)
+        .select("doc_id", g.alias("g"), words.alias("words"))
+        .withColumn("n", F.size("words"))
+        .filter("n > 0")
+        .withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+        .withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    )
+    cycle, left = F.slice("words", F.col("a") + 1, F.col("p")), F.col("n") - F.col("a")
+    times = F.ceil(left / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(cycle, times)), F.lit(1), left)
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    planted = planted.select("doc_id", text.alias("text"))
+    # A text without words has none to repeat either.
+    other = (hashed % 10 != 0) | F.col("text").isNull() | (F.size(words) == 0)
+    return planted.unionByName(docs.filter(other).select("doc_id", "text"))
+
+
+@_query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_planted(_table(spark, sf_dir, "documents")))
+    ordered = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r.length).alias("l"), r.start, r.period))
+    )
+    line = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))
+    )
+    length = -F.col("best.l")
+    return found.withColumn("best", ordered).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        F.col("best.period").alias("period"),
+        F.call_function("div", 1000 * length, F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@_query()
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer)
+    return bpe.decode(encoded, tokenizer).select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@_query("""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           AS text
+  FROM documents),
+w AS (
+  SELECT r, lang, source,
+         unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d),
+k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN k USING (lang, term)
+      GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (
+  SELECT lang, source, coalesce(n, 0) + 2 * v AS size
+  FROM g JOIN v USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source) USING (lang, source)),
+p AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c,
+         CAST(1 + (1000000000 * (coalesce(c, 0) + 2)) // size AS BIGINT) AS p
+  FROM n JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (
+  SELECT lang, term, CAST(1 + (1000000000 * (sum(c) + 2))
+           // (sum(sum(c)) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang))
+         AS BIGINT) AS q
+  FROM c GROUP BY lang, term),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR rank <= 10
+""")
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"))
