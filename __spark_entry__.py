@@ -21,7 +21,8 @@ from usagelens import functions as fn
 from usagelens.operators.exposure import with_default_severity
 from usagelens.operators.usage import REPO_KEYS
 from usagelens.plans import event_corpus as corpus
-from usagelens.plans.exposure import run_exposure_job
+from usagelens.plans.exposure import add_exposure, run_exposure_job, stored_exposure
+from usagelens.plans.incremental import run_incremental_scan, scanned_calls
 from usagelens.plans.scan import run_scan_job
 from usagelens.plans.usage import run_usage_job
 from usagelens.schemas import (
@@ -444,6 +445,20 @@ def exposure_job(spark, sf_dir):
     return _plain_time(spark.read.schema(REPO_EXPOSURE).parquet(f"{folder}/exposed"))
 
 
+@_query(_ORACLES["repo_exposure"])
+def exposure_increments(spark, sf_dir):
+    """Exposure brought up to date with the second half of the month, then with what is left."""
+    path, events = scratch_path(spark, "exposure"), corpus.read_events(spark, sf_dir)
+    listed = corpus.deprecated_symbols(events)
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    parts = [F.col("ts") >= "2024-01-15", (F.col("ts") < "2024-01-15") & (third == 0)]
+    parts.append((F.col("ts") < "2024-01-15") & (third != 0))
+    for number, part in enumerate(parts):
+        usage = ul.monthly_usage(corpus.usage_events(events.filter(part)))
+        add_exposure(ul.deprecated_usage(usage, listed), path, number)
+    return _plain_time(stored_exposure(spark, path))
+
+
 @_query(_ORACLES["deprecated_usage"])
 def exposure_job_scores(spark, sf_dir):
     folder = _run_exposure_job(spark, sf_dir)
@@ -522,6 +537,30 @@ def usage_stream_restart(spark, sf_dir):
     return _plain_time(read_usage(spark, f"{folder}/usage"))
 
 
+@_query("SELECT * FROM (" + _ORACLES["usage_daily"] + ")" + _CLOSED)
+def usage_stream_once(spark, sf_dir):
+    """Messages of which a third come twice, within a run and again after a restart."""
+    folder = scratch_path(spark, "usage-once")
+    events = corpus.read_events(spark, sf_dir)
+    is_first = F.col("ts") < F.lit("2024-01-15")
+    twice = events.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0)
+    first, last = events.filter(is_first), events.filter(~is_first)
+    inboxes = first.unionByName(twice.filter(is_first)), last.unionByName(twice)
+    for name, part in enumerate(inboxes):
+        part.write.parquet(f"{folder}/inbox/{name}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/inbox/*")
+        usage = corpus.usage_events(stream, with_id=True).select(
+            "repo",
+            "library",
+            "symbol_called",
+            "event_id",
+            F.col("event_time").cast("timestamp").alias("timestamp"),
+        )
+        days = daily_usage_stream(ul.to_messages(usage), once=True)
+        write_days(days, f"{folder}/days", f"{folder}/checkpoint").awaitTermination()
+    return _plain_time(read_days(spark, f"{folder}/days", USAGE_DAILY))
+
+
 # --- code facts ---------------------------------------------------------------------------------
 
 
@@ -908,6 +947,23 @@ def scan_job(spark, sf_dir):
     return run_scan_job(sources, scratch_path(spark, "scan"), scan_time=SCAN_TIME).summary
 
 
+@_query(_CODE + _RESOLVED + "SELECT * FROM api")
+def incremental_scan(spark, sf_dir):
+    """A scan of files some of which are missing or differ, brought up to date with all files.
+
+    The module that ``purchase`` files import is among the missing, so their calls change too.
+    """
+    path = scratch_path(spark, "incremental")
+    now = _sources(spark, sf_dir)
+    name = F.substring_index("path", "/", -1)
+    gone = (F.col("path") == "helpers.py") | name.endswith("7.py")
+    other = F.when(name.endswith("3.py"), F.lit("import os\nos.getcwd()\n")).otherwise(F.col("content"))
+    extra = now.filter(name.endswith("5.py")).withColumn("path", F.concat(F.lit("old/"), name))
+    run_incremental_scan(now.filter(~gone).withColumn("content", other).unionByName(extra), path)
+    run_incremental_scan(now, path)
+    return _flat_calls(scanned_calls(spark, path).drop("line", "col"))
+
+
 # --- competing imports ------------------------------------------------------------------------
 
 # The files of ``tangled_sources``.
@@ -1057,6 +1113,29 @@ def parquet_parts_union(spark, sf_dir):
     return _plain_time(require_columns(read_parts(spark, path), USAGE.names))
 
 
+@_query(
+    _USAGE
+    + _MONTHS
+    + """
+SELECT repo, symbol_called, time_window, CASE WHEN symbol_called NOT LIKE 'click%' THEN usage_count
+       END AS usage_count FROM months
+"""
+)
+def parquet_parts_widened(spark, sf_dir):
+    """Parts that hold the count as a short, an int, a long, and as text without any value."""
+    path = scratch_path(spark, "parts")
+    months = ul.monthly_usage(_events(spark, sf_dir))
+    library, count = F.substring_index("symbol_called", ".", 1), F.col("usage_count")
+    for name, kind in (("view", "smallint"), ("purchase", "int"), ("signup", "bigint")):
+        part = months.filter(library == name).withColumn("usage_count", count.cast(kind))
+        part.write.mode("append").parquet(f"{path}/{name}")
+    rest = months.filter(~library.isin("view", "purchase", "signup", "click"))
+    rest.withColumn("usage_count", count.cast("int")).write.mode("append").parquet(f"{path}/signup")
+    none = months.filter(library == "click").withColumn("usage_count", F.lit(None).cast("string"))
+    none.write.parquet(f"{path}/click")
+    return _plain_time(require_columns(read_parts(spark, path), USAGE.names))
+
+
 @_query(
     _CODE
     + _RESOLVED

@@ -1,0 +1,116 @@
+"""Incremental scans against full ones, file by file and over random changes."""
+
+import random
+
+import pytest
+
+import usagelens as ul
+from tests.conftest import rows
+from usagelens.plans import incremental as inc
+from usagelens.schemas import API_CALLS
+from usagelens.storage import store
+
+LIB = "def run(): pass\n"
+USER = "import lib.core as core\nimport os\ncore.run()\nos.getcwd()\n"
+FROM = "from lib import core\ncore.run()\n"
+NEAR = "from .core import run\nrun()\n"
+
+
+@pytest.fixture(params=["reference", "full"])
+def scan(request, spark, tmp_path, sources):
+    """Bring a folder up to date with ``{path: content}``, check it against a full scan, and give
+    the run's numbers."""
+
+    def run(files, again=None):
+        mode, path = request.param, str(tmp_path / "state")
+        table = sources(files) if again is None else again
+        counts = inc.run_incremental_scan(table, path, mode)
+        facts = store(ul.extract_facts(table), "facts", ["kind"])
+        full = ul.collect_api_calls(facts, table, external_only=False, mode=mode, with_place=True)
+        assert rows(inc.scanned_calls(spark, path)) == rows(full, *API_CALLS.names)
+        assert rows(inc.scanned_facts(spark, path), *facts.columns) == rows(facts)
+        assert inc.scanned_files(spark, path).count() == table.count() == counts.files
+        return counts[1:]
+
+    run.path = str(tmp_path / "state")
+    return run
+
+
+def test_only_what_changed_is_parsed(scan):
+    files = {"lib/core.py": LIB, "lib/__init__.py": "", "a.py": USER, "b.py": USER, "c.py": "import ("}
+    assert scan(files) == (5, 5, 5)
+    assert scan(files) == (5, 0, 0)
+    assert scan(files | {"a.py": USER + "core.run()\n"}) == (5, 1, 1)
+    assert scan(files | {"d.py": USER}) == (6, 2, 2)  # a.py is as before again
+    assert scan({k: v for k, v in files.items() if k != "b.py"}) == (4, 0, 0)
+
+
+def test_importers_of_moved_modules_are_resolved_again(scan):
+    files = {"lib/__init__.py": "", "a.py": USER, "b.py": FROM, "lib/n.py": NEAR, "z.py": "import os\nos.x()\n"}
+    scan(files)
+    files["lib/core.py"] = LIB
+    assert scan(files) == (6, 1, 4)
+    files["lib/core/__init__.py"] = LIB  # the module beside a package of its name stays
+    assert scan(files) == (7, 1, 1)
+    del files["lib/core.py"]
+    assert scan(files) == (6, 0, 3)
+    del files["lib/core/__init__.py"]
+    assert scan(files) == (5, 0, 3)
+
+
+def test_random_changes_equal_full_scans(scan):
+    pick = random.Random(4)
+    names = ["a.py", "b.py", "lib/__init__.py", "lib/core.py", "lib/core/__init__.py", "lib/n.py", "core.py"]
+    texts = [LIB, USER, FROM, NEAR, "", "import (", "from . import core\ncore.run()\n", "import core\ncore.f()\n"]
+    files = {n: pick.choice(texts) for n in names}
+    for _ in range(4):
+        scan(dict(files))
+        for name in pick.sample(names, 2):
+            if name in files and pick.random() < 0.5:
+                del files[name]
+            else:
+                files[name] = pick.choice(texts)
+
+
+def test_failed_runs_do_not_count(spark, scan, sources, monkeypatch):
+    scan({"a.py": USER})
+    before = rows(inc.scanned_calls(spark, scan.path))
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(inc, "_finish", fail)
+    with pytest.raises(RuntimeError):
+        inc.run_incremental_scan(sources({"b.py": FROM}), scan.path)
+    assert rows(inc.scanned_calls(spark, scan.path)) == before
+    monkeypatch.undo()
+    assert scan({"b.py": FROM}) == (1, 1, 1)
+
+
+def test_compaction_changes_no_row(spark, tmp_path, scan):
+    files = {"lib/__init__.py": "", "lib/core.py": LIB, "a.py": USER, "b.py": FROM}
+    scan(files)
+    scan(files | {"a.py": FROM})
+    before = rows(inc.scanned_calls(spark, scan.path)), rows(inc.scanned_facts(spark, scan.path))
+    last = inc.compact_scan(spark, scan.path)
+    assert (rows(inc.scanned_calls(spark, scan.path)), rows(inc.scanned_facts(spark, scan.path))) == before
+    stored = spark.read.parquet(f"{scan.path}/calls").filter(f"gen = {last}")
+    assert stored.count() == len(before[0])
+    assert scan(files) == (4, 1, 1)
+
+
+def test_no_files_and_null_contents(spark, scan, sources):
+    empty = sources({"a.py": ""}).limit(0)
+    assert scan(None, empty) == (0, 0, 0)
+    table = sources({"a.py": None, "b.py": USER})
+    assert scan(None, table) == (2, 2, 2)
+    as_bytes = table.selectExpr("repo", "path", "cast(content as binary) as content")
+    assert scan(None, as_bytes) == (2, 0, 0)
+    assert scan(None, empty) == (0, 0, 0)
+
+
+def test_content_delta_says_what_became_of_each_file(sources):
+    old = ul.versions(sources({"a": "x", "b": "x", "c": "x"}))
+    new = ul.versions(sources({"b": "x", "c": "y", "d": "x"}))
+    found = ul.content_delta(old, new).select("path", "change")
+    assert rows(found) == [("a", "removed"), ("b", "same"), ("c", "changed"), ("d", "added")]

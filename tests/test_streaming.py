@@ -8,7 +8,7 @@ from usagelens.operators.usage import REPO_KEYS, daily_usage, library_days
 from usagelens.plans.usage import roll_up_months, run_usage_job
 from usagelens.schemas import REPO_USAGE_DAILY
 from usagelens.sources import read_usage
-from usagelens.streaming import daily_usage_stream, read_days, write_days
+from usagelens.streaming import daily_usage_stream, finish, read_days, write_days
 
 VALUE = "value string"
 
@@ -168,3 +168,76 @@ def test_state_width_does_not_outlive_the_stream(spark, tmp_path):
     stream = spark.readStream.text(str(tmp_path / "inbox"))
     run_usage_job(stream, str(tmp_path / "days"), str(tmp_path / "checkpoint"), state_partitions=2)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def identified(time, number, symbol="p.f"):
+    event = json.loads(message(time, symbol))
+    return json.dumps(event | ({} if number is None else {"event_id": f"e{number}"}))
+
+
+class OnceTopic(Topic):
+    """A topic whose events are counted once; a run gives the days and the run's numbers."""
+
+    def run(self):
+        days, checkpoint = str(self.folder / "days"), str(self.folder / "checkpoint")
+        stream = self.spark.readStream.text(str(self.inbox))
+        counts = finish(write_days(daily_usage_stream(stream, once=True), days, checkpoint), 1)
+        return rows(read_days(self.spark, days), "symbol", "num_calls", "event_day_start"), counts
+
+
+def test_repeated_messages_count_once_within_a_run_and_after_a_restart(spark, tmp_path):
+    topic = OnceTopic(spark, tmp_path)
+    first = [identified(f"2024-01-01T{h:02}:30:00Z", h) for h in range(24)]
+    topic.publish("a", *first, *first[::3], identified("2024-01-01T12:00:00Z", None))
+    found, counts = topic.run()
+    assert found == [] and counts == (33, 0, 8, 0)
+    # Of the repeats one is still known, and the others are late; an event without an id is not.
+    again = [first[-1], *first[:5], identified("2024-01-01T23:30:00Z", None)]
+    topic.publish("b", *again, identified("2024-01-02T02:00:00Z", 30))
+    found, counts = topic.run()
+    assert found == [("p.f", 26, day(1))]
+    assert counts == (8, 5, 1, 1)
+    topic.publish("c", *first, identified("2024-01-02T02:00:00Z", 30), identified("2024-01-03T02:00:00Z", 31))
+    found, counts = topic.run()
+    assert found == [("p.f", 1, day(2)), ("p.f", 26, day(1))]
+    assert counts.late == 24 and counts.repeated == 1
+
+
+def test_events_without_ids_count_each_time(spark, tmp_path):
+    topic = OnceTopic(spark, tmp_path)
+    same = identified("2024-01-01T10:00:00Z", None)
+    topic.publish("a", same, same, same, identified("2024-01-02T10:00:00Z", 1), "not json")
+    assert topic.run()[0] == [("p.f", 3, day(1))]
+
+
+def test_scanned_calls_have_an_id_of_their_own(spark, sources):
+    import usagelens as ul
+
+    text = "import os\nos.getcwd(); os.getcwd()\nos.getcwd()\n"
+    table = sources({"a.py": text, "b.py": text})
+    facts = ul.extract_facts(table)
+    found = ul.collect_api_calls(facts, table, with_place=True)
+    times = [dt.datetime(2024, 1, n, tzinfo=dt.timezone.utc) for n in (1, 2)]
+    ids = [{r.event_id for r in ul.call_events(found, t).collect()} for t in times]
+    assert len(ids[0]) == len(ids[1]) == 6 and not ids[0] & ids[1]
+    assert {r.event_id for r in ul.call_events(found, times[0]).collect()} == ids[0]
+    sent = ul.parse_events(ul.to_messages(ul.call_events(found, times[0])), with_id=True)
+    assert {r.event_id for r in sent.collect()} == ids[0]
+    plain = ul.call_events(ul.collect_api_calls(facts, table), times[0])
+    assert "event_id" not in plain.columns
+
+
+def test_counts_of_the_usage_job(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    paths = {name: str(tmp_path / name) for name in ("days", "checkpoint", "usage")}
+
+    def run(name, *times):
+        (inbox / f"{name}.txt").write_text("\n".join(message(t) for t in times))
+        stream = spark.readStream.text(str(inbox))
+        return run_usage_job(stream, paths["days"], paths["checkpoint"], paths["usage"])
+
+    counts = run("a", "2024-01-01T10:00:00Z", "2024-01-02T10:00:00Z", "2024-01-03T10:00:00Z")
+    assert counts == (3, 0, 0, 2)
+    counts = run("b", "2024-01-01T11:00:00Z", "2024-01-02T12:00:00Z", "2024-01-04T10:00:00Z")
+    assert counts.read == 3 and counts.late == 2 and counts.written == 1

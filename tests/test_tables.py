@@ -2,6 +2,8 @@ import datetime as dt
 import json
 from unittest import mock
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -317,3 +319,83 @@ def test_command_line():
     assert parse_args(["exposure"]).aggregated_path == "results/aggregated_usage"
     with pytest.raises(SystemExit):
         parse_args(["usage"])
+
+
+def parts(tmp_path, **tables):
+    for name, table in tables.items():
+        pq.write_table(pa.table(table), tmp_path / f"{name}.parquet")
+    return str(tmp_path)
+
+
+WIDENED = [
+    (pa.int16(), pa.int32(), "int"),
+    (pa.int32(), pa.int64(), "bigint"),
+    (pa.int64(), pa.float64(), "double"),
+    (pa.float32(), pa.float64(), "double"),
+    (pa.int8(), pa.float32(), "double"),
+    (pa.decimal128(9, 2), pa.decimal128(12, 4), "decimal(12,4)"),
+    (pa.timestamp("us"), pa.timestamp("us", "UTC"), "timestamp"),
+]
+
+
+@pytest.mark.parametrize("one, other, wide", WIDENED)
+def test_parts_of_two_types_have_the_wider(spark, tmp_path, one, other, wide):
+    import decimal
+
+    values = [decimal.Decimal(1), decimal.Decimal(2)] if "decimal" in wide else [1, 2]
+    tables = {f"a{i}": {"n": pa.array(values, one), "k": [i] * 2} for i in range(3)}
+    tables |= {f"b{i}": {"n": pa.array(values, other)} for i in range(3)}
+    found = read_parts(spark, parts(tmp_path, **tables))
+    assert found.schema["n"].dataType.simpleString() == wide
+    assert found.count() == 12 and found.filter("n IS NULL").count() == 0
+    assert found.filter("k IS NOT NULL").count() == 6
+
+
+def test_parts_with_nulls_only_take_any_type(spark, tmp_path):
+    path = parts(
+        tmp_path,
+        a={"n": pa.array([None, None], pa.null())},
+        b={"n": pa.array(["x", None])},
+        c={"n": pa.array([None], pa.float64())},
+    )
+    assert rows(read_parts(spark, path)) == sorted([("x",), *[(None,)] * 4], key=repr)
+
+
+def test_text_and_numbers_clash(spark, tmp_path):
+    path = parts(tmp_path, a={"n": [1], "m": [1]}, b={"n": ["x"], "m": [2]})
+    with pytest.raises(ValueError, match="column n is bigint and string"):
+        read_parts(spark, path)
+
+
+def test_types_differ_between_keyed_folders(spark, tmp_path):
+    for name, kind in (("1", pa.int32()), ("2", pa.int64()), ("x", pa.int64())):
+        (tmp_path / f"part={name}").mkdir()
+        parts(tmp_path / f"part={name}", f={"n": pa.array([5], kind)})
+    found = read_parts(spark, str(tmp_path))
+    assert rows(found, "part", "n") == [("1", 5), ("2", 5), ("x", 5)]
+
+
+def test_only_conflicting_files_are_looked_at_apart(spark, tmp_path, monkeypatch):
+    """Of 64 files from three writes the schemas are found with few reads."""
+    from usagelens.sources import tables
+
+    kinds = ["int"] * 40 + ["bigint"] * 23 + ["double"]
+    for i, kind in enumerate(kinds):
+        name = f"part-{i:05}-write{['int', 'bigint', 'double'].index(kind)}-c000.parquet"
+        array = pa.array([i], {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}[kind])
+        pq.write_table(pa.table({"n": array}), tmp_path / name)
+    reads = []
+    alike = tables._alike
+
+    class Counting:
+        def __init__(self, reader):
+            self.reader = reader
+
+        def parquet(self, *files):
+            reads.append(len(files))
+            return self.reader.parquet(*files)
+
+    monkeypatch.setattr(tables, "_alike", lambda reader, files: alike(Counting(reader), files))
+    found = read_parts(spark, str(tmp_path))
+    assert found.schema["n"].dataType.simpleString() == "double" and found.count() == 64
+    assert len(reads) < 40

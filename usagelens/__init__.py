@@ -12,14 +12,23 @@ from usagelens.operators.extract import (
     imports,
     widen,
 )
-from usagelens.operators.import_graph import dependents, import_edges, imports_of, module_index
+from usagelens.operators.import_graph import (
+    dependents,
+    import_edges,
+    importers,
+    imports_of,
+    module_index,
+    moved_modules,
+)
 from usagelens.operators.resolve import collect_api_calls, resolve_names, resolve_qualified
 from usagelens.operators.tracking import (
     add_tracked,
+    content_delta,
     extract_added,
     extract_single,
     file_delta,
     scan_summary,
+    versions,
 )
 from usagelens.operators.usage import daily_usage, library_days, monthly_usage, months_of_days
 
@@ -29,6 +38,7 @@ __all__ = [
     "call_events",
     "calls",
     "collect_api_calls",
+    "content_delta",
     "daily_usage",
     "definitions",
     "dependents",
@@ -40,6 +50,7 @@ __all__ = [
     "files",
     "file_delta",
     "import_edges",
+    "importers",
     "imports",
     "imports_of",
     "library_days",
@@ -47,6 +58,7 @@ __all__ = [
     "module_index",
     "monthly_usage",
     "months_of_days",
+    "moved_modules",
     "parse_events",
     "repeated_symbols",
     "repo_exposure",
@@ -55,5 +67,6 @@ __all__ = [
     "scan_summary",
     "symbols",
     "to_messages",
+    "versions",
     "widen",
 ]

@@ -13,8 +13,17 @@ _TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
 def call_events(api_calls: DataFrame, scan_time: Column | datetime.datetime) -> DataFrame:
-    """One event per call record, all stamped with the time of the scan."""
-    stamp = scan_time if isinstance(scan_time, Column) else F.lit(scan_time)
+    """One event per call record, all stamped with the time of the scan.
+
+    Call records with their place in the file give events an ``event_id``: the same for the same
+    call of one scan however often it is sent, and another for any other.
+    """
+    stamp = (scan_time if isinstance(scan_time, Column) else F.lit(scan_time)).cast("timestamp")
+    ids = []
+    if {"line", "col"} <= set(api_calls.columns):
+        parts = ["repo", "file", "line", "col", F.unix_micros(stamp)]
+        named = F.to_json(F.struct(*[p if isinstance(p, str) else p.alias("at") for p in parts]))
+        ids = [F.md5(named.cast("binary")).alias("event_id")]
     return api_calls.select(
         "repo",
         display_path(F.col("repo"), F.col("file")).alias("file"),
@@ -25,7 +34,8 @@ def call_events(api_calls: DataFrame, scan_time: Column | datetime.datetime) ->
         "defining_file",
         "import_module",
         F.lit(None).cast("string").alias("commit_hash"),
-        stamp.cast("timestamp").alias("timestamp"),
+        stamp.alias("timestamp"),
+        *ids,
     )
 
 
@@ -35,10 +45,11 @@ def to_messages(events: DataFrame) -> DataFrame:
     return events.select(F.to_json(F.struct("*"), options).cast("binary").alias("value"))
 
 
-def parse_events(messages: DataFrame) -> DataFrame:
+def parse_events(messages: DataFrame, with_id: bool = False) -> DataFrame:
     """Events out of the JSON in ``value``, whichever of the two spellings a producer uses.
 
     A message that is not a JSON object gives a row of nulls, which windowing drops later.
+    ``with_id`` adds ``event_id``, null where a producer gives none.
     """
     message = F.from_json(F.col("value").cast("string"), EVENT_MESSAGE)
     event = messages.select(message.alias("_event")).select("_event.*")
@@ -54,4 +65,5 @@ def parse_events(messages: DataFrame) -> DataFrame:
         "import_module",
         "commit_hash",
         F.coalesce("event_time", "timestamp").cast("timestamp").alias("event_time"),
+        *(["event_id"] if with_id else []),
     )

@@ -1,8 +1,10 @@
 """How exposed repos are to deprecated symbols."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from usagelens.storage import store
+
 
 def with_default_severity(deprecated: DataFrame) -> DataFrame:
     """The deprecated list with severity 1 where it names none."""
@@ -43,3 +45,57 @@ def repo_exposure(scored: DataFrame) -> DataFrame:
         F.sum("usage_count").alias("total_deprecated_calls"),
         F.count_distinct("symbol_called").alias("unique_deprecated_apis"),
     )
+
+
+def add_codes(known: DataFrame, symbols: DataFrame) -> DataFrame:
+    """``symbol, code`` of the symbols not ``known`` yet, numbered on from the last code.
+
+    The first is 1. Numbers have no gaps, so that bitmaps over them stay dense. Only one row per task meets in the
+    window that turns the tasks' counts into first numbers.
+    """
+    part, before = "_code_part", "_code_before"
+    fresh = symbols.select("symbol").filter("symbol IS NOT NULL").distinct()
+    fresh = fresh.join(known, "symbol", "left_anti").withColumn(part, F.spark_partition_id())
+    fresh = store(fresh, "fresh-symbols")
+    counts = fresh.groupBy(part).agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.select(part, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(before))
+    last = known.agg(F.coalesce(F.max("code"), F.lit(0)).alias("_last"))
+    place = F.row_number().over(Window.partitionBy(part).orderBy("symbol"))
+    return (
+        fresh.withColumn("_place", place)
+        .join(ahead, part)
+        .join(F.broadcast(last))  # one row
+        .select("symbol", (F.col("_last") + F.col(before) + F.col("_place")).cast("long").alias("code"))
+    )
+
+
+def exposure_parts(scored: DataFrame, codes: DataFrame) -> DataFrame:
+    """Scores that can be added up later: sums and a bitmap of symbols per repo, time window and
+    range of codes. Ranges keep a repo with very many symbols from being one row."""
+    coded = scored.join(codes.withColumnRenamed("symbol", "symbol_called"), "symbol_called")
+    return coded.groupBy(
+        "repo", "time_window", F.bitmap_bucket_number("code").alias("code_range")
+    ).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("code")).alias("symbols"),
+        F.sum("exposure_score").alias("exposure_score"),
+        F.sum("usage_count").alias("calls"),
+    )
+
+
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """Parts of several increments as one per repo, time window and range of codes."""
+    return parts.groupBy("repo", "time_window", "code_range").agg(
+        F.bitmap_or_agg("symbols").alias("symbols"),
+        F.sum("exposure_score").alias("exposure_score"),
+        F.sum("calls").alias("calls"),
+    )
+
+
+def exposure_of_parts(parts: DataFrame) -> DataFrame:
+    """What ``repo_exposure`` gives for all usage the parts were made of, distinct symbols exact."""
+    return merge_parts(parts).groupBy("repo", "time_window").agg(
+        F.sum("exposure_score").alias("exposure_score"),
+        F.sum("calls").alias("total_deprecated_calls"),
+        F.sum(F.bitmap_count("symbols")).alias("unique_deprecated_apis"),
+    )

@@ -71,3 +71,26 @@ def dependents(edges: DataFrame, repo: str | None = None, target: str | None = N
     return found.select(
         "repo", F.col("file").alias("target"), F.col("path").alias("dependent")
     ).distinct()
+
+
+def moved_modules(old_files: DataFrame, new_files: DataFrame) -> DataFrame:
+    """Modules that another file, or none, or a first one, stands for now: repo, module."""
+    old, new = (module_index(f) for f in (old_files, new_files))
+    both = old.withColumnRenamed("file", "_old").join(new, ["repo", "module"], "full")
+    return both.filter(~F.col("_old").eqNullSafe(F.col("file"))).select("repo", "module")
+
+
+def imported_modules(facts: DataFrame) -> DataFrame:
+    """Every module an import of a file may be looked up by, in either mode: repo, path, module."""
+    path, module, level = F.col("path"), F.col("module"), F.col("level")
+    base = relative_base(path, module, level, with_root=True)
+    submodule = F.concat_ws(".", F.nullif(base, F.lit("")), "name")
+    names = F.when(F.col("is_from"), F.array(base, submodule)).otherwise(F.array(base, module))
+    exploded = imports(facts).select("repo", "path", F.explode(names).alias("module"))
+    return exploded.filter("module <> ''").distinct()
+
+
+def importers(facts: DataFrame, modules: DataFrame) -> DataFrame:
+    """The files whose imports may be looked up by one of ``modules``: repo, path."""
+    found = imported_modules(facts).join(modules, ["repo", "module"], "left_semi")
+    return found.select("repo", "path").distinct()

@@ -184,13 +184,19 @@ def resolve_qualified(
 
 
 def collect_api_calls(
-    facts: DataFrame, files: DataFrame, external_only: bool = True, mode: str = "reference"
+    facts: DataFrame,
+    files: DataFrame,
+    external_only: bool = True,
+    mode: str = "reference",
+    with_place: bool = False,
 ) -> DataFrame:
     """One record per call whose callee resolves; by default only those that leave the repo.
 
     External means bound by an import that is not known to be local, the standard library
     included. ``facts`` should be a stored table; ``files`` needs repo and path only.
+    ``with_place`` adds the line and column of the call, of which a file has one call each.
     """
+    place = ["line", "col"] if with_place else []
     used = calls(facts).withColumnRenamed("base_name", "name")
     bound, edges = _bound_and_edges(facts, files, mode)
     if external_only:
@@ -202,6 +208,7 @@ def collect_api_calls(
     resolved = _resolve(used, bound, edges).select(
         "repo",
         F.col("path").alias("file"),
+        *place,
         full_symbol(F.col("import_module"), F.col("name"), F.col("attr_chain")).alias("symbol_called"),
         "signature_shape",
         (F.col("is_import") & ~F.coalesce("import_is_local", F.lit(False))).alias("is_external"),
@@ -213,6 +220,7 @@ def collect_api_calls(
     return resolved.select(
         "repo",
         "file",
+        *place,
         "symbol_called",
         library_of(F.col("symbol_called")).alias("library"),
         "signature_shape",

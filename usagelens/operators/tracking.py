@@ -24,6 +24,33 @@ def file_delta(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def versions(sources: DataFrame) -> DataFrame:
+    """``repo, path, version, size``: what tells one content of a file from another. A null content
+    counts as empty, as it is when parsed."""
+    content = F.coalesce(F.col("content").cast("binary"), F.lit(b""))
+    return sources.select(
+        *_KEY, F.xxhash64(content).alias("version"), F.octet_length(content).cast("long").alias("size")
+    )
+
+
+def content_delta(old: DataFrame, new: DataFrame) -> DataFrame:
+    """All files of two ``versions`` tables, with what became of each as ``change``: ``added``,
+    ``removed``, ``changed`` or ``same``. Further columns of ``old`` are kept, null where added."""
+    told = ["version", "size"]
+    before = old.withColumnsRenamed({c: f"_old_{c}" for c in told}).withColumn("_old", F.lit(True))
+    both = before.join(new.withColumn("_new", F.lit(True)), _KEY, "full")
+    same = F.lit(True)
+    for c in told:
+        same &= F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+    change = (
+        F.when(F.col("_old").isNull(), "added")
+        .when(F.col("_new").isNull(), "removed")
+        .when(same, "same")
+        .otherwise("changed")
+    )
+    return both.withColumn("change", change).drop("_old", "_new", *[f"_old_{c}" for c in told])
+
+
 def add_tracked(tracked: DataFrame, added: DataFrame) -> DataFrame:
     """``tracked`` plus the files of ``added`` it does not hold yet; existing rows stay as is."""
     fresh = added.dropDuplicates(_KEY).join(tracked, _KEY, "left_anti")

@@ -20,7 +20,7 @@ def event_k() -> Column:
     return F.get_json_object("props", "$.k")
 
 
-def usage_events(events: DataFrame) -> DataFrame:
+def usage_events(events: DataFrame, with_id: bool = False) -> DataFrame:
     """Each event as a call of ``<event_type>.k<k>`` in one of ten repos."""
     symbol = F.concat("event_type", F.lit(".k"), event_k())
     return events.select(
@@ -29,6 +29,7 @@ def usage_events(events: DataFrame) -> DataFrame:
         symbol.alias("symbol"),
         symbol.alias("symbol_called"),
         F.col("ts").alias("event_time"),
+        *([F.col("event_id").cast("string").alias("event_id")] if with_id else []),
     )
 
 

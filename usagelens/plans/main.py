@@ -46,6 +46,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     usage.add_argument("--state-partitions", type=int)
     usage.add_argument("--files-per-folder", type=int, default=FILES_PER_FOLDER)
     usage.add_argument("--by-library", action="store_true", help="folders by library, not month")
+    usage.add_argument("--once", action="store_true", help="count repeated messages once")
 
     exposure = jobs.add_parser("exposure", help="score usage of deprecated symbols")
     exposure.add_argument("--aggregated-path", default=AGGREGATED_PATH)
@@ -88,7 +89,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         scan.summary.show()
     elif args.job == "usage":
         messages = read_topic(spark, args.kafka_bootstrap_servers, args.kafka_topic)
-        run_usage_job(
+        counts = run_usage_job(
             messages,
             args.output_path,
             args.checkpoint_path,
@@ -96,7 +97,9 @@ def main(argv: Sequence[str] | None = None) -> None:
             state_partitions=args.state_partitions,
             files_per_folder=args.files_per_folder,
             by_library=args.by_library,
+            once=args.once,
         )
+        print(", ".join(f"{name} {rows} rows" for name, rows in counts._asdict().items()))
     elif args.job == "exposure":
         run_exposure_job(
             spark,

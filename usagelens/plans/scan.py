@@ -40,7 +40,7 @@ def run_scan_job(
     """
     facts = store(extract_facts(sources), "facts", ["kind"], f"{work_path}/facts")
     files = files_of(facts)
-    found = collect_api_calls(facts, files, external_only=True, mode=mode)
+    found = collect_api_calls(facts, files, external_only=True, mode=mode, with_place=True)
     found = keep_libraries(found, target_libraries)
     now = scan_time or datetime.datetime.now(datetime.timezone.utc)
     events = store(call_events(found, now), "events", path=f"{work_path}/events")

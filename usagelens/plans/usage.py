@@ -10,7 +10,9 @@ from usagelens.schemas import REPO_USAGE_DAILY
 from usagelens.streaming.usage import (
     DELAY,
     FILES_PER_FOLDER,
+    StreamCounts,
     daily_usage_stream,
+    finish,
     read_days,
     write_days,
 )
@@ -27,9 +29,13 @@ def run_usage_job(
     state_partitions: int | None = None,
     files_per_folder: int = FILES_PER_FOLDER,
     by_library: bool = False,
-) -> None:
+    once: bool = False,
+) -> StreamCounts:
     """Run the stream until its input is used up; then, if asked, bring the monthly table up to date.
 
+    Returns how many rows were read, dropped and written. ``once`` drops repeats of an event; a
+    checkpoint keeps to it or does without from its first run on.
+
     Days are kept per repo, library and symbol; ``library_days`` sums them over repos. The number
     of ``state_partitions`` is fixed by the first run on a checkpoint and holds for the stream
     alone. A checkpoint belongs to one folder layout.
@@ -39,13 +45,13 @@ def run_usage_job(
     if state_partitions is not None:
         spark.conf.set(_WIDTH, state_partitions)
     try:
-        days = daily_usage_stream(messages, REPO_KEYS, delay)
-        written = write_days(days, days_path, checkpoint_path, files_per_folder, by_library)
-        written.awaitTermination()
+        days = daily_usage_stream(messages, REPO_KEYS, delay, once)
+        counts = finish(write_days(days, days_path, checkpoint_path, files_per_folder, by_library))
     finally:
         spark.conf.set(_WIDTH, width)
     if usage_path is not None:
         roll_up_months(spark, days_path, usage_path)
+    return counts
 
 
 def roll_up_months(spark: SparkSession, days_path: str, usage_path: str) -> None:

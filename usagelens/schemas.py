@@ -65,10 +65,28 @@ EVENT_MESSAGE = _table(
     defining_file=_s,
     import_module=_s,
     commit_hash=_s,
+    event_id=_s,
     timestamp=_ts,
     event_time=_ts,
 )
 
+# Resolved calls as scans keep them, with the place of each in its file.
+API_CALLS = _table(
+    repo=_s,
+    file=_s,
+    line=_i,
+    col=_i,
+    symbol_called=_s,
+    library=_s,
+    signature_shape=SIGNATURE,
+    is_external=_b,
+    defining_file=_s,
+    import_module=_s,
+)
+
+# The files a scan has seen: a hash of each text, and the generations that hold its facts and calls.
+SCANNED = _table(repo=_s, path=_s, version=_l, size=_l, facts_gen=_i, calls_gen=_i)
+
 USAGE_DAILY = _table(library=_s, symbol=_s, num_calls=_l, event_day_start=_ts, event_day_end=_ts)
 
 REPO_USAGE_DAILY = _table(

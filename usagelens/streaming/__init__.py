@@ -1,5 +1,11 @@
 """The usage stream."""
 
-from usagelens.streaming.usage import daily_usage_stream, read_days, write_days
+from usagelens.streaming.usage import (
+    StreamCounts,
+    daily_usage_stream,
+    finish,
+    read_days,
+    write_days,
+)
 
-__all__ = ["daily_usage_stream", "read_days", "write_days"]
+__all__ = ["StreamCounts", "daily_usage_stream", "finish", "read_days", "write_days"]

@@ -1,6 +1,7 @@
 """Daily usage from a message stream: each day is written once, when its watermark has passed."""
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,17 +16,45 @@ from usagelens.schemas import USAGE_DAILY
 DELAY = "1 hour"
 FILES_PER_FOLDER = 32
 MONTH = "event_month"
+_WRITTEN = "days_written"
+
+
+class StreamCounts(NamedTuple):
+    """What a run of a stream read, dropped and wrote, in rows.
+
+    ``late`` rows came behind the watermark. Where events are counted once they are events; else
+    counts of one task for a day and key, as they are combined before they meet the state.
+    ``repeated`` ones are events counted before, known only where events are counted once.
+    """
+
+    read: int
+    late: int
+    repeated: int
+    written: int
 
 
 def daily_usage_stream(
-    messages: DataFrame, keys: Sequence[str] = SYMBOL_KEYS, delay: str = DELAY
+    messages: DataFrame,
+    keys: Sequence[str] = SYMBOL_KEYS,
+    delay: str = DELAY,
+    once: bool = False,
 ) -> DataFrame:
     """Daily counts of the events in ``messages``, allowing them to be ``delay`` late.
 
     Counts are combined before the shuffle, so a hot symbol costs one state row per day. Days the
     watermark has not passed stay in state; events behind it are dropped.
+
+    ``once`` counts an event once however often its message comes, which topics written at least
+    once need. Events are known by ``event_id``; one without any counts each time. A repeat finds
+    its first in state until the watermark has passed both by ``delay``, and is late after that,
+    so state holds the ids of about the last ``delay`` and nothing is counted twice, over restarts
+    too. It costs a shuffle of the events by id.
     """
-    return daily_usage(parse_events(messages).withWatermark("event_time", delay), keys)
+    events = parse_events(messages, with_id=once).withWatermark("event_time", delay)
+    if once:
+        known = F.coalesce("event_id", F.concat(F.lit("#"), F.uuid()))
+        events = events.withColumn("event_id", known).dropDuplicatesWithinWatermark(["event_id"])
+    return daily_usage(events, keys)
 
 
 def write_days(
@@ -43,6 +72,7 @@ def write_days(
     instead, for readers that expect it and corpora with few libraries: each run then writes to
     every one of them, and no month can be pruned.
     """
+    days = days.observe(_WRITTEN, F.count(F.lit(1)).alias("rows"))
     part = F.pmod(F.xxhash64(*days.columns), F.lit(files_per_folder))
     folder = "library" if by_library else MONTH
     if not by_library:
@@ -59,6 +89,27 @@ def write_days(
     )
 
 
+def finish(query: StreamingQuery, poll_seconds: int = 5) -> StreamCounts:
+    """Wait for a run of ``write_days`` to end, and count its rows from the progress it reports."""
+    batches = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(poll_seconds)
+        batches |= {p["batchId"]: p for p in query.recentProgress}
+    states = [s for p in batches.values() for s in p["stateOperators"]]
+    return StreamCounts(
+        read=sum(p["numInputRows"] for p in batches.values()),
+        late=sum(s["numRowsDroppedByWatermark"] for s in states),
+        repeated=sum(s["customMetrics"].get("numDroppedDuplicateRows", 0) for s in states),
+        written=sum(_observed(p) for p in batches.values()),
+    )
+
+
+def _observed(progress) -> int:
+    seen = progress["observedMetrics"].get(_WRITTEN)
+    return seen["rows"] if seen else 0
+
+
 def read_days(
     spark: SparkSession,
     path: str,
