@@ -9,7 +9,7 @@ import pytest
 from tests.conftest import rows
 from tests.llm.conftest import MESSY
 from usagelens.llm.packing import (
-    WordTokens,
+    Tokens,
     added_tokens,
     pack,
     pack_documents,
@@ -38,9 +38,9 @@ def test_ids_equal_those_of_the_tokenizer(tokenizer):
     pick = random.Random(4)
     marks = ["a", "Word", "don't", "'s", "42", " ", "  ", "\n", "\n\n ", "\t", "é", "漢字", "!!", " "]
     marks += ["　", "<|endoftext|>", "\0", "\x1c", "🙂", "​", "\x85", "_", "'", "ll"]
-    tokens = WordTokens(RANKS)
+    tokens = Tokens(RANKS)
     for text in [t for _, t in MESSY if t] + ["".join(pick.choices(marks, k=30)) for _ in range(3000)]:
-        assert np.frombuffer(tokens.encode(text), "<u4").tolist() == plain_ids(tokenizer, text), text
+        assert tokens.encode(text).tolist() == plain_ids(tokenizer, text), text
 
 
 @pytest.mark.parametrize("seed", range(20))
@@ -86,7 +86,7 @@ def test_pieces_are_whole_and_sequences_gapless(documents, tokenizer):
         assert at <= 64
     assert pack_documents(docs.limit(0), RANKS).count() == 0
     pieces = token_pieces(docs, RANKS, capacity=64)
-    assert pieces.filter("octet_length(ids) != 4 * length").count() == 0
+    assert pieces.filter("octet_length(ids) != width * length").count() == 0
     assert pieces.count() == len(found)
 
 
@@ -113,10 +113,10 @@ def special_texts():
 
 
 def test_added_tokens_have_their_ids(as_loaded):
-    tokens = WordTokens(RANKS, added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
-    assert np.frombuffer(tokens.encode("x<|endoftext|>"), "<u4").tolist() == [87, 50256]
+    tokens = Tokens(RANKS, added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
+    assert tokens.encode("x<|endoftext|>").tolist() == [87, 50256]
     for text in special_texts():
-        assert np.frombuffer(tokens.encode(text), "<u4").tolist() == plain_ids(as_loaded, text), text
+        assert tokens.encode(text).tolist() == plain_ids(as_loaded, text), text
 
 
 def test_query_and_stage_know_added_tokens(spark, as_loaded, tmp_path):
@@ -154,3 +154,39 @@ def test_sequences_hold_the_ids_of_all_documents(spark, documents, as_loaded):
             assert offset == at
             at += len(ids) // 4
         assert at <= 1024
+
+
+def test_long_gaps_and_texts(tokenizer, monkeypatch):
+    """Runs of white space around and beyond what is encoded apart, and texts cut into parts."""
+    from usagelens.llm import packing
+
+    monkeypatch.setattr(packing, "_LONG", 0)
+    tokens = Tokens(RANKS)
+    for gap in (" ", "\t", " \n", "　", "\xa0 "):
+        for n in (127, 255, 256, 257, 600):
+            for text in ("a" + gap * n + "b", gap * n, gap * n + "c.", "x" + gap * n, f"a{gap * n}\tb {gap * n}c"):
+                assert tokens.encode(text).tolist() == plain_ids(tokenizer, text), (gap, n)
+    monkeypatch.setattr(packing, "_TEXT", 100)
+    pick = random.Random(2)
+    text = "".join(pick.choices(["word ", "x, ", "  ", "\n", "é ", "'s ", " "], k=5000))
+    assert tokens.encode(text).tolist() == plain_ids(tokenizer, text)
+    assert len(tokens.encode(" " * 3_000_000)) > 0
+
+
+def test_pieces_of_many_batches(documents, tokenizer, monkeypatch):
+    """Pieces leave in several record batches, cut at the capacity."""
+    from usagelens.llm import packing
+
+    monkeypatch.setattr(packing, "_PIECES_AT_ONCE", 3)
+    import pyarrow as pa
+    from array import array
+
+    batch = pa.RecordBatch.from_pydict({"k": [1, 2, 3], "x": [4, 5, 6], "id": [7, 8, 9]})
+    encoded = [array("H", range(n)) for n in (1, 25, 10)]
+    found = [r for b in packing._cut(batch, 0, encoded, 2, 5) for r in b.to_pylist()]
+    assert [(r["id"], r["start"], r["length"]) for r in found] == [
+        (7, 0, 1), *[(8, s, 5) for s in range(0, 25, 5)], (9, 0, 5), (9, 5, 5)
+    ]
+    for r in found:
+        ids = np.frombuffer(r["ids"], "<u2")
+        assert ids.tolist() == list(range(r["start"], r["start"] + r["length"]))

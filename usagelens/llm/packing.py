@@ -7,6 +7,8 @@ there into patterns of lengths with counts; documents' pieces then find their pl
 import base64
 import json
 import re
+import sys
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -19,9 +21,12 @@ from usagelens.llm.words import pieces as row_ranges
 from usagelens.llm.words import utf8
 from usagelens.storage import store
 
-_BREAK = re.compile(r"(?<=\S)(?= \S)")
-_WIDE = re.compile(r" \s|\s |\0")
-_REMEMBERED = 600_000
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_GAP = re.compile(f"[{_SPACE}]{{256,}}")
+_BREAK = re.compile(r"(?<=[!-~]) (?=[!-~])")
+_TEXT = 1 << 20
+_LONG = 1 << 16
+_PIECES_AT_ONCE = 1 << 13
 
 
 def added_tokens(path: str) -> dict[str, int]:
@@ -34,12 +39,14 @@ def added_tokens(path: str) -> dict[str, int]:
     return {token["content"]: token["id"] for token in listed}
 
 
-class WordTokens:
-    """Token ids of texts by a byte-level vocabulary of ranks, remembering those of words.
+class Tokens:
+    """Token ids of texts by a byte-level vocabulary of ranks.
 
-    Such a vocabulary never merges across a single space between two characters that are not white
-    space, so a text is the concatenation of its parts there. Names in ``added`` have the id given
-    there wherever they occur, and the text is split at them; other names are ordinary text.
+    Names in ``added`` have the id given there wherever they occur, and the text is split at them;
+    other names are ordinary text. Long texts are encoded part by part, cut where nothing merges:
+    before a single space between two printable characters. Of a long run of white space all but
+    the last character, or all at the end of a text, are one word of the splitting pattern; it is
+    encoded as such, as the pattern itself would be followed back too far.
     """
 
     def __init__(self, path: str, added: dict[str, int] | None = None):
@@ -49,38 +56,47 @@ class WordTokens:
         with open(path, "rb") as file:
             lines = (line.split() for line in file)
             ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self._encode = tiktoken.Encoding(
+        encoding = tiktoken.Encoding(
             "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ).encode_ordinary
-        self._known: dict[str, bytes] = {}
-        self._added = {name: np.array([i], "<u4").tobytes() for name, i in (added or {}).items()}
-        names = sorted(map(re.escape, self._added), key=len, reverse=True)
-        self._names = re.compile(f"({'|'.join(names)})") if names else None
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        if self._names is None or not self._names.search(text):
-            return self._ordinary(text)
-        cut = self._names.split(text)  # names are at the odd places
-        return b"".join(
-            self._added[part] if i % 2 else self._ordinary(part) for i, part in enumerate(cut)
         )
+        self._ordinary, self._word = encoding.encode_ordinary, encoding._encode_single_piece
+        added = added or {}
+        self.width = 2 if max([*ranks.values(), *added.values()]) < 1 << 16 else 4
+        self._kind = "H" if self.width == 2 else "I"
+        self._added = added
+        names = sorted(map(re.escape, added), key=len, reverse=True)
+        self._names = re.compile(f"({'|'.join(names)})") if names else None
 
-    def _ordinary(self, text: str) -> bytes:
-        if _WIDE.search(text):
-            parts = _BREAK.split(text)
-        else:
-            parts = text.replace(" ", "\0 ").split("\0")
-        known = self._known
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            if len(known) > _REMEMBERED:
-                known.clear()
-            for p in parts:
-                if p not in known:
-                    known[p] = np.array(self._encode(p), "<u4").tobytes()
-            return b"".join([known[p] for p in parts])
+    def encode(self, text: str) -> array:
+        """Ids as unsigned numbers of ``width`` bytes."""
+        parts = self._names.split(text) if self._names else [text]
+        if len(parts) == 1 and len(text) < _LONG:
+            return array(self._kind, self._ordinary(text))
+        ids = array(self._kind)
+        for i, part in enumerate(parts):  # names are at the odd places
+            if i % 2:
+                ids.append(self._added[part])
+            else:
+                self._encode_long(part, ids)
+        return ids
+
+    def _encode_long(self, text: str, ids: array) -> None:
+        at = 0
+        for gap in _GAP.finditer(text):
+            self._encode_cut(text[at : gap.start()], ids)
+            at = gap.end() - (gap.end() < len(text))
+            ids.extend(self._word(text[gap.start() : at]))
+        self._encode_cut(text[at:], ids)
+
+    def _encode_cut(self, text: str, ids: array) -> None:
+        at = 0
+        while len(text) - at > _TEXT:
+            cut = _BREAK.search(text, at + _TEXT)
+            if cut is None:
+                break
+            ids.extend(self._ordinary(text[at : cut.start()]))
+            at = cut.start()
+        ids.extend(self._ordinary(text[at:]))
 
 
 def token_pieces(
@@ -92,47 +108,62 @@ def token_pieces(
     end_id: int = 0,
     added: dict[str, int] | None = None,
 ) -> DataFrame:
-    """``k, x, id, start, length, ids, doc_tokens``: each document's ids, ended by ``end_id``, cut
-    into pieces of at most ``capacity``. ``ids`` holds little-endian unsigned 32-bit numbers. A
-    null text counts as empty and has one piece with the end alone. ``added`` are the ids of added
-    tokens by name.
+    """``k, x, id, start, length, ids, width, doc_tokens``: each document's ids, ended by
+    ``end_id``, cut into pieces of at most ``capacity``. ``ids`` holds little-endian unsigned numbers
+    of ``width`` bytes, two where all ids of the vocabulary fit, else four. A null text counts as
+    empty and has one piece with the end alone. ``added`` are the ids of added tokens by name.
     """
 
     def run(batches):
-        tokens = WordTokens(tokenizer_path, added)
-        end = np.array([end_id], "<u4").tobytes()
+        tokens = Tokens(tokenizer_path, added)
         for batch in batches:
             _, offsets = utf8(batch["text"])
             for first, last in row_ranges(offsets):
-                rows, starts, lengths, ids, totals = [], [], [], [], []
-                for i in range(first, last):
-                    encoded = tokens.encode(batch["text"][i].as_py()) + end
-                    count = len(encoded) // 4
-                    for start in range(0, count, capacity):
-                        piece = encoded[4 * start : 4 * (start + capacity)]
-                        rows.append(i)
-                        starts.append(start)
-                        lengths.append(len(piece) // 4)
-                        ids.append(piece)
-                        totals.append(count)
-                own = batch.select(["k", "x", "id"]).take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *own.columns,
-                        pa.array(starts, pa.int64()),
-                        pa.array(lengths, pa.int64()),
-                        pa.array(ids, pa.binary()),
-                        pa.array(totals, pa.int64()),
-                    ],
-                    ["k", "x", "id", "start", "length", "ids", "doc_tokens"],
-                )
+                encoded = [tokens.encode(batch["text"][i].as_py()) for i in range(first, last)]
+                for ids in encoded:
+                    ids.append(end_id)
+                yield from _cut(batch, first, encoded, tokens.width, capacity)
 
     rows = keyed(docs, id_col, text_col).select("k", "x", "id", "text")
     kind = rows.schema["id"].dataType.simpleString()
-    schema = f"k long, x long, id {kind}, start long, length long, ids binary, doc_tokens long"
+    schema = (
+        f"k long, x long, id {kind}, start long, length long, ids binary, width int, "
+        "doc_tokens long"
+    )
     return rows.mapInArrow(run, schema)
 
 
+def _cut(batch: pa.RecordBatch, first: int, encoded: list[array], width: int, capacity: int):
+    """Record batches of the pieces of consecutive documents, some thousand pieces each."""
+    counts = np.fromiter(map(len, encoded), np.int64, len(encoded))
+    if sys.byteorder == "big":
+        for ids in encoded:
+            ids.byteswap()
+    data = b"".join(encoded)
+    pieces = -(-counts // capacity)
+    rows = np.repeat(np.arange(len(encoded)), pieces)
+    starts = (np.arange(len(rows)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * capacity
+    lengths = np.minimum(capacity, counts[rows] - starts)
+    ends = np.cumsum(lengths) * width
+    for at in range(0, len(rows), _PIECES_AT_ONCE):
+        part = slice(at, at + _PIECES_AT_ONCE)
+        begin = int(ends[at] - lengths[at] * width)
+        own = ends[part] - begin
+        bounds = np.concatenate([[0], own]).astype(np.int32)
+        ids = [None, pa.py_buffer(bounds), pa.py_buffer(data[begin : begin + int(own[-1])])]
+        keys = batch.select(["k", "x", "id"]).take(pa.array(rows[part] + first))
+        columns = [
+            *keys.columns,
+            pa.array(starts[part]),
+            pa.array(lengths[part]),
+            pa.BinaryArray.from_buffers(pa.binary(), len(own), ids),
+            pa.array(np.full(len(own), width, np.int32)),
+            pa.array(counts[rows[part]]),
+        ]
+        names = ["k", "x", "id", "start", "length", "ids", "width", "doc_tokens"]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+
 def pack_histogram(
     histogram: dict[int, int], capacity: int
 ) -> list[tuple[dict[int, int], int, int]]:
@@ -181,15 +212,18 @@ def _places(histogram: dict[int, int], capacity: int) -> dict[int, np.ndarray]:
     return {length: np.array(rows, np.int64) for length, rows in places.items()}
 
 
-def pack(pieces: DataFrame, order_by: list[str], capacity: int = 1024) -> DataFrame:
+def pack(
+    pieces: DataFrame, order_by: list[str], capacity: int = 1024, stored: bool = False
+) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` of 1 to ``capacity``.
 
     Pieces are ranked within their length: a range partitioning by length and ``order_by`` splits
     a length that is very frequent, each part is numbered from the count of the parts before it,
-    and rank decides the place. Pieces equal in all of ``order_by`` may change places.
+    and rank decides the place. Pieces equal in all of ``order_by`` may change places. The ranges
+    are found by a pass of their own, so pieces are stored first unless they are ``stored``.
     """
     columns = pieces.columns
-    pieces = store(pieces, "pieces")  # the ranges are found by a pass of their own
+    pieces = pieces if stored else store(pieces, "pieces")
     part, before, rank = "_pack_part", "_pack_before", "_pack_rank"
     ranged = pieces.repartitionByRange("length", *order_by)
     ranged = store(ranged.withColumn(part, F.spark_partition_id()), "ranged-pieces")
@@ -227,22 +261,18 @@ def pack(pieces: DataFrame, order_by: list[str], capacity: int = 1024) -> DataFr
     return ranked.mapInArrow(run, ", ".join([*fields, "sequence_id long", "offset long"]))
 
 
-def _squeeze(batches):
-    """Ids compressed: two of their four bytes are zero in a vocabulary of 50,000."""
-    codec = pa.Codec("zstd", 1)
-    for batch in batches:
-        made = [codec.compress(v.as_buffer(), asbytes=True) for v in batch["ids"]]
-        at = batch.schema.get_field_index("ids")
-        yield batch.set_column(at, "ids", pa.array(made, pa.binary()))
-
-
-def _restore(batches):
-    codec = pa.Codec("zstd")
+def _widen(batches):
+    """Ids in four bytes each, whatever width they were stored in."""
     for batch in batches:
-        sizes = zip(batch["ids"], batch["length"].to_pylist(), strict=True)
-        made = [codec.decompress(v.as_buffer(), 4 * n, asbytes=True) for v, n in sizes]
         at = batch.schema.get_field_index("ids")
-        yield batch.set_column(at, "ids", pa.array(made, pa.binary()))
+        if len(batch) and batch["width"][0].as_py() == 2:
+            ids = batch["ids"]
+            bounds = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+            data = np.frombuffer(ids.buffers()[2], "<u2", (bounds[-1] - bounds[0]) // 2, bounds[0])
+            buffers = [None, pa.py_buffer((bounds - bounds[0]) * 2), pa.py_buffer(data.astype("<u4"))]
+            ids = pa.BinaryArray.from_buffers(pa.binary(), len(ids), buffers)
+            batch = batch.set_column(at, "ids", ids)
+        yield batch
 
 
 def pack_documents(
@@ -255,15 +285,19 @@ def pack_documents(
 ) -> DataFrame:
     """``id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset``, one row per piece.
 
-    A sequence is its pieces' ``ids`` by ``offset``. Pieces are numbered and stored, placed without
-    their ids, and joined with their places by number, so the ids are shuffled once, compressed.
+    A sequence is its pieces' ``ids`` by ``offset``, little-endian unsigned 32-bit numbers. Pieces
+    are numbered and stored, placed without their ids, and joined with their places by number, so
+    the ids are shuffled once, in two bytes each if the vocabulary allows. Texts of any length are
+    encoded part by part, though a document's ids are in memory at once. A null text counts as
+    empty; rows with equal ids and texts may change places, and other columns are ignored.
     """
     cut = token_pieces(docs, tokenizer_path, id_col, text_col, capacity, added=added)
-    cut = cut.mapInArrow(_squeeze, cut.schema)
     cut = store(cut.withColumn("piece", F.monotonically_increasing_id()), "token-pieces")
-    placed = pack(cut.select("piece", "k", "x", "start", "length"), ["k", "x", "start"], capacity)
-    joined = cut.join(placed.select("piece", "sequence_id", "offset"), "piece")
-    return joined.mapInArrow(_restore, joined.schema).select(
+    narrow = cut.select("piece", "k", "x", "start", "length")
+    placed = pack(narrow, ["k", "x", "start"], capacity, stored=True)
+    own = cut.drop("k", "x")
+    joined = own.join(placed.select("piece", "sequence_id", "offset"), "piece").drop("piece")
+    return joined.mapInArrow(_widen, joined.schema).select(
         "id",
         "start",
         "length",
