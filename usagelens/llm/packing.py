@@ -69,11 +69,11 @@ class Tokens:
 
     def encode(self, text: str) -> array:
         """Ids as unsigned numbers of ``width`` bytes."""
-        parts = self._names.split(text) if self._names else [text]
-        if len(parts) == 1 and len(text) < _LONG:
+        named = any(map(text.__contains__, self._added))
+        if not named and len(text) < _LONG:
             return array(self._kind, self._ordinary(text))
         ids = array(self._kind)
-        for i, part in enumerate(parts):  # names are at the odd places
+        for i, part in enumerate(self._names.split(text) if named else [text]):  # names are at the odd places
             if i % 2:
                 ids.append(self._added[part])
             else:

@@ -67,17 +67,17 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_tables: dict[tuple[int, int], np.ndarray] = {}
-_REACH = 1 << 20
+_tables: dict[int, np.ndarray] = {}
+_REACH = 1 << 18
 
 
 def _table(base: int, count: int) -> np.ndarray:
-    size = 1 << max(12, (count - 1).bit_length())
-    if size > 2 * _REACH:
+    """Powers of ``base``. Of each base one table is kept, of at most 4 MB."""
+    if count > 2 * _REACH:
         return _powers(base, count)
-    if (base, size) not in _tables:
-        _tables[base, size] = _powers(base, size)
-    return _tables[base, size][:count]
+    if base not in _tables or len(_tables[base]) < count:
+        _tables[base] = _powers(base, 1 << max(12, (count - 1).bit_length()))
+    return _tables[base][:count]
 
 
 def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
