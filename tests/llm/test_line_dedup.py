@@ -53,3 +53,23 @@ def test_messy_rows(documents):
     assert rows(drop_boilerplate(documents(data), min_sites=1), "n_removed") == sorted(
         [(r[2],) for r in expected(data, 1)], key=repr
     )
+
+
+def test_many_lines_take_linear_time(spark, documents):
+    """Ten equal texts of boilerplate: four times the lines, not sixteen times the time."""
+    import time
+
+    def seconds(lines):
+        text = "\n".join(f"line {i}" if i % 7 else f"own {i}" for i in range(lines))
+        texts = [(i, text.replace("own", f"own {i} of"), f"s{i}") for i in range(10)]
+        docs = documents(texts).cache()
+        docs.count()
+        start = time.monotonic()
+        found = drop_boilerplate(docs, min_sites=10).collect()
+        took = time.monotonic() - start
+        assert all(r.n_lines == lines and r.n_removed == lines - -(-lines // 7) for r in found)
+        assert all(r.kept.split("\n") == [f"own {r.id} of {i}" for i in range(0, lines, 7)] for r in found)
+        return took
+
+    seconds(100)
+    assert seconds(40_000) < 5 * max(seconds(10_000), 1.5)

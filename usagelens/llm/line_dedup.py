@@ -43,7 +43,8 @@ def drop_boilerplate(
 
     Lines are compared without white space at their ends, by 96 bits of hash. Those without a word
     are kept and not counted. A missing site is a site of its own; a null text counts as empty.
-    Only hashes and line numbers are shuffled to find the lines; each text is moved once, to meet
+    Repeated rows each get their row, and other columns are ignored. A text takes time in
+    proportion to its lines. Only hashes and line numbers are shuffled to find the lines; each text is moved once, to meet
     the numbers of its lines that go.
     """
     site = F.coalesce(F.col(site_col).cast("string"), F.lit("\0"))
@@ -65,17 +66,26 @@ def drop_boilerplate(
     gone = (
         lines.join(spread, ["h1", "h2"], "left_semi")
         .groupBy("k", "x")
-        .agg(F.collect_set("number").alias("gone"))  # at most the lines of one text
+        .agg(F.sort_array(F.collect_set("number")).alias("gone"))  # at most the lines of one text
     )
     texts = keyed(docs, id_col, text_col).select("k", "x", "id", "text")
-    stay = F.filter(
-        F.split("text", "\n"),
-        lambda _, i: ~F.coalesce(F.array_contains(F.col("gone"), i), F.lit(False)),
+    # One flag per line up to the last that goes, so that texts of many lines take linear time.
+    before = lambda i: F.coalesce(F.get("gone", i - 1), F.lit(-1))
+    flags = F.flatten(
+        F.transform(
+            "gone",
+            lambda g, i: F.concat(
+                F.array_repeat(F.lit(False), g - before(i) - 1), F.array(F.lit(True))
+            ),
+        )
     )
+    stay = F.zip_with(F.split("text", "\n"), flags, lambda line, flag: F.when(flag, None).otherwise(line))
     every = F.size(F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(_BLANK)) != ""))
     return texts.join(gone, ["k", "x"], "left").select(
         "id",
         every.cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
-        F.array_join(stay, "\n").alias("kept"),
+        F.when(F.col("gone").isNull(), F.col("text"))
+        .otherwise(F.array_join(stay, "\n"))  # which leaves nulls out
+        .alias("kept"),
     )
