@@ -79,3 +79,16 @@ def test_messy_rows_and_missing_labels(spark, documents):
         found = toxicity(documents(MESSY), labels)
         assert {(r.score, r.predicted) for r in found.collect()} == {(0.0, 0)}
     assert toxicity(documents(MESSY).limit(0), known).count() == 0
+
+
+def test_labels_outside_0_and_1_do_not_count(spark, documents):
+    data, labels = corpus(300)
+    kinds = "doc_id long, toxic int"
+    good = spark.createDataFrame([x for x in labels if x[0] % 3], kinds)
+    odd = spark.createDataFrame([(i, v) for i, _ in labels[::3] for v in (2, -1, 7)] + [(3, None)], kinds)
+    plain_scores = rows(toxicity(documents(data), good, trees=2, depth=2))
+    assert rows(toxicity(documents(data), good.unionByName(odd), trees=2, depth=2)) == plain_scores
+    as_text = good.unionByName(odd).selectExpr("doc_id", "cast(toxic as string) as toxic")
+    as_text = as_text.unionByName(spark.createDataFrame([(6, "bad")], "doc_id long, toxic string"))
+    assert rows(toxicity(documents(data), as_text, trees=2, depth=2)) == plain_scores
+    assert toxicity(documents(data), odd).filter("score <> 0").count() == 0

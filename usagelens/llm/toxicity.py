@@ -185,9 +185,10 @@ def lexicon(
 
 def labelled_sample(labels: DataFrame, most: int = 20_000, id_col: str = "doc_id") -> DataFrame:
     """``id, toxic, part`` of at most ``most`` labelled ids, those of least hash. ``part`` is 0 for
-    the lexicon, 1 for the trees and 2 for the calibration, in the ratio 2 : 2 : 1."""
-    usable = labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic"))
-    usable = usable.dropna().groupBy("id").agg(F.max("toxic").alias("toxic"))
+    the lexicon, 1 for the trees and 2 for the calibration, in the ratio 2 : 2 : 1. Labels other than
+    0 and 1 do not count, and an id with both is toxic."""
+    usable = labels.select(F.col(id_col).alias("id"), F.col("toxic").try_cast("int").alias("toxic"))
+    usable = usable.dropna().filter(F.col("toxic").isin(0, 1)).groupBy("id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.lit("toxicity"), "id")
     fold = F.pmod(order, F.lit(5))
     part = F.when(fold < 2, 0).when(fold < 4, 1).otherwise(2)
@@ -207,7 +208,8 @@ def toxicity(
 
     The sample, at most ``sample_rows`` ids with a label, is small enough to be broadcast. Without
     both labels in its parts all documents get its share of toxic rows, 0 without any row. A null
-    text counts as empty.
+    text counts as empty; texts are read whole whatever their length, one at a time; equal texts
+    have equal scores, repeated rows each a row; columns but id and text are ignored.
     """
     rows = keyed(docs, id_col, text_col).select("id", "text")
     sample = store(labelled_sample(labels, sample_rows, id_col), "labelled-sample")
