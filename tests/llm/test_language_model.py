@@ -1,7 +1,6 @@
 import math
 import random
 import uuid
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -23,8 +22,8 @@ def params():
 def mean_loss(params, inputs, fresh, state, kinds, member):
     states, _ = recurrent.run(params, inputs, fresh, state)
     flat = states.reshape(-1, states.shape[2])
-    classes, within = recurrent.log_chances(params, flat, member.ravel())
-    return -(classes[np.arange(len(flat)), kinds.ravel()] + within).mean()
+    own, _ = recurrent.log_chances(params, flat, kinds.ravel(), member.ravel())
+    return -own.mean()
 
 
 def test_gradients_equal_differences(params):
@@ -52,10 +51,17 @@ def test_chances_sum_to_one(params):
     states = np.random.default_rng(3).normal(0, 1, (1, 5)).astype(np.float32)
     total = 0.0
     for member in range(12):
-        classes, within = recurrent.log_chances(params, states, np.array([member]))
-        total += math.exp(classes[0, member // 3] + within[0])
-    classes, _ = recurrent.log_chances(params, states, np.array([-1]))
-    assert total + np.exp(classes[0, 4:]).sum() == pytest.approx(1, abs=1e-5)
+        own, last = recurrent.log_chances(params, states, np.array([member // 3]), np.array([member]))
+        total += math.exp(own[0])
+    for kind in range(4, 7):
+        own, _ = recurrent.log_chances(params, states, np.array([kind]), np.array([-1]))
+        total += math.exp(own[0])
+    assert own[0] == pytest.approx(last[0], abs=1e-5)
+    assert total == pytest.approx(1, abs=1e-5)
+    large = {k: v * 200 if k == "class_odds" else v for k, v in params.items()}
+    own, last = recurrent.log_chances(large, states, np.array([2]), np.array([-1]))
+    odds = states.astype(float) @ large["classes"] + large["class_odds"]
+    assert own[0] == pytest.approx(odds[0, 2] - np.logaddexp.reduce(odds[0]), rel=1e-4)
 
 
 def test_state_is_carried_across_windows(params):
@@ -125,7 +131,8 @@ def test_word_counts(documents):
     found = lm.count_words(documents(MESSY + two_tongues(30)))
     expect = Counter(t for _, text in MESSY + two_tongues(30) for t in tokens(text) if t is not None)
     assert {bytes(r.word): r.n for r in found.collect()} == expect
-    assert zlib.crc32(b"abc") % lm.OTHERS == lm.Vocabulary.other(b"abcdef")
+    assert lm.Vocabulary.other(b"abcdef") == 0x616263 % lm.OTHERS
+    assert lm.Vocabulary.other(b"a") == 0x61 % lm.OTHERS
 
 
 def test_every_training_document_trains_by_default(documents, monkeypatch, tmp_path):
@@ -156,3 +163,64 @@ def test_every_training_document_trains_by_default(documents, monkeypatch, tmp_p
 def test_no_share_is_left_out(documents):
     with pytest.raises(ValueError):
         lm.score_documents(documents(MESSY), documents(MESSY), rounds=3, share=8)
+
+
+def test_scores_equal_a_plain_forward_pass(documents, monkeypatch):
+    """Members, other words of the head, words that come by the join, and words never seen."""
+    monkeypatch.setattr(lm, "HEAD", 4400)
+    score, seen = lm._score, []
+
+    def noting(model, vocabulary, sums, total):
+        seen.append((model.value, vocabulary.value))
+        return score(model, vocabulary, sums, total)
+
+    monkeypatch.setattr(lm, "_score", noting)
+    pick = random.Random(12)
+    every = [f"{pick.choice('abcdé')}{pick.choice('xyz')}{i}" for i in range(6000)]
+    texts = [" ".join(pick.choices(every, k=200)) for _ in range(120)]
+    data = list(enumerate([*texts, "", None, " ".join(every[:3000]), "Never seen " + texts[0].upper()]))
+    training = data[:100]
+    found = {r.id: r for r in lm.score_documents(documents(data), documents(training), rounds=1).collect()}
+    ((params, vocabulary),) = seen
+    params = {k: v.astype(float) for k, v in params.items()}
+    count = Counter(t for _, text in training for t in tokens(text))
+    ends = count.pop(None)
+    listed = sorted(count, key=lambda w: (-count[w], w))
+    assert listed[:4400] == list(vocabulary.rank)
+    rank = {w: i for i, w in enumerate(listed[: lm.MEMBERS])}
+    other = lambda w: int.from_bytes(w[:3], "big") % lm.OTHERS
+    mass = Counter()
+    for w in count:
+        if w not in rank:
+            mass[other(w)] += count[w] + 0.5
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    softmax = lambda x: x - np.logaddexp.reduce(x)
+    size, hidden = lm.MEMBERS // lm.GROUPS, 32
+    kinds = Counter()
+
+    def plain(text):
+        state, before, total = np.zeros(hidden), lm.MEMBERS + lm.OTHERS, 0.0
+        for t in tokens(text):
+            x = params["look"][before]
+            both = sigmoid(x[: 2 * hidden] + state @ params["gates"])
+            new = np.tanh(x[2 * hidden :] + (both[hidden:] * state) @ params["fresh"])
+            state = state + both[:hidden] * (new - state)
+            classes = softmax(state @ params["classes"] + params["class_odds"])
+            if t is None:
+                total += classes[lm.GROUPS + lm.OTHERS]
+            elif t in rank:
+                before, g, m = rank[t], rank[t] // size, rank[t] % size
+                within = softmax(params["members"][g] @ state + params["member_odds"][g])
+                total += classes[g] + within[m]
+            else:
+                before = lm.MEMBERS + other(t)
+                if t in count:
+                    total += classes[lm.GROUPS + other(t)] + math.log((count[t] + 0.5) / mass[other(t)])
+                else:
+                    total += classes[-1]
+            kinds[t is None, t in rank, t in count, t in vocabulary.rank] += 1
+        return total / math.log(10)
+
+    for i, text in data[80:]:
+        assert found[i].score == pytest.approx(plain(text), rel=1e-4), i
+    assert len(kinds) == 5 and ends == 100

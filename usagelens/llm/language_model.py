@@ -7,9 +7,9 @@ words sum to one, however many there are.
 """
 
 import heapq
+import itertools
 import math
-import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +19,18 @@ from pyspark.sql import functions as F
 
 from usagelens.llm import recurrent
 from usagelens.llm.rows import keyed
-from usagelens.llm.words import pieces, spans, utf8, word_hashes
+from usagelens.llm.words import pieces, spans, utf8, word_hashes, word_lists
 from usagelens.storage import store
 
-HEAD = 1 << 15
+HEAD = 1 << 17
 MEMBERS = 4096
 GROUPS = 64
-OTHERS = 128
+OTHERS = 31
 _PREFIX = 3
 _SHARES = 1 << 20
 _BLOCK = 1 << 14
+_END = 1 << 30
+_TOKENS = 1 << 21
 
 
 def _lower(data: np.ndarray) -> np.ndarray:
@@ -69,26 +71,43 @@ def count_words(texts: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class _Ranks(dict):
+    """Ranks of words; of others, the number of their class as -1 and below."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1 - Vocabulary.other(word)
+
+
 class Vocabulary:
-    """Numbers of words: members first, then the classes of others by their first bytes."""
+    """Codes of words: the rank of those among the head, else a negative number for the class.
+
+    As inputs of the model they are numbered: members first, then the classes of others by their
+    first bytes, then the end.
+    """
 
     def __init__(self, head: list[tuple[bytes, int]]):
-        self.rank = {w: i for i, (w, _) in enumerate(head)}
+        self.rank = _Ranks({w: i for i, (w, _) in enumerate(head)})
         self.counts = np.array([n for _, n in head], np.int64)
         self.end = MEMBERS + OTHERS
+        self.others = np.array([self.other(w) for w, _ in head], np.int16)
 
     @staticmethod
     def other(word: bytes) -> int:
-        return zlib.crc32(word[:_PREFIX]) % OTHERS
+        return int.from_bytes(word[:_PREFIX]) % OTHERS
+
+    def codes(self, text: bytes) -> np.ndarray:
+        """Codes of the words of a lower-case text, and of its end."""
+        get = self.rank.__getitem__
+        parts = [np.fromiter(map(get, w), np.int32, len(w)) for w in word_lists(text)]
+        return np.concatenate([*parts, np.full(1, _END, np.int32)])
 
-    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Each word's rank among the head, or -1, and its number as an input."""
-        get = self.rank.get
-        ranks = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        ids = ranks.copy()
-        for i in np.flatnonzero((ranks < 0) | (ranks >= MEMBERS)).tolist():
-            ids[i] = MEMBERS + self.other(words[i])
-        return ranks, ids
+    def numbers(self, codes: np.ndarray) -> np.ndarray:
+        """Codes as numbers of inputs."""
+        out = np.where(codes < 0, MEMBERS - 1 - codes, codes)
+        apart = np.flatnonzero((codes >= MEMBERS) & (codes != _END))
+        out[apart] = MEMBERS + self.others[codes[apart]]
+        out[codes == _END] = self.end
+        return out
 
 
 def _kinds(ids: np.ndarray) -> np.ndarray:
@@ -97,54 +116,51 @@ def _kinds(ids: np.ndarray) -> np.ndarray:
     return np.where(ids < MEMBERS, ids // size, ids - MEMBERS + GROUPS)
 
 
-def _deal(texts: list[np.ndarray], lanes: int) -> list[list[int]]:
-    """Texts dealt to lanes, the longest first, each to the lane with least so far."""
-    heap = [(0, lane) for lane in range(lanes)]
-    dealt: list[list[int]] = [[] for _ in range(lanes)]
-    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
-        length, lane = heapq.heappop(heap)
-        dealt[lane].append(i)
-        heapq.heappush(heap, (length + len(texts[i]), lane))
-    return dealt
+def _lower_texts(batches, names: list[str] = ()):
+    """Pieces of a few megabytes: lower-case texts, and columns ``names`` of their rows."""
+    for batch in batches:
+        data, offsets = utf8(batch["text"])
+        for first, last in pieces(offsets):
+            raw = data[offsets[first] : offsets[last]].tobytes().lower()
+            cuts = (offsets[first : last + 1] - offsets[first]).tolist()
+            texts = [raw[a:b] for a, b in itertools.pairwise(cuts)]
+            yield texts, [batch[n].slice(first, last - first) for n in names]
 
 
 def _train(model, vocabulary, unknown: float, lanes: int, window: int, rate: float):
-    """A task's part of a round: the parameters after its texts, in blocks, and its tokens."""
+    """A task's part of a round: the parameters after its texts, in blocks, and its tokens.
+
+    A piece of text is one stream, cut into ``lanes`` that begin with a state of 0. Of words outside
+    the head a share of ``unknown`` counts as never seen.
+    """
 
     def run(batches):
         params = {k: v.copy() for k, v in model.value.items()}
         adam, words = recurrent.Adam(params, rate), vocabulary.value
         unknown_kind = len(params["class_odds"]) - 1
+        draw = np.random.default_rng(11)
         tokens = 0
-        for batch in batches:
-            stream, unseen = [], []
-            for text in batch["text"].cast(pa.large_binary()):
-                parts = (text.as_py() or b"").lower().split()
-                ranks, ids = words.numbers(parts)
-                rare = np.zeros(len(ids) + 1, bool)
-                for i in np.flatnonzero(ranks < 0).tolist():
-                    rare[i] = zlib.crc32(parts[i]) < unknown * 2**32
-                stream.append(np.append(ids, words.end))
-                unseen.append(rare)
-            if not stream:
-                continue
-            stream, unseen = np.concatenate(stream), np.concatenate(unseen)
-            steps = -(-len(stream) // lanes)
-            pad = steps * lanes - len(stream)
-            stream = np.append(stream, stream[:1].repeat(pad)).reshape(lanes, steps).T
-            unseen = np.append(unseen, np.zeros(pad, bool)).reshape(lanes, steps).T
-            inputs = np.vstack([np.full((1, lanes), words.end), stream[:-1]])
-            fresh = inputs == words.end
-            kinds = np.where(unseen, unknown_kind, _kinds(stream))
-            member = np.where(stream < MEMBERS, stream, -1)
-            state = np.zeros((lanes, params["fresh"].shape[0]), np.float32)
+        for texts, _ in _lower_texts(batches):
+            codes = np.concatenate([words.codes(t) for t in texts])
+            unseen = (codes < 0) & (draw.random(len(codes), np.float32) < unknown)
+            stream = words.numbers(codes)
+            own = min(lanes, max(1, len(stream) // window))
+            steps = -(-len(stream) // own)
+            pad = steps * own - len(stream)
+            stream = np.append(stream, stream[:1].repeat(pad)).reshape(own, steps).T
+            unseen = np.append(unseen, np.zeros(pad, bool)).reshape(own, steps).T
+            inputs = np.vstack([np.full((1, own), words.end), stream[:-1]])
+            state = np.zeros((own, params["fresh"].shape[0]), np.float32)
             for t in range(0, steps, window):
                 part = slice(t, t + window)
+                target, now = stream[part], inputs[part]
+                kinds = np.where(unseen[part], unknown_kind, _kinds(target))
+                member = np.where(target < MEMBERS, target, -1)
                 gradient, state, _ = recurrent.gradients(
-                    params, inputs[part], fresh[part], state, kinds[part], member[part]
+                    params, now, now == words.end, state, kinds, member
                 )
                 adam.step(params, gradient)
-            tokens += steps * lanes
+            tokens += steps * own
         if tokens:
             vector = recurrent.to_vector(params)
             cuts = range(0, len(vector), _BLOCK)
@@ -174,97 +190,127 @@ def _mean(table: pa.Table) -> pa.Table:
     )
 
 
+def _deal(lengths: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Texts dealt to lanes, the longest first, each to the lane with least so far: for each its
+    lane and its place there, and the longest lane."""
+    heap = [(0, lane) for lane in range(lanes)]
+    lane_of, place = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    sizes = lengths.tolist()
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        at, lane = heapq.heappop(heap)
+        lane_of[i], place[i] = lane, at
+        heapq.heappush(heap, (at + sizes[i], lane))
+    return lane_of, place, max(heap)[0]
+
+
+def _logs(params: recurrent.Params, stream: np.ndarray, lengths: np.ndarray, end: int):
+    """For each token of texts one after another, numbered as inputs, the logs of its probability,
+    up to that of the word within its class, and of the unknown's, each text from its own start."""
+    lanes = int(max(1, min(1024, lengths.sum() // max(lengths.max(), 256))))
+    lane, place, steps = _deal(lengths, lanes)
+    before = np.cumsum(lengths) - lengths
+    at = np.repeat(place * lanes + lane - before * lanes, lengths) + np.arange(len(stream)) * lanes
+    dealt = np.full(steps * lanes, -1, np.int32)
+    dealt[at] = stream
+    dealt = dealt.reshape(steps, lanes)
+    own, unknown = (np.zeros((steps, lanes), np.float32) for _ in range(2))
+    state = np.zeros((lanes, params["fresh"].shape[0]), np.float32)
+    last = np.full((1, lanes), end, np.int32)
+    window = max(1, 16384 // lanes)
+    for t in range(0, steps, window):
+        target = dealt[t : t + window]
+        now = np.vstack([last, target[:-1]])
+        now[now < 0] = end
+        last = target[-1:]
+        states, _ = recurrent.run(params, now, now == end, state, back=False)
+        state = states[-1]
+        known = target >= 0
+        flat, target = states[known], target[known]
+        member = np.where(target < MEMBERS, target, -1)
+        part = slice(t, t + window)
+        own[part][known], unknown[part][known] = recurrent.log_chances(
+            params, flat, _kinds(target), member
+        )
+    return own.ravel()[at], unknown.ravel()[at]
+
+
 def _score(model, vocabulary, sums, total: float):
     """Each text's log10 probability under the model and under word counts, but for its words
-    outside the head, whose counts a join has to tell; these follow as ``tail``."""
+    outside the head, whose counts a join has to tell; these follow as ``tail``.
 
-    def run(batches):
+    Some two million tokens are scored at once, kept as codes; of words only those outside the head
+    are kept as such, one for each time.
+    """
+
+    def scored(codes, tail, ids, serial):
         params, words = model.value, vocabulary.value
-        hidden = params["fresh"].shape[0]
-        unknown_kind = len(params["class_odds"]) - 1
-        share = np.log10(words.counts + 0.5) if len(words.counts) else np.zeros(0)
+        share = np.append(np.log10(words.counts + 0.5), 0.0)
+        lengths = np.fromiter(map(len, codes), np.int64, len(codes))
+        codes = np.concatenate(codes)
+        own, unknown = _logs(params, words.numbers(codes), lengths, words.end)
+        own, unknown = own.astype(float) / math.log(10), unknown.astype(float) / math.log(10)
+        begin = np.cumsum(lengths) - lengths
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        ranks = np.where((codes >= 0) & (codes != _END), codes, len(words.counts))
+        head = ranks < len(words.counts)
+        base = np.add.reduceat(share[ranks] - head * total, begin)
+        apart = np.flatnonzero(head & (codes >= MEMBERS))
+        at_tail = np.flatnonzero(codes < 0)
+        mine = own.copy()
+        mine[apart] += share[codes[apart]] - sums[words.others[codes[apart]]]
+        mine[at_tail] = 0
+        score = np.add.reduceat(mine, begin)
+
+        number: dict[bytes, int] = defaultdict(itertools.count().__next__)
+        named = np.fromiter(map(number.__getitem__, tail), np.int64, len(tail))
+        key = text[at_tail] * max(len(number), 1) + named
+        _, first, place = np.unique(key, return_index=True, return_inverse=True)
+        lists = np.concatenate([[0], np.cumsum(np.bincount(text[at_tail[first]], minlength=len(lengths)))])
+        own_tail = own[at_tail] - sums[-1 - codes[at_tail]]
+        fields = [
+            pa.array([tail[i] for i in first.tolist()], pa.binary()),
+            pa.array(np.bincount(place, minlength=len(first))),
+            pa.array(np.bincount(place, own_tail, len(first))),
+            pa.array(np.bincount(place, unknown[at_tail], len(first))),
+        ]
+        columns = [
+            pa.concat_arrays(ids),
+            pa.array(serial + np.arange(len(lengths))),
+            pa.array(lengths),
+            pa.array(np.add.reduceat(head.astype(np.int64), begin)),
+            pa.array(base),
+            pa.array(score),
+            pa.ListArray.from_arrays(
+                pa.array(lists.astype(np.int32)),
+                pa.StructArray.from_arrays(fields, ["word", "n", "own", "unknown"]),
+            ),
+        ]
+        return pa.RecordBatch.from_arrays(columns, _SCORED)
+
+    def run(batches):
+        words = vocabulary.value
         serial = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            _, offsets = utf8(batch["text"])
-            for first, last in pieces(offsets, 16 << 20):
-                texts, ranks, parts = [], [], []
-                for i in range(first, last):
-                    own = (batch["text"][i].as_py() or "").encode().lower().split()
-                    rank, ids = words.numbers(own)
-                    parts.append(own)
-                    ranks.append(rank)
-                    texts.append(np.append(ids, words.end))
-                longest = max(map(len, texts))
-                lanes = max(1, min(2048, sum(map(len, texts)) // max(longest, 256)))
-                dealt = _deal(texts, lanes)
-                lengths = [sum(len(texts[i]) for i in lane) for lane in dealt]
-                steps = max(lengths)
-                stream = np.full((steps, lanes), -1, np.int64)
-                for lane, own in enumerate(dealt):
-                    if own:
-                        stream[: lengths[lane], lane] = np.concatenate([texts[i] for i in own])
-                inputs = np.vstack([np.full((1, lanes), words.end), stream[:-1]])
-                inputs = np.where(inputs < 0, words.end, inputs)
-                own_log = np.zeros((steps, lanes), np.float32)
-                unknown_log = np.zeros((steps, lanes), np.float32)
-                state = np.zeros((lanes, hidden), np.float32)
-                window = max(1, 32768 // lanes)
-                for t in range(0, steps, window):
-                    part = slice(t, t + window)
-                    now = inputs[part]
-                    states, _ = recurrent.run(params, now, now == words.end, state)
-                    state = states[-1]
-                    target = stream[part].ravel()
-                    known = target >= 0
-                    flat, target = states.reshape(-1, hidden)[known], target[known]
-                    member = np.where(target < MEMBERS, target, -1)
-                    classes, within = recurrent.log_chances(params, flat, member)
-                    a, b = np.zeros(known.shape, np.float32), np.zeros(known.shape, np.float32)
-                    a[known] = classes[np.arange(len(target)), _kinds(target)] + within
-                    b[known] = classes[:, unknown_kind]
-                    own_log[part] = a.reshape(now.shape)
-                    unknown_log[part] = b.reshape(now.shape)
-                logs = {}
-                for lane, own in enumerate(dealt):
-                    at = 0
-                    for i in own:
-                        end = at + len(texts[i])
-                        logs[i] = (own_log[at:end, lane], unknown_log[at:end, lane])
-                        at = end
-                rows = []
-                for i, (rank, ids) in enumerate(zip(ranks, texts, strict=True)):
-                    own, unknown = (x.astype(float) / math.log(10) for x in logs[i])
-                    head = rank >= 0
-                    apart = head & (rank >= MEMBERS)
-                    base = share[rank[head]].sum() - head.sum() * total
-                    score = own[:-1][head].sum() + own[-1] + share[rank[apart]].sum()
-                    score -= sums[ids[:-1][apart] - MEMBERS].sum()
-                    tail: dict[bytes, list[float]] = {}
-                    for j in np.flatnonzero(~head).tolist():
-                        found = tail.setdefault(parts[i][j], [0, 0.0, 0.0])
-                        found[0] += 1
-                        found[1] += own[j]
-                        found[2] += unknown[j]
-                    listed = [
-                        {"word": w, "n": n, "own": a - n * sums[Vocabulary.other(w)], "unknown": b}
-                        for w, (n, a, b) in tail.items()
-                    ]
-                    rows.append((serial, len(ids), int(head.sum()), base, score, listed))
-                    serial += 1
-                columns = list(zip(*rows, strict=True))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), _TAIL]
-                made = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-                ids = batch["id"].slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([ids, *made], _SCORED)
+        codes, tail, ids, size = [], [], [], 0
+        for texts, (own_ids,) in _lower_texts(batches, ["id"]):
+            for raw in texts:
+                found = words.codes(raw)
+                codes.append(found)
+                rare, at = found < 0, 0
+                for part in word_lists(raw) if rare.any() else ():
+                    tail += itertools.compress(part, rare[at : at + len(part)].tolist())
+                    at += len(part)
+                size += len(found)
+            ids.append(own_ids)
+            if size > _TOKENS:
+                yield scored(codes, tail, ids, serial)
+                serial += len(codes)
+                codes, tail, ids, size = [], [], [], 0
+        if codes:
+            yield scored(codes, tail, ids, serial)
 
     return run
 
 
-_TAIL = pa.list_(
-    pa.struct(
-        [("word", pa.binary()), ("n", pa.int64()), ("own", pa.float64()), ("unknown", pa.float64())]
-    )
-)
 _SCORED = ["id", "serial", "n_tokens", "n_head", "base", "model", "tail"]
 
 
@@ -276,9 +322,9 @@ def score_documents(
     hidden: int = 32,
     rounds: int = 3,
     share: int | None = None,
-    lanes: int = 128,
-    window: int = 16,
-    rate: float = 0.01,
+    lanes: int = 512,
+    window: int = 32,
+    rate: float = 0.02,
 ) -> DataFrame:
     """``id, n_tokens, n_known, train_tokens, base_score, score``, one row per row of ``docs``.
 
@@ -289,7 +335,8 @@ def score_documents(
     gathered so grows with the corpus; the parameters do not. Only they and the counts of the
     ``HEAD`` most frequent words reach the driver and are broadcast. Of other words the counts
     come by a join. A document is scored as a whole, with the state carried from its first token
-    to its end, which is a token too. A null text is empty: the end alone.
+    to its end, which is a token too. A null text is empty: the end alone; rows with equal ids or
+    texts each get their row, and columns but id and text are ignored.
 
     ``base_score`` is the sum of log10((c + 0.5) / (N + 0.5 (V + 1))) over the tokens.
     """
@@ -310,7 +357,8 @@ def score_documents(
     frequent = counts.filter(F.col("n") * _SHARES >= n).orderBy(F.desc("n"), "word").limit(HEAD)
     head = [(bytes(r["word"]), r["n"]) for r in frequent.collect()]
     words = Vocabulary(head)
-    kind = (F.crc32(F.substring("word", 1, _PREFIX)) % OTHERS).cast("int").alias("other")
+    first = F.conv(F.hex(F.substring("word", 1, _PREFIX)), 16, 10).cast("long")
+    kind = (first % OTHERS).cast("int").alias("other")
     grouped = counts.groupBy(kind).agg(
         F.sum("n").alias("n"),
         F.count("*").alias("v"),

@@ -9,7 +9,6 @@ recurs. These distances are seeds, which are extended to both sides as far as th
 
 import functools
 from collections import defaultdict
-from collections.abc import Iterator
 from itertools import compress, count
 
 import numpy as np
@@ -17,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from usagelens.llm.rows import keyed
-from usagelens.llm.words import mix, pieces, utf8
+from usagelens.llm.words import mix, pieces, utf8, word_lists
 
 #: 3 * 2**18 + 1, with a generator of its units. Products of residues, 64 of them summed, are exact
 #: in double precision, so a transform is a few matrix products.
@@ -200,20 +199,9 @@ def find_runs(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return np.concatenate(found)
 
 
-def _parts(raw: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, those of a few megabytes at a time."""
-    at = 0
-    while at < len(raw):
-        end = min(at + _TEXT, len(raw))
-        while end < len(raw) and raw[end] not in b" \t\n\v\f\r":
-            end += 1
-        yield raw[at:end].split()
-        at = end
-
-
 def _collapse(raw: bytes, keep: np.ndarray) -> bytes:
     kept, at = [], 0
-    for words in _parts(raw):
+    for words in word_lists(raw):
         chosen = b" ".join(compress(words, keep[at : at + len(words)].tolist()))
         if chosen:
             kept.append(chosen)
@@ -226,7 +214,7 @@ def _texts_runs(texts: list[bytes]):
     number: dict[bytes, int] = defaultdict(count().__next__)
     coded, sizes = [], []
     for raw in texts:
-        own = [np.fromiter(map(number.__getitem__, p), np.int64, len(p)) for p in _parts(raw)]
+        own = [np.fromiter(map(number.__getitem__, p), np.int64, len(p)) for p in word_lists(raw)]
         sizes.append(sum(map(len, own)))
         coded += [*own, np.full(1, -1)]
     codes = np.concatenate(coded)

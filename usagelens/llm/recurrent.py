@@ -38,54 +38,92 @@ def from_vector(vector: np.ndarray, like: Params) -> Params:
     return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
-def run(params: Params, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray):
-    """States after each step of ``inputs`` (steps x lanes) and what going back needs.
+def run(params: Params, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, back: bool = True):
+    """States after each step of ``inputs`` (steps x lanes) and, for ``back``, what going back needs.
 
     Where ``fresh`` is set a text begins, and the state before that step is 0.
     """
     hidden = state.shape[1]
-    look, gates, inner = params["look"], params["gates"], params["fresh"]
-    states = np.empty((len(inputs), *state.shape), np.float32)
+    gates, inner = params["gates"], params["fresh"]
+    looked = params["look"][inputs]
+    states = np.empty((len(inputs), *state.shape), looked.dtype)
+    any_fresh = fresh.any(1)
     trail = []
-    for t in range(len(inputs)):
-        if fresh[t].any():
+    for t, x in enumerate(looked):
+        if any_fresh[t]:
             state = state * ~fresh[t][:, None]
-        x = look[inputs[t]]
-        both = _sigmoid(x[:, : 2 * hidden] + state @ gates)
+        both = state @ gates
+        both += x[:, : 2 * hidden]
+        both *= 0.5
+        np.tanh(both, out=both)
+        both *= 0.5
+        both += 0.5
         update, reset = both[:, :hidden], both[:, hidden:]
         held = reset * state
-        new = np.tanh(x[:, 2 * hidden :] + held @ inner)
-        trail.append((state, update, reset, held, new))
-        state = state + update * (new - state)
-        states[t] = state
+        new = held @ inner
+        new += x[:, 2 * hidden :]
+        np.tanh(new, out=new)
+        if back:
+            trail.append((state, update, reset, held, new))
+        step = new - state
+        step *= update
+        state = np.add(state, step, out=states[t])
     return states, trail
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _with_one(states: np.ndarray) -> np.ndarray:
+    """States with a last column of ones, which odds of their own are multiplied with."""
+    out = np.ones((len(states), states.shape[1] + 1), states.dtype)
+    out[:, :-1] = states
+    return out
 
 
-def log_chances(params: Params, states: np.ndarray, member: np.ndarray):
-    """For each state the log probabilities of all classes, and of its member within its class.
+def _softmax(states: np.ndarray, weights: np.ndarray, picks: np.ndarray):
+    """The exponentials of all odds, their sums by row, and the log probability of what is picked.
 
-    ``member`` is the number of the member, class by class, or -1 for a class without any.
+    States are within -1 and 1, so the weights tell whether any exponential could be too large or
+    too small; only then are rows shifted by their maximum.
     """
-    classes = _log_softmax(states @ params["classes"] + params["class_odds"])
-    within = np.zeros(len(states), np.float32)
-    size = params["members"].shape[1]
-    group = np.where(member >= 0, member // size, -1)
+    odds = states @ weights
+    if np.abs(weights).sum(0).max() > 60:
+        odds -= odds.max(1, keepdims=True)
+    own = odds[np.arange(len(odds)), picks]
+    np.exp(odds, out=odds)
+    sums = odds @ np.ones(odds.shape[1], odds.dtype)
+    return odds, sums, own - np.log(sums)
+
+
+def _weights(params: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the classes, and of the members group by group, with their odds in a last row."""
+    classes = np.vstack([params["classes"], params["class_odds"]])
+    members = params["members"].transpose(0, 2, 1)
+    return classes, np.concatenate([members, params["member_odds"][:, None]], 1)
+
+
+def _by_group(params: Params, member: np.ndarray):
+    """Groups that occur, with the places of their members in ``member``, -1 being none."""
+    groups, size = params["members"].shape[:2]
+    group = np.where(member >= 0, member // size, -1).astype(np.int16)
     order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(len(params["members"]) + 1))
-    for g in np.flatnonzero(np.diff(edges)):
+    edges = np.searchsorted(group[order], np.arange(groups + 1))
+    for g in np.flatnonzero(np.diff(edges)).tolist():
         mine = order[edges[g] : edges[g + 1]]
-        odds = _log_softmax(states[mine] @ params["members"][g].T + params["member_odds"][g])
-        within[mine] = odds[np.arange(len(mine)), member[mine] % size]
-    return classes, within
+        yield g, mine, member[mine] - g * size
+
+
+def log_chances(params: Params, states: np.ndarray, kinds: np.ndarray, member: np.ndarray):
+    """For each state the log probability of what ``kinds`` and ``member`` name, and that of the
+    last class.
+
+    ``member`` is the number of the member, class by class, or -1 for a class without any.
+    """
+    states = _with_one(states)
+    classes, members = _weights(params)
+    every, sums, own = _softmax(states, classes, kinds)
+    last = np.log(every[:, -1] / sums)
+    for g, mine, place in _by_group(params, member):
+        own[mine] += _softmax(states[mine], members[g], place)[2]
+    return own, last
 
 
 def gradients(params, inputs, fresh, state, kinds, member):
@@ -96,54 +134,57 @@ def gradients(params, inputs, fresh, state, kinds, member):
     """
     states, trail = run(params, inputs, fresh, state)
     steps, lanes, hidden = states.shape
-    flat, kind, member = states.reshape(-1, hidden), kinds.ravel(), member.ravel()
+    kind, member = kinds.ravel(), member.ravel()
+    flat = _with_one(states.reshape(-1, hidden))
     n = len(flat)
+    rows = np.arange(n)
     out = {k: np.zeros_like(v) for k, v in params.items()}
-    odds = _log_softmax(flat @ params["classes"] + params["class_odds"])
-    loss = -odds[np.arange(n), kind].sum()
-    back = np.exp(odds)
-    back[np.arange(n), kind] -= 1
-    back /= n
-    out["classes"] = flat.T @ back
-    out["class_odds"] = back.sum(0)
-    d_states = back @ params["classes"].T
-    size = params["members"].shape[1]
-    group = np.where(member >= 0, member // size, -1)
-    order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(len(params["members"]) + 1))
-    for g in np.flatnonzero(np.diff(edges)):
-        mine = order[edges[g] : edges[g + 1]]
-        place = member[mine] % size
-        odds = _log_softmax(flat[mine] @ params["members"][g].T + params["member_odds"][g])
-        loss -= odds[np.arange(len(mine)), place].sum()
-        back = np.exp(odds)
-        back[np.arange(len(mine)), place] -= 1
-        back /= n
-        out["members"][g] = back.T @ flat[mine]
-        out["member_odds"][g] = back.sum(0)
-        d_states[mine] += back @ params["members"][g]
+    classes, members = _weights(params)
+    back, sums, own = _softmax(flat, classes, kind)
+    loss = -own.sum()
+    back /= (sums * n)[:, None]
+    back[rows, kind] -= 1 / n
+    both = flat.T @ back
+    out["classes"], out["class_odds"] = both[:-1], both[-1]
+    d_states = back @ classes[:-1].T
+    for g, mine, place in _by_group(params, member):
+        here = flat[mine]
+        back, sums, own = _softmax(here, members[g], place)
+        loss -= own.sum()
+        back /= (sums * n)[:, None]
+        back[rows[: len(mine)], place] -= 1 / n
+        both = back.T @ here
+        out["members"][g], out["member_odds"][g] = both[:, :-1], both[:, -1]
+        d_states[mine] += back @ members[g][:-1].T
     d_states = d_states.reshape(steps, lanes, hidden)
-    d_next = np.zeros((lanes, hidden), np.float32)
-    d_look = np.empty((steps, lanes, 3 * hidden), np.float32)
+    d_next = np.zeros((lanes, hidden), flat.dtype)
+    d_look = np.empty((steps, lanes, 3 * hidden), flat.dtype)
+    before_all, held_all = np.empty_like(states), np.empty_like(states)
     for t in range(steps - 1, -1, -1):
         before, update, reset, held, new = trail[t]
-        d = d_states[t] + d_next
-        d_new = d * update * (1 - new * new)
+        before_all[t], held_all[t] = before, held
+        d = d_states[t]
+        d += d_next
+        d_new = d * update
+        d_next = d - d_new
+        d_new *= 1 - new * new
         d_held = d_new @ params["fresh"].T
-        d_update = d * (new - before) * update * (1 - update)
-        d_reset = d_held * before * reset * (1 - reset)
-        d_look[t] = np.concatenate([d_update, d_reset, d_new], 1)
-        d_gates = d_look[t][:, : 2 * hidden]
-        out["fresh"] += held.T @ d_new
-        out["gates"] += before.T @ d_gates
-        d_next = d * (1 - update) + d_held * reset + d_gates @ params["gates"].T
+        now = d_look[t]
+        now[:, :hidden] = d * (new - before) * update * (1 - update)
+        now[:, hidden : 2 * hidden] = d_held * before * reset * (1 - reset)
+        now[:, 2 * hidden :] = d_new
+        d_next += d_held * reset
+        d_next += now[:, : 2 * hidden] @ params["gates"].T
         if fresh[t].any():
-            d_next = d_next * ~fresh[t][:, None]
+            d_next *= ~fresh[t][:, None]
+    d_flat = d_look.reshape(-1, 3 * hidden)
+    out["fresh"] = held_all.reshape(-1, hidden).T @ d_flat[:, 2 * hidden :]
+    out["gates"] = before_all.reshape(-1, hidden).T @ d_flat[:, : 2 * hidden]
     ids = inputs.ravel()
-    order = np.argsort(ids, kind="stable")
+    small = np.int16 if len(params["look"]) < 1 << 15 else np.int32
+    order = np.argsort(ids.astype(small), kind="stable")
     at = np.flatnonzero(np.diff(ids[order], prepend=-1))
-    summed = np.add.reduceat(d_look.reshape(-1, 3 * hidden)[order], at)
-    out["look"][ids[order][at]] = summed
+    out["look"][ids[order][at]] = np.add.reduceat(d_flat[order], at)
     return out, states[-1], loss / n
 
 

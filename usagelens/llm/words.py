@@ -54,6 +54,17 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def word_lists(text: bytes, most: int = _PIECE) -> Iterator[list[bytes]]:
+    """The words of one text in lists, each of about ``most`` bytes of it."""
+    at = 0
+    while at < len(text):
+        end = min(at + most, len(text))
+        while end < len(text) and text[end] not in b" \t\n\v\f\r":
+            end += 1
+        yield text[at:end].split()
+        at = end
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
