@@ -41,7 +41,14 @@ from usagelens.sources import (
     read_usage,
 )
 from usagelens.storage import scratch_path, store
-from usagelens.streaming import daily_usage_stream, read_days, write_days
+from usagelens.streaming import (
+    compact_days,
+    daily_usage_stream,
+    exposure_stream,
+    read_days,
+    write_days,
+    write_scores,
+)
 
 try:
     import corpus_pipeline
@@ -468,7 +475,7 @@ def exposure_job_scores(spark, sf_dir):
 # --- streams ------------------------------------------------------------------------------------
 
 
-def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _message_stream(spark: SparkSession, sf_dir: str, later: str = "0 days") -> DataFrame:
     """The events table as a stream of JSON messages."""
     schema = corpus.read_events(spark, sf_dir).schema
     # A glob, as a stream source must not be the path of a single file.
@@ -479,7 +486,7 @@ def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             "repo",
             "library",
             "symbol_called",
-            F.col("event_time").cast("timestamp").alias("timestamp"),
+            (F.col("event_time") + F.expr(f"interval {later}")).cast("timestamp").alias("timestamp"),
         )
     )
 
@@ -561,6 +568,50 @@ def usage_stream_once(spark, sf_dir):
     return _plain_time(read_days(spark, f"{folder}/days", USAGE_DAILY))
 
 
+@_query(
+    _USAGE
+    + """
+SELECT * FROM (
+  SELECT library, symbol, count(*) AS num_calls, day AS event_day_start,
+         day + INTERVAL 1 DAY AS event_day_end
+  FROM (SELECT library, symbol, CAST(date_trunc('day', ts + INTERVAL 20 DAY) AS TIMESTAMP) AS day
+        FROM u) GROUP BY ALL)
+WHERE event_day_end <= (SELECT max(ts) FROM events) + INTERVAL 20 DAY - INTERVAL 1 HOUR
+"""
+)
+def usage_days_compacted(spark, sf_dir):
+    """Closed days of two months, the events being of 20 days later, the first from few files."""
+    path = _run_stream(daily_usage_stream(_message_stream(spark, sf_dir, "20 days")), spark)
+    compacted = scratch_path(spark, "compacted-days")
+    compact_days(spark, path, compacted)
+    return _plain_time(read_days(spark, path, USAGE_DAILY, compacted_path=compacted))
+
+
+@_query(
+    _USAGE
+    + _LISTED
+    + """
+, days AS (
+  SELECT repo, symbol_called, CAST(date_trunc('day', ts) AS TIMESTAMP) AS time_window,
+         count(*) AS usage_count
+  FROM u GROUP BY ALL)
+SELECT repo, symbol_called, time_window, usage_count, deprecated_in, removed_in, severity,
+       replacement, usage_count * severity AS exposure_score
+FROM days JOIN listed ON symbol_called = symbol
+WHERE time_window + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
+"""
+)
+def exposure_stream_closed(spark, sf_dir):
+    folder = scratch_path(spark, "exposure-stream")
+    listed = corpus.deprecated_symbols(corpus.read_events(spark, sf_dir))
+    overwrite(listed, f"{folder}/listed")
+    listed = spark.read.parquet(f"{folder}/listed")
+    scores = exposure_stream(_message_stream(spark, sf_dir), listed)
+    write_scores(scores, f"{folder}/scores", f"{folder}/checkpoint").awaitTermination()
+    found = spark.read.schema(DEPRECATED_USAGE).parquet(f"{folder}/scores")
+    return _plain_time(found)
+
+
 # --- code facts ---------------------------------------------------------------------------------
 
 
@@ -569,6 +620,14 @@ def code_imports(spark, sf_dir):
     return ul.imports(_facts(spark, sf_dir)).drop("is_aliased", "statement_names")
 
 
+@_query(_CODE + _IMPORTS + "SELECT * FROM imported")
+def code_imports_balanced(spark, sf_dir):
+    """Imports of files spread over tasks by their bytes."""
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    facts = ul.extract_facts(ul.balance(_sources(spark, sf_dir), tasks))
+    return ul.imports(facts).drop("is_aliased", "statement_names")
+
+
 @_query(_CODE + _DEFINED + "SELECT * FROM defined")
 def code_definitions(spark, sf_dir):
     return ul.definitions(_facts(spark, sf_dir))

@@ -190,6 +190,39 @@ def test_widen_runs_no_job(spark):
     assert "RoundRobinPartitioning(6)" in wide._jdf.queryExecution().executedPlan().toString()
 
 
+def loads(spark, table, tasks):
+    """Bytes and files of each task after balancing."""
+    from pyspark.sql import functions as F
+
+    wide = ul.balance(table, tasks).withColumn("task", F.spark_partition_id())
+    assert rows(wide.drop("task")) == rows(table)
+    found = wide.groupBy("task").agg(F.sum(F.octet_length("content")), F.max(F.octet_length("content")))
+    return [(size, largest) for _, size, largest in found.collect()]
+
+
+def test_balanced_tasks_have_about_the_same_bytes(spark, sources):
+    import random
+
+    pick = random.Random(1)
+    skewed = {f"s{i}.py": "x" * pick.randint(50, 150) for i in range(1980)}
+    skewed |= {f"l{i}.py": "y" * pick.randint(50_000, 120_000) for i in range(20)}
+    for tasks in (3, 8, 16):
+        found = loads(spark, sources(skewed), tasks)
+        mean = sum(size for size, _ in found) / tasks
+        assert len(found) == tasks
+        assert all(size <= 2 * mean or size - largest < 0.1 * mean for size, largest in found)
+    small = loads(spark, sources({f"s{i}.py": "x" * pick.randint(50, 150) for i in range(2000)}), 8)
+    assert max(small)[0] < 1.3 * sum(size for size, _ in small) / 8
+    one = loads(spark, sources({"big.py": "x" * 500_000, **{f"s{i}.py": "x" * 100 for i in range(500)}}), 4)
+    assert max(one)[0] < 510_000 and len(one) == 4
+
+
+def test_balancing_few_or_empty_files(spark, sources):
+    assert loads(spark, sources({"a.py": None, "b.py": ""}), 4)
+    assert loads(spark, sources({"a.py": "f()"}).selectExpr("repo", "path", "cast(content as binary) as content"), 4)
+    assert loads(spark, sources({"a.py": "f()"}).limit(0), 4) == []
+
+
 def test_every_file_read_is_a_fact(sources):
     facts = ul.extract_facts(sources({"a.py": "f()", "b.py": "import broken(", "c.py": None}))
     assert rows(ul.files(facts)) == [("r", "a.py"), ("r", "b.py"), ("r", "c.py")]

@@ -8,7 +8,15 @@ from usagelens.operators.usage import REPO_KEYS, daily_usage, library_days
 from usagelens.plans.usage import roll_up_months, run_usage_job
 from usagelens.schemas import REPO_USAGE_DAILY
 from usagelens.sources import read_usage
-from usagelens.streaming import daily_usage_stream, finish, read_days, write_days
+from usagelens.streaming import (
+    compact_days,
+    daily_usage_stream,
+    exposure_stream,
+    finish,
+    read_days,
+    write_days,
+    write_scores,
+)
 
 VALUE = "value string"
 
@@ -241,3 +249,63 @@ def test_counts_of_the_usage_job(spark, tmp_path):
     assert counts == (3, 0, 0, 2)
     counts = run("b", "2024-01-01T11:00:00Z", "2024-01-02T12:00:00Z", "2024-01-04T10:00:00Z")
     assert counts.read == 3 and counts.late == 2 and counts.written == 1
+
+
+def test_compacted_months_are_read_in_one_place(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    days, checkpoint, moved = (str(tmp_path / n) for n in ("days", "checkpoint", "moved"))
+
+    def run(name, *times):
+        texts = [message(t, f"p.f{i}") for t in times for i in range(5)]
+        (inbox / f"{name}.txt").write_text("\n".join(texts))
+        stream = spark.readStream.text(str(inbox))
+        finish(write_days(daily_usage_stream(stream, REPO_KEYS), days, checkpoint), 1)
+
+    def read(since=None):
+        return read_days(spark, days, REPO_USAGE_DAILY, since, moved)
+
+    def compact():
+        return compact_days(spark, days, moved, REPO_USAGE_DAILY)
+
+    run("a", "2024-01-01T10:00:00Z", "2024-01-02T10:00:00Z", "2024-01-05T10:00:00Z")
+    run("b", "2024-01-31T10:00:00Z", "2024-02-01T10:00:00Z", "2024-02-03T10:00:00Z")
+    whole = rows(read_days(spark, days, REPO_USAGE_DAILY))
+    assert rows(read()) == whole and len(whole) == 25
+    assert compact() == "2024-02"
+    assert rows(read()) == whole
+    assert len(list((tmp_path / "moved" / "gen=1" / "event_month=2024-01").glob("*.parquet"))) == 1
+    assert rows(read("2024-02")) == [r for r in whole if r[5] >= dt.datetime(2024, 2, 1)]
+
+    # A generation that no note names does not count, and is written over.
+    run("c", "2024-03-01T10:00:00Z", "2024-03-05T10:00:00Z")
+    whole = rows(read_days(spark, days, REPO_USAGE_DAILY))
+    spark.read.parquet(f"{moved}/gen=1").write.parquet(f"{moved}/gen=2")
+    assert rows(read()) == whole
+    assert compact() == "2024-03" and compact() == "2024-03"
+    assert rows(read()) == whole
+    names = {p.name for p in (tmp_path / "moved").glob("gen=2/*=*")}
+    assert names == {"event_month=2024-02"}
+
+
+def test_scores_use_the_list_of_their_run(spark, tmp_path):
+    inbox, listed = tmp_path / "inbox", str(tmp_path / "listed")
+    inbox.mkdir()
+
+    def run(name, severities, *times):
+        deprecated = spark.createDataFrame(
+            [(s, "p", "1.0", None, v, None) for s, v in severities.items()],
+            "symbol string, library string, deprecated_in string, removed_in string, severity int, replacement string",
+        )
+        deprecated.write.mode("overwrite").parquet(listed)
+        texts = [message(t, s) for t in times for s in ("p.f", "p.g", "q.h")]
+        (inbox / f"{name}.txt").write_text("\n".join(texts))
+        scores = exposure_stream(spark.readStream.text(str(inbox)), spark.read.parquet(listed))
+        write_scores(scores, str(tmp_path / "scores"), str(tmp_path / "checkpoint")).awaitTermination()
+        found = spark.read.parquet(str(tmp_path / "scores"))
+        return rows(found, "symbol_called", "time_window", "usage_count", "exposure_score")
+
+    first = run("a", {"p.f": 3, "q.h": None}, "2024-01-01T10:00:00Z", "2024-01-01T11:00:00Z", "2024-01-02T10:00:00Z")
+    assert first == [("p.f", day(1), 2, 6), ("q.h", day(1), 2, 2)]
+    later = run("b", {"p.f": 5, "p.g": 2}, "2024-01-03T10:00:00Z")
+    assert later == sorted([*first, ("p.f", day(2), 1, 5), ("p.g", day(2), 1, 2)], key=repr)

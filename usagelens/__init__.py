@@ -4,6 +4,7 @@ from usagelens.operators.bindings import bindings, lookup_names, symbols
 from usagelens.operators.events import call_events, parse_events, to_messages
 from usagelens.operators.exposure import deprecated_usage, repeated_symbols, repo_exposure
 from usagelens.operators.extract import (
+    balance,
     calls,
     definitions,
     diagnostics,
@@ -34,6 +35,7 @@ from usagelens.operators.usage import daily_usage, library_days, monthly_usage,
 
 __all__ = [
     "add_tracked",
+    "balance",
     "bindings",
     "call_events",
     "calls",

@@ -40,5 +40,6 @@ def _epoch() -> Column:
 
 def _utc_date(time: Column) -> Column:
     # Counted from the epoch, as truncation and formatting use the session's time zone.
-    days = F.floor(F.unix_micros(time.cast("timestamp")) / _DAY)
+    micros = F.unix_micros(time.cast("timestamp"))
+    days = F.call_function("div", micros - F.pmod(micros, F.lit(_DAY)), F.lit(_DAY))
     return F.date_add(_epoch(), days.cast("int"))

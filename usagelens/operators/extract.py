@@ -5,6 +5,7 @@ resolution are joins over those rows.
 """
 
 import ast
+import heapq
 import sys
 import warnings
 from collections.abc import Iterable, Iterator
@@ -22,6 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _FACTS_ARROW = to_arrow_schema(FACTS)
 _ROWS_PER_BATCH = 20_000
+_SLOTS = 32
 
 # Fixed value: how the diagnostic of anything but a syntax error starts.
 _OTHER_FAILURE = "Unexpected error while parsing: "
@@ -85,6 +87,41 @@ def widen(sources: DataFrame, tasks: int) -> DataFrame:
     return sources.repartition(tasks)
 
 
+def balance(sources: DataFrame, tasks: int, per_task: int = 64) -> DataFrame:
+    """Spread sources over ``tasks`` tasks by the bytes of their contents, not by their number.
+
+    A task gets about the mean number of bytes, or one file that alone has more. Files that are
+    large beside the mean, ``tasks * per_task`` of them at most, are dealt one by one, the largest
+    first, each to the task with least so far; the many others by hash, to each task in the
+    proportion of what it has left. Contents are read once to be measured and once to be moved.
+    """
+    size = F.coalesce(F.octet_length("content"), F.lit(0)).cast("long")
+    sizes = sources.select("repo", "path", size.alias("size"))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    mean = total / tasks
+    large = sizes.filter(F.col("size") > mean / per_task).orderBy(F.desc("size"), "repo", "path")
+    dealt = [(0, task) for task in range(tasks)]
+    places = []
+    for row in large.limit(tasks * per_task).collect():  # no more can be that large
+        load, task = heapq.heappop(dealt)
+        heapq.heappush(dealt, (load + row["size"], task))
+        places.append((row["repo"], row["path"], task))
+    left = {task: max(0.0, mean - load) for load, task in dealt}
+    rest = sum(left.values()) or 1.0
+    slots = [t for t, spare in sorted(left.items()) for _ in range(round(_SLOTS * tasks * spare / rest))]
+    slots = slots or list(range(tasks))
+    spark = sources.sparkSession
+    placed = spark.createDataFrame(places, "repo string, path string, _task int")
+    hashed = F.pmod(F.xxhash64("repo", "path"), F.lit(len(slots))).cast("int")
+    task = F.coalesce("_task", F.get(F.lit(slots), hashed))
+    return (
+        sources.join(F.broadcast(placed), ["repo", "path"], "left")
+        .withColumn("_task", task)
+        .repartitionById(tasks, "_task")
+        .select(*sources.columns)
+    )
+
+
 def files(facts: DataFrame) -> DataFrame:
     """The repo and path of every file read, parsed or not."""
     return facts.filter(F.col("kind") == "file").select("repo", "path")

@@ -49,3 +49,13 @@ def months_of_days(repo_days: DataFrame) -> DataFrame:
     return repo_days.groupBy(
         "repo", "symbol_called", month_bucket(F.col("event_day_start")).alias("time_window")
     ).agg(F.sum("num_calls").alias("usage_count"))
+
+
+def days_as_usage(repo_days: DataFrame) -> DataFrame:
+    """Daily counts in the columns of monthly usage, the day as time window. Also on streams."""
+    return repo_days.select(
+        "repo",
+        "symbol_called",
+        F.col("event_day_start").alias("time_window"),
+        F.col("num_calls").alias("usage_count"),
+    )

@@ -3,6 +3,7 @@
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,15 +116,72 @@ def read_days(
     path: str,
     schema: T.StructType = USAGE_DAILY,
     since_month: str | None = None,
+    compacted_path: str | None = None,
 ) -> DataFrame:
     """The days written so far; the schema is given, as a first run may close none.
 
-    Of the months before ``since_month`` no file is opened, unless folders are by library.
+    Of the months before ``since_month`` no file is opened, unless folders are by library. Months
+    that ``compact_days`` has moved to ``compacted_path`` are read there and nowhere else.
     """
     days = spark.read.schema(T.StructType([*schema, T.StructField(MONTH, T.StringType())]))
-    days = days.parquet(path)
-    if since_month is not None:
-        month = month_label(F.col("event_day_start"))
-        pruned = F.col(MONTH).isNull() | (F.col(MONTH) >= since_month)
-        days = days.filter(pruned & (month >= since_month))
-    return days.select(*schema.names)
+    generation, moved_until = _compacted(spark, compacted_path) if compacted_path else (0, "")
+    found = _since(days.parquet(path), max(since_month or "", moved_until)).select(*schema.names)
+    if generation:
+        parts = [f"{compacted_path}/gen={number}" for number in range(1, generation + 1)]
+        full = days.option("basePath", compacted_path).parquet(*parts)
+        found = found.unionByName(_since(full, since_month or "").select(*schema.names))
+    return found
+
+
+def _since(days: DataFrame, month: str) -> DataFrame:
+    if not month:
+        return days
+    own = month_label(F.col("event_day_start"))
+    return days.filter((F.col(MONTH).isNull() | (F.col(MONTH) >= month)) & (own >= month))
+
+
+def compact_days(
+    spark: SparkSession,
+    path: str,
+    compacted_path: str,
+    schema: T.StructType = USAGE_DAILY,
+    files_per_month: int = 1,
+) -> str | None:
+    """Copy the days of full months into few files each; returns the first month that is not.
+
+    A stream adds files to the folder of a month with every run. A watermark only moves forward, so
+    months before that of the last day written are full. Those not copied yet go to a generation of
+    their own, and a small file that names it and the first month that stays is written last:
+    readers follow it, so they see each month in one place, before, while and after. A run that
+    fails in between is made up for by the next, which writes over its generation. Files of copied
+    months under ``path`` may be removed once no reader that began before is left, but by the sink's
+    own log only (its ``retention`` option).
+    """
+    generation, moved_until = _compacted(spark, compacted_path)
+    days = spark.read.schema(T.StructType([*schema, T.StructField(MONTH, T.StringType())]))
+    left = _since(days.parquet(path), moved_until)
+    left = left.withColumn(MONTH, month_label(F.col("event_day_start")))
+    last = left.agg(F.max(MONTH)).first()[0]
+    if last is None or last <= moved_until:
+        return moved_until or None
+    full = left.filter(F.col(MONTH) < last)
+    if not full.isEmpty():
+        generation += 1
+        part = F.pmod(F.xxhash64(*schema.names), F.lit(files_per_month))
+        written = full.repartition(MONTH, part).write.mode("overwrite").partitionBy(MONTH)
+        written.parquet(f"{compacted_path}/gen={generation}")
+    note = spark.createDataFrame([(f"{generation} {last}",)], "value string").coalesce(1)
+    note.write.mode("overwrite").text(f"{compacted_path}/current")
+    return last
+
+
+def _compacted(spark: SparkSession, path: str) -> tuple[int, str]:
+    """The last finished generation, and the first month that is not in it or those before."""
+    try:
+        found = spark.read.text(f"{path}/current").first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, ""
+    generation, month = found[0].split(" ")
+    return int(generation), month
