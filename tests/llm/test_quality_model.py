@@ -63,3 +63,55 @@ def test_messy_rows_and_no_ratings(spark, documents):
     none = grade_documents(documents(MESSY), ratings.limit(0))
     assert {round(r.expected_grade, 6) for r in none.collect()} == {1.0}
     assert grade_documents(documents(MESSY).limit(0), ratings).count() == 0
+
+
+def plain_features(text, buckets):
+    """Feature numbers of a text, word by word."""
+    import re
+
+    import xxhash
+
+    number = lambda name: xxhash.xxh64_intdigest(name) % buckets
+    out, before = [], None
+    for word in (text or "").encode().split():
+        name = word.decode()
+        shape = re.sub(r"\d+", "0", name)
+        shape = re.sub(
+            r"[^\W\d_]+",
+            lambda m: "A" if m[0].isupper() else "Aa" if m[0][0].isupper() else "a",
+            shape,
+        )
+        shape = re.sub(r"(.)\1+", r"\1", shape)
+        out += [number(f"w {name.lower()}"), number(f"s {shape}")]
+        if word == before:
+            out.append(number(f"again {len(name) > 3}"))
+        before = word
+    return out
+
+
+def test_scores_equal_plain_ones(spark, documents):
+    """Features, the fit on all rated texts and scores, recomputed in plain Python."""
+    pick = random.Random(4)
+    good = ["Plain", "words,", "in", "order.", "Numbers", "2024", "and", "more"]
+    bad = ["BUY", "now!!!", "$$$", "click", "click", "FREE", "aa", "aa"]
+    data, ratings = [], []
+    for i in range(150):
+        grade = pick.choice([0, 1, 2])
+        source = {0: bad, 1: good + bad, 2: good}[grade]
+        data.append((i, " ".join(pick.choices(source, k=pick.randint(5, 40)))))
+        if i % 3:
+            ratings.append((i, grade))
+    data += [(500, ""), (501, None), (502, "Never seen words")]
+    rated = spark.createDataFrame(ratings, "doc_id long, grade int")
+    found = {r.id: r for r in grade_documents(documents(data), rated, buckets=512).collect()}
+    text = dict(data)
+    listed = [plain_features(text[i], 512) for i, _ in ratings]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in listed])])
+    ids = np.array([f for x in listed for f in x], np.int32)
+    weights, cuts = fit(ids, bounds, np.array([g for _, g in ratings]), 3, 512)
+    for i, t in data:
+        own = plain_features(t, 512)
+        score = sum(weights[f] for f in own) / len(own) if own else 0.0
+        above = [1 / (1 + np.exp(c - score)) for c in cuts]
+        assert abs(found[i].expected_grade - sum(above)) < 0.01, i
+        assert abs(found[i].tail_probability - above[0]) < 0.01, i
