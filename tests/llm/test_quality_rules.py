@@ -83,3 +83,59 @@ def test_messy_and_empty_tables(documents):
     assert judge(documents(MESSY).limit(0)).count() == 0
     text = " ".join(f"word{i}" for i in range(40))
     assert drop_low_quality(documents([(None, text, None), (2, text, None)])).count() == 2
+
+
+def test_columns_with_the_names_of_its_own(documents):
+    docs = documents(corpus(60))
+    names = {"k": "_quality_m", "x": "_quality_kept", "row": "own_quality_m", "id": "_quality_g0", "kept": "_quality_text"}
+    clashing = docs.withColumnsRenamed(names)
+    stay = drop_low_quality(clashing, min_rows=20)
+    assert stay.columns == clashing.columns
+    assert rows(stay) == rows(drop_low_quality(docs, min_rows=20))
+    judged = judge(clashing, carry=["doc_id"], min_rows=20).select("doc_id", "_quality_kept", "_quality_m.n_words")
+    assert rows(judged) == rows(judge(docs, carry=["doc_id"], min_rows=20).select("doc_id", "_quality_kept", "_quality_m.n_words"))
+
+
+def exact_band(values, q, error):
+    """The least and greatest value whose rank is within ``error`` of the quantile."""
+    values = sorted(values)
+    n = len(values)
+    low = values[max(0, min(n - 1, int((q - error) * n) - 1))]
+    return low, values[max(0, min(n - 1, int((q + error) * n) + 1))]
+
+
+def test_verdicts_equal_those_of_exact_quantiles(documents):
+    """Where a measure is not near its cutoff, as far as the sketches' ranks may err."""
+    from usagelens.llm import quality_rules as qr
+
+    data = corpus(900)
+    judged = judge(documents(data), min_rows=50)
+    found = judged.select("doc_id", "source", "_quality_m.*", "_quality_base_failed", "_quality_kept").collect()
+    usable = [r for r in found if not r._quality_base_failed]
+    error, sure = 0.02, 0
+    for source in ("marked", "plain"):
+        own = [r for r in usable if r.source == source]
+        limits = {}
+        for name, least in {"mean_word": qr.WORD_CHARS_SPREAD, **qr.SHARES}.items():
+            (q1a, q1b), (q3a, q3b) = (exact_band([r[name] for r in own], q, error) for q in (0.25, 0.75))
+            wide, narrow = max(q3b - q1a, least), max(q3a - q1b, least)
+            limits[name] = (q1a - 3 * wide, q1b - 3 * narrow, q3a + 3 * narrow, q3b + 3 * wide)
+        for r in own:
+            verdicts = []
+            for name, (low_a, low_b, high_a, high_b) in limits.items():
+                if name == "mean_word":
+                    noise = qr.WORD_CHARS_NOISE / max(r.n_words, 1) ** 0.5
+                else:
+                    size, factor = qr.NOISE[name]
+                    noise, low_a, low_b = factor / max(r[size], 1) ** 0.5, -1e9, -1e9
+                if r[name] > high_b + noise or r[name] < low_a - noise:
+                    verdicts.append(False)
+                elif low_b - noise <= r[name] <= high_a + noise:
+                    verdicts.append(True)
+                else:
+                    verdicts.append(None)
+            if False in verdicts or None not in verdicts:
+                assert r._quality_kept == (False not in verdicts), r
+                sure += 1
+    assert sure > 0.95 * len(usable) and any(not r._quality_kept for r in usable)
+    assert not any(r._quality_kept for r in found if r._quality_base_failed)

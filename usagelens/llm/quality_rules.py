@@ -171,11 +171,14 @@ def judge(
     """The columns ``carry`` of ``docs`` (default: all) with the struct ``_quality_m`` of counts,
     ``_quality_base_failed`` and ``_quality_kept``.
 
-    Null languages and sources are groups of their own. A table without usable rows has no
+    Null languages and sources are groups of their own. Texts are read whole whatever their length;
+    equal rows are judged alike, each a row of the result. A table without usable rows has no
     cutoffs; the base rules alone then decide. The cutoffs, one short row per group, are broadcast
     if there are at most ``max_broadcast_groups`` groups and shuffled beyond that.
     """
     carry = docs.columns if carry is None else carry
+    # Columns that are not carried may have any name; of those that are, see ``drop_low_quality``.
+    docs = docs.drop(*[c for c in docs.columns if c.startswith(_PREFIX) and c not in carry])
     grouped = docs.withColumns(
         {_name("g0"): F.col(language_col), _name("g1"): F.col(source_col)}
     )
@@ -205,5 +208,9 @@ def judge(
 
 
 def drop_low_quality(docs: DataFrame, **columns) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all columns."""
-    return judge(docs, **columns).filter(_name("kept")).select(*docs.columns)
+    """The rows of ``docs`` that the rules keep, with all columns, whatever their names."""
+    own = {c: "own" + c for c in docs.columns if c.startswith(_PREFIX)}
+    while set(own.values()) & set(docs.columns):
+        own = {c: "own" + name for c, name in own.items()}
+    kept = judge(docs.withColumnsRenamed(own), **columns).filter(_name("kept"))
+    return kept.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])
