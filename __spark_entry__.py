@@ -34,6 +34,7 @@ from usagelens.schemas import (
 )
 from usagelens.sinks import overwrite, require_columns, send_events
 from usagelens.sources import (
+    code_folders,
     keep_libraries,
     keep_paths,
     read_deprecated,
@@ -628,6 +629,35 @@ def code_imports_balanced(spark, sf_dir):
     return ul.imports(facts).drop("is_aliased", "statement_names")
 
 
+def _write_folders(sources: DataFrame, folder: str) -> list[str]:
+    """Writes each source as a file below ``folder``, in tasks; returns the repos' roots."""
+
+    def write(batches):
+        import pyarrow as pa
+        from pyarrow.fs import FileSystem
+
+        system, base = FileSystem.from_uri(folder)
+        for batch in batches:
+            for repo, path, content in zip(*(batch[i].to_pylist() for i in range(3))):
+                name = f"{base}/{repo}/{path}"
+                system.create_dir(name.rpartition("/")[0])
+                with system.open_output_stream(name) as file:
+                    file.write(content.encode())
+            yield pa.RecordBatch.from_arrays([batch[0]], ["repo"])
+
+    written = sources.select("repo", "path", "content").mapInArrow(write, "repo string")
+    return [f"{folder}/{r.repo}" for r in written.distinct().collect()]  # few repos
+
+
+@_query(_CODE + _IMPORTS + "SELECT * FROM imported")
+def code_folder_imports(spark, sf_dir):
+    """Imports of the files once they lie in folders, read through the data source."""
+    tasks = spark.sparkContext.defaultParallelism
+    roots = _write_folders(_sources(spark, sf_dir).repartition(tasks), scratch_path(spark, "code"))
+    facts = ul.extract_facts(code_folders(spark, roots, 1 << 18))
+    return ul.imports(facts).drop("is_aliased", "statement_names")
+
+
 @_query(_CODE + _DEFINED + "SELECT * FROM defined")
 def code_definitions(spark, sf_dir):
     return ul.definitions(_facts(spark, sf_dir))
