@@ -1,7 +1,10 @@
 """A gated recurrent language model in numpy with a class-factored softmax.
 
 A token belongs to a class, and some classes have members: its probability is that of the class
-times, there, that of the member. Inputs are looked up, so a step costs one small product.
+times, there, that of the member. Inputs are looked up, so a step costs one small product. Gates and
+new states saturate by x / (1 + |x|), which costs a fraction of a hyperbolic tangent. Large products
+are done in slices too small for a linear algebra library to start threads for, as the cores of an
+executor are taken by other tasks.
 """
 
 import numpy as np
@@ -38,6 +41,36 @@ def from_vector(vector: np.ndarray, like: Params) -> Params:
     return out
 
 
+_SLICE = 64
+
+
+def _saturate(x: np.ndarray) -> np.ndarray:
+    """x / (1 + |x|), in place. With y for the result, its slope is (1 - |y|) ** 2."""
+    below = np.abs(x)
+    below += 1
+    x /= below
+    return x
+
+
+def _times(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The product of many rows with a matrix."""
+    whole = len(rows) // _SLICE * _SLICE
+    out = np.empty((len(rows), weights.shape[1]), rows.dtype)
+    sliced = rows[:whole].reshape(-1, _SLICE, rows.shape[1])
+    np.matmul(sliced, weights, out=out[:whole].reshape(-1, _SLICE, weights.shape[1]))
+    out[whole:] = rows[whole:] @ weights
+    return out
+
+
+def _across(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The product of the transpose of many rows with as many others."""
+    whole = len(a) // _SLICE * _SLICE
+    left = a[:whole].reshape(-1, _SLICE, a.shape[1]).transpose(0, 2, 1)
+    out = np.matmul(left, b[:whole].reshape(-1, _SLICE, b.shape[1])).sum(0)
+    out += a[whole:].T @ b[whole:]
+    return out
+
+
 def run(params: Params, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, back: bool = True):
     """States after each step of ``inputs`` (steps x lanes) and, for ``back``, what going back needs.
 
@@ -52,17 +85,16 @@ def run(params: Params, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray
     for t, x in enumerate(looked):
         if any_fresh[t]:
             state = state * ~fresh[t][:, None]
-        both = state @ gates
+        both = _times(state, gates)
         both += x[:, : 2 * hidden]
-        both *= 0.5
-        np.tanh(both, out=both)
+        _saturate(both)
         both *= 0.5
         both += 0.5
         update, reset = both[:, :hidden], both[:, hidden:]
         held = reset * state
-        new = held @ inner
+        new = _times(held, inner)
         new += x[:, 2 * hidden :]
-        np.tanh(new, out=new)
+        _saturate(new)
         if back:
             trail.append((state, update, reset, held, new))
         step = new - state
@@ -84,12 +116,12 @@ def _softmax(states: np.ndarray, weights: np.ndarray, picks: np.ndarray):
     States are within -1 and 1, so the weights tell whether any exponential could be too large or
     too small; only then are rows shifted by their maximum.
     """
-    odds = states @ weights
+    odds = _times(states, weights)
     if np.abs(weights).sum(0).max() > 60:
         odds -= odds.max(1, keepdims=True)
     own = odds[np.arange(len(odds)), picks]
     np.exp(odds, out=odds)
-    sums = odds @ np.ones(odds.shape[1], odds.dtype)
+    sums = odds.sum(1)
     return odds, sums, own - np.log(sums)
 
 
@@ -126,6 +158,15 @@ def log_chances(params: Params, states: np.ndarray, kinds: np.ndarray, member: n
     return own, last
 
 
+def _gate_slope(gate: np.ndarray) -> np.ndarray:
+    """The slope of a gate 0.5 + 0.5 y by what is in y: 0.5 (1 - |2 gate - 1|) ** 2."""
+    slope = np.abs(gate - 0.5)
+    slope -= 0.5
+    slope *= slope
+    slope *= 2
+    return slope
+
+
 def gradients(params, inputs, fresh, state, kinds, member):
     """Gradients of the mean negative log probability over a window, its last state, and the mean.
 
@@ -144,22 +185,23 @@ def gradients(params, inputs, fresh, state, kinds, member):
     loss = -own.sum()
     back /= (sums * n)[:, None]
     back[rows, kind] -= 1 / n
-    both = flat.T @ back
+    both = _across(flat, back)
     out["classes"], out["class_odds"] = both[:-1], both[-1]
-    d_states = back @ classes[:-1].T
+    d_states = _times(back, np.ascontiguousarray(classes[:-1].T))
     for g, mine, place in _by_group(params, member):
         here = flat[mine]
         back, sums, own = _softmax(here, members[g], place)
         loss -= own.sum()
         back /= (sums * n)[:, None]
         back[rows[: len(mine)], place] -= 1 / n
-        both = back.T @ here
+        both = _across(back, here)
         out["members"][g], out["member_odds"][g] = both[:, :-1], both[:, -1]
-        d_states[mine] += back @ members[g][:-1].T
+        d_states[mine] += _times(back, np.ascontiguousarray(members[g][:-1].T))
     d_states = d_states.reshape(steps, lanes, hidden)
     d_next = np.zeros((lanes, hidden), flat.dtype)
     d_look = np.empty((steps, lanes, 3 * hidden), flat.dtype)
     before_all, held_all = np.empty_like(states), np.empty_like(states)
+    inner, gates = (np.ascontiguousarray(params[k].T) for k in ("fresh", "gates"))
     for t in range(steps - 1, -1, -1):
         before, update, reset, held, new = trail[t]
         before_all[t], held_all[t] = before, held
@@ -167,19 +209,20 @@ def gradients(params, inputs, fresh, state, kinds, member):
         d += d_next
         d_new = d * update
         d_next = d - d_new
-        d_new *= 1 - new * new
-        d_held = d_new @ params["fresh"].T
+        slope = 1 - np.abs(new)
+        d_new *= slope * slope
+        d_held = _times(d_new, inner)
         now = d_look[t]
-        now[:, :hidden] = d * (new - before) * update * (1 - update)
-        now[:, hidden : 2 * hidden] = d_held * before * reset * (1 - reset)
+        now[:, :hidden] = d * (new - before) * _gate_slope(update)
+        now[:, hidden : 2 * hidden] = d_held * before * _gate_slope(reset)
         now[:, 2 * hidden :] = d_new
         d_next += d_held * reset
-        d_next += now[:, : 2 * hidden] @ params["gates"].T
+        d_next += _times(np.ascontiguousarray(now[:, : 2 * hidden]), gates)
         if fresh[t].any():
             d_next *= ~fresh[t][:, None]
     d_flat = d_look.reshape(-1, 3 * hidden)
-    out["fresh"] = held_all.reshape(-1, hidden).T @ d_flat[:, 2 * hidden :]
-    out["gates"] = before_all.reshape(-1, hidden).T @ d_flat[:, : 2 * hidden]
+    out["fresh"] = _across(held_all.reshape(-1, hidden), d_flat)[:, 2 * hidden :]
+    out["gates"] = _across(before_all.reshape(-1, hidden), d_flat)[:, : 2 * hidden]
     ids = inputs.ravel()
     small = np.int16 if len(params["look"]) < 1 << 15 else np.int32
     order = np.argsort(ids.astype(small), kind="stable")
