@@ -226,3 +226,33 @@ def test_balancing_few_or_empty_files(spark, sources):
 def test_every_file_read_is_a_fact(sources):
     facts = ul.extract_facts(sources({"a.py": "f()", "b.py": "import broken(", "c.py": None}))
     assert rows(ul.files(facts)) == [("r", "a.py"), ("r", "b.py"), ("r", "c.py")]
+
+
+def test_equal_texts_are_parsed_once_and_keep_their_own_paths(monkeypatch):
+    import pyarrow as pa
+
+    from usagelens.operators import extract
+
+    parsed = []
+
+    def parse(text, **options):
+        parsed.append(text)
+        return ast_parse(text, **options)
+
+    ast_parse = ast.parse
+    monkeypatch.setattr(extract.ast, "parse", parse)
+    monkeypatch.setattr(extract, "_ROWS_PER_BATCH", 4)
+    texts = ["import a, b\na.f()\n", "import broken(", None, "b'\x00'", "def f(): pass\n"] * 3
+    files = [(f"r{i % 2}", f"d/f{i}.py", text) for i, text in enumerate(texts)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*files)], ["repo", "path", "content"])
+    given = list(extract._facts_of_batches([batch]))
+    assert sorted(parsed) == sorted({text or "" for text in texts})
+    assert max(b.num_rows for b in given) <= 4
+    one_by_one = [
+        row for i in range(len(files)) for b in extract._facts_of_batches([batch.slice(i, 1)]) for row in b.to_pylist()
+    ]
+    assert sorted(map(repr, one_by_one)) == sorted(repr(row) for b in given for row in b.to_pylist())
+    said = {row["path"]: row["message"] for b in given for row in b.to_pylist() if row["kind"] == "diagnostic"}
+    assert {p: m for p, m in said.items() if "broken" not in m and "syntax" in m} == {
+        f"d/f{i}.py": f"invalid syntax (f{i}.py, line 1)" for i in (1, 6, 11)
+    }

@@ -10,6 +10,7 @@ import sys
 import warnings
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -55,6 +56,9 @@ _FILLED = {
     "file": ("repo", "path"),
 }
 
+# Stands for the path while a text is parsed, as files with equal texts are parsed once.
+_ANY_PATH = "source.py"
+
 
 # Fields of syntax nodes that never have calls or imports below them.
 _BARE = {"arg", "asname", "attr", "ctx", "id", "kind", "level", "lineno", "module", "name", "names"}
@@ -174,43 +178,89 @@ def is_too_complex(message: Column) -> Column:
 
 
 def _facts_of_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pending = {kind: [] for kind in _FILLED}
+    """Each distinct text of a batch is parsed once; its facts are then given to all its files."""
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
         for batch in batches:
-            for repo, path, content in zip(*(batch.column(i) for i in range(3))):
-                where = (repo.as_py(), path.as_py())
-                for kind, *values in _facts_of_file(where[1], content.as_py()):
-                    rows = pending[kind]
-                    rows.append((*where, *values))
-                    if len(rows) >= _ROWS_PER_BATCH:
-                        yield _to_arrow(kind, rows)
-                        rows.clear()
-    for kind, rows in pending.items():
-        if rows:
-            yield _to_arrow(kind, rows)
-
-
-def _to_arrow(kind: str, rows: list[tuple]) -> pa.RecordBatch:
-    filled = dict(zip(_FILLED[kind], zip(*rows)))
-    filled["kind"] = [kind] * len(rows)
+            repos, paths, contents = (batch.column(i) for i in range(3))
+            coded = contents.dictionary_encode(null_encoding="encode")
+            codes = coded.indices.to_numpy()
+            order = np.argsort(codes, kind="stable")
+            found, lengths, n_rows, first = {kind: [] for kind in _FILLED}, [], 0, 0
+            for text in coded.dictionary:
+                before = {kind: len(rows) for kind, rows in found.items()}
+                for kind, *values in _facts_of_file(_ANY_PATH, text.as_py()):
+                    found[kind].append(values)
+                    n_rows += 1
+                lengths.append([len(found[kind]) - n for kind, n in before.items()])
+                if n_rows >= _ROWS_PER_BATCH:
+                    yield from _give(repos, paths, codes, order, first, lengths, found)
+                    first += len(lengths)
+                    found, lengths, n_rows = {kind: [] for kind in _FILLED}, [], 0
+            if lengths:
+                yield from _give(repos, paths, codes, order, first, lengths, found)
+
+
+def _give(
+    repos: pa.Array,
+    paths: pa.Array,
+    codes: np.ndarray,
+    order: np.ndarray,
+    first: int,
+    lengths: list[list[int]],
+    found: dict[str, list[list]],
+) -> Iterator[pa.RecordBatch]:
+    """The facts ``found`` in texts from the code ``first`` on, once for each file of a text.
+
+    ``lengths`` has the number of facts of each kind by text; ``order`` lists the files by code.
+    """
+    ends = np.searchsorted(codes, [first, first + len(lengths)], sorter=order)
+    files = order[ends[0] : ends[1]]
+    texts = codes[files] - first
+    for (kind, values), n_of_text in zip(found.items(), np.array(lengths).T):
+        columns = {
+            name: pa.array(column, _FACTS_ARROW.field(name).type) if name != "message" else column
+            for name, column in zip(_FILLED[kind][2:], zip(*values))
+        }
+        begin = np.cumsum(n_of_text) - n_of_text
+        n = n_of_text[texts]
+        end = np.cumsum(n)
+        total = int(end[-1]) if len(end) else 0
+        for start in range(0, total, _ROWS_PER_BATCH):
+            rows = np.arange(start, min(start + _ROWS_PER_BATCH, total))
+            file = np.searchsorted(end, rows, side="right")
+            fact = begin[texts[file]] + rows - (end[file] - n[file])
+            path = paths.take(pa.array(files[file]))
+            filled = {"repo": repos.take(pa.array(files[file])), "path": path}
+            for name, column in columns.items():
+                if name == "message":
+                    said = [_said(column[i], p) for i, p in zip(fact.tolist(), path.to_pylist())]
+                    filled[name] = pa.array(said, pa.string())
+                else:
+                    filled[name] = column.take(pa.array(fact))
+            yield _to_arrow(kind, filled, len(rows))
+
+
+def _to_arrow(kind: str, filled: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+    filled["kind"] = pa.repeat(pa.scalar(kind, _FACTS_ARROW.field("kind").type), n)
     arrays = [
-        pa.array(filled[field.name], type=field.type)
-        if field.name in filled
-        else pa.nulls(len(rows), field.type)
+        filled[field.name].cast(field.type) if field.name in filled else pa.nulls(n, field.type)
         for field in _FACTS_ARROW
     ]
     return pa.RecordBatch.from_arrays(arrays, schema=_FACTS_ARROW)
 
 
 def _facts_of_file(path: str, content: str | bytes | None) -> Iterator[tuple]:
-    """Tuples of a kind and the values of its columns after repo and path."""
+    """Tuples of a kind and the values of its columns after repo and path.
+
+    The message of a syntax error is the error itself, as its text names the file.
+    """
     yield ("file",)
     try:
         text = content.decode("utf-8") if isinstance(content, bytes) else content or ""
         tree = ast.parse(text, filename=path)
     except SyntaxError as error:
-        yield "diagnostic", error.lineno or 0, error.offset or 0, _plain(str(error))
+        yield "diagnostic", error.lineno or 0, error.offset or 0, error.with_traceback(None)
         return
     except (ValueError, RecursionError) as error:  # undecodable, null bytes, nested too deeply
         yield "diagnostic", 0, 0, _plain(_OTHER_FAILURE + str(error))
@@ -251,6 +301,15 @@ def _facts_of_file(path: str, content: str | bytes | None) -> Iterator[tuple]:
             seq += 1
 
 
+def _said(message: str | SyntaxError, path: str) -> str:
+    """A diagnostic's text for the file at ``path``."""
+    if isinstance(message, str):
+        return message
+    if message.filename is not None:
+        message.filename = path
+    return _plain(str(message))
+
+
 def _plain(message: str) -> str:
     # A message may quote unpaired surrogates from the file, which Arrow text cannot hold.
     return message.encode("utf-8", "replace").decode("utf-8")
