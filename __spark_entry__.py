@@ -67,6 +67,7 @@ else:
 Query = Callable[[SparkSession, str], DataFrame]
 
 SCAN_TIME = datetime.datetime(2024, 2, 1, tzinfo=datetime.timezone.utc)
+FILES_PER_TASK = 100_000
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
@@ -112,11 +113,18 @@ def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sources(spark, sf_dir).select("repo", "path")
 
 
-def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Spread the events before their code is made, so that no text is shuffled.
+def _wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that code is made of, spread before it is made, so that no text is shuffled.
+
+    There are more tasks for more events, so that what a task holds does not grow with them.
+    """
     events = corpus.read_events(spark, sf_dir).select("event_id", "event_type", "user_id", "props")
-    tasks = spark.sparkContext.defaultParallelism
-    return ul.extract_facts(corpus.code_sources(ul.widen(events, tasks)))
+    tasks = -(-events.count() // FILES_PER_TASK)  # told by the file's footer
+    return ul.widen(events, max(spark.sparkContext.defaultParallelism, tasks))
+
+
+def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ul.extract_facts(corpus.code_sources(_wide_events(spark, sf_dir)))
 
 
 def _stored_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1031,8 +1039,7 @@ def scan_summary(spark, sf_dir):
 
 @_query(_ORACLES["scan_summary"])
 def scan_job(spark, sf_dir):
-    events = corpus.read_events(spark, sf_dir)
-    sources = corpus.code_sources(ul.widen(events, spark.sparkContext.defaultParallelism))
+    sources = corpus.code_sources(_wide_events(spark, sf_dir))
     return run_scan_job(sources, scratch_path(spark, "scan"), scan_time=SCAN_TIME).summary
 
 
@@ -1043,7 +1050,7 @@ def incremental_scan(spark, sf_dir):
     The module that ``purchase`` files import is among the missing, so their calls change too.
     """
     path = scratch_path(spark, "incremental")
-    now = _sources(spark, sf_dir)
+    now = corpus.code_sources(_wide_events(spark, sf_dir))
     name = F.substring_index("path", "/", -1)
     gone = (F.col("path") == "helpers.py") | name.endswith("7.py")
     other = F.when(name.endswith("3.py"), F.lit("import os\nos.getcwd()\n")).otherwise(F.col("content"))
@@ -1070,9 +1077,8 @@ t AS (
 
 
 def _tangled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    events = corpus.read_events(spark, sf_dir).select("event_id", "event_type", "user_id", "props")
-    wide = ul.widen(events, spark.sparkContext.defaultParallelism)
-    facts = store(ul.extract_facts(corpus.tangled_sources(wide)), "tangled", ["kind"])
+    sources = corpus.tangled_sources(_wide_events(spark, sf_dir))
+    facts = store(ul.extract_facts(sources), "tangled", ["kind"])
     return facts, ul.files(facts)
 
 

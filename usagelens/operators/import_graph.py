@@ -11,20 +11,24 @@ def module_index(files: DataFrame) -> DataFrame:
     """The file each importable module of a repo lives in: repo, module, file.
 
     ``a/b.py`` wins over ``a/b/__init__.py``. Modules are looked up from the repo root only.
-    ``files`` needs repo and path, so over a source table the text is never read.
+    ``files`` needs repo and path, so over a source table the text is never read. As no such path
+    has other dots, a module and its rank tell the file, so files are hashed and not sorted.
     """
     path = F.col("path")
     candidates = F.array(
         F.struct(module_name(path).alias("module"), F.lit(1).alias("rank")),
         F.struct(package_name(path).alias("module"), F.lit(2).alias("rank")),
     )
-    return (
+    ranked = (
         files.filter(resolvable(path))
-        .select("repo", F.col("path").alias("file"), F.inline(candidates))
+        .select("repo", F.inline(candidates))
         .filter(F.col("module").isNotNull())
         .groupBy("repo", "module")
-        .agg(F.min_by("file", "rank").alias("file"))
+        .agg(F.min("rank").alias("rank"))
     )
+    end = F.when(F.col("rank") == 1, ".py").otherwise("/__init__.py")
+    file = F.concat(F.replace("module", F.lit("."), F.lit("/")), end)
+    return ranked.select("repo", "module", file.alias("file"))
 
 
 def import_edges(facts: DataFrame, files: DataFrame) -> DataFrame:
