@@ -489,7 +489,8 @@ def _message_stream(spark: SparkSession, sf_dir: str, later: str = "0 days") ->
     schema = corpus.read_events(spark, sf_dir).schema
     # A glob, as a stream source must not be the path of a single file.
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
-    usage = corpus.usage_events(events)
+    events = events.select("ts", "user_id", "event_type", "props")
+    usage = corpus.usage_events(ul.widen(events, 2 * spark.sparkContext.defaultParallelism))
     return ul.to_messages(
         usage.select(
             "repo",

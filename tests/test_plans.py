@@ -106,3 +106,11 @@ def test_small_list_is_broadcast_and_large_one_is_not(spark, tmp_path):
         assert "SortMergeJoin" in plan(ul.deprecated_usage(usage, listed))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_messages_are_read_once(spark):
+    """A filter on the time does not read the JSON again."""
+    messages = spark.createDataFrame([('{"repo": "r", "event_time": "2024-01-01T00:00:00Z"}',), ("no",)], "value string")
+    for found in (ul.monthly_usage(ul.parse_events(messages)), ul.parse_events(messages).filter("event_time > '2020-01-01'")):
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert [r.asDict()["repo"] for r in ul.parse_events(messages).collect()] == ["r", None]

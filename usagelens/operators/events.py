@@ -52,7 +52,9 @@ def parse_events(messages: DataFrame, with_id: bool = False) -> DataFrame:
     ``with_id`` adds ``event_id``, null where a producer gives none.
     """
     message = F.from_json(F.col("value").cast("string"), EVENT_MESSAGE)
-    event = messages.select(message.alias("_event")).select("_event.*")
+    # Rows of an array: a filter on the event's time would be moved below a plain column and read
+    # the JSON again, once for each field it asks for.
+    event = messages.select(F.inline(F.array(message)))
     return event.select(
         F.coalesce("repo", "repo_name").alias("repo"),
         F.coalesce("file", "file_path").alias("file"),
