@@ -114,3 +114,26 @@ def test_messages_are_read_once(spark):
     for found in (ul.monthly_usage(ul.parse_events(messages)), ul.parse_events(messages).filter("event_time > '2020-01-01'")):
         assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
     assert [r.asDict()["repo"] for r in ul.parse_events(messages).collect()] == ["r", None]
+
+
+def test_tasks_that_make_files_grow_with_the_events(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(entry, "FILES_PER_TASK", 10)
+    folder = "/root/testdata/sf0.001"
+    n = entry.corpus.read_events(spark, folder).count()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n // 10))
+    assert entry._wide_events(spark, folder).rdd.getNumPartitions() == tasks
+
+
+def test_stream_rows_are_spread_before_messages_are_made(spark):
+    import __spark_entry__ as entry
+
+    messages = entry._message_stream(spark, "/root/testdata/sf0.001")
+    text = messages._jdf.queryExecution().analyzed().toString()
+    assert text.index("to_json") < text.index("Repartition")
+
+
+def test_module_index_is_hashed(stored):
+    sources, _ = stored
+    assert "SortAggregate" not in plan(ul.module_index(sources))
