@@ -4,6 +4,7 @@ import uuid
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.conftest import rows
@@ -77,6 +78,59 @@ def test_state_is_carried_across_windows(params):
     assert np.allclose(np.concatenate(parts), whole, atol=1e-6)
 
 
+def test_sliced_products_and_sums_equal_plain_ones():
+    draw = np.random.default_rng(5)
+    rows_, weights = draw.normal(0, 1, (1000, 33)), draw.normal(0, 1, (2, 33, 97))
+    assert np.allclose(recurrent._times(rows_, weights), rows_ @ weights)
+    assert np.allclose(recurrent._times(rows_[:9], weights[0]), rows_[:9] @ weights[0])
+    assert np.allclose(recurrent._across(rows_, rows_[:, :20]), rows_.T @ rows_[:, :20])
+    ids = np.minimum(draw.zipf(1.3, 1000) - 1, 299)  # of some ids more than 16 rows, of some one
+    expect = np.zeros((300, 33))
+    np.add.at(expect, ids, rows_)
+    assert np.allclose(recurrent._sums(rows_, ids, 300), expect)
+
+
+def test_codes_of_texts():
+    vocabulary = lm.Vocabulary([(w, 1) for w in (b"and", "ß".encode(), b"zoo", b"\0")])
+    spaces = "".join(map(chr, range(1, 256)))  # only space and tab to carriage return divide
+    texts = ["And zoo\vzo\u00a0and", None, "", " \r\n ", "zoo", "ß \0\u0085 \0 É é", spaces]
+    rank = {w: i for i, w in enumerate(vocabulary.rank)}
+    plain = [[w.lower() for w in words(t)] for t in texts]
+    filled = pa.array(["left out", *texts]).slice(1).fill_null("")
+    codes, lengths, rare = vocabulary.codes(filled)
+    expect = [[*(rank.get(w, -1 - vocabulary.other(w)) for w in t), lm._END] for t in plain]
+    assert codes.tolist() == sum(expect, [])
+    assert lengths.tolist() == list(map(len, expect))
+    assert rare.to_pylist() == [w for t in plain for w in t if w not in rank]
+
+
+def test_long_text_does_not_hold_others_to_few_lanes(params, monkeypatch):
+    """One text of 20,000 tokens and 2,000 of 100: most tokens are worked on by many lanes."""
+    monkeypatch.setattr(lm, "MEMBERS", 12)
+    monkeypatch.setattr(lm, "GROUPS", 4)
+    run, worked = recurrent.run, []
+
+    def noting(params, inputs, *rest, **more):
+        worked.append(inputs.shape)
+        return run(params, inputs, *rest, **more)
+
+    monkeypatch.setattr(recurrent, "run", noting)
+    lengths = np.array([100] * 1000 + [20_000] + [100] * 1000)
+    stream = np.random.default_rng(6).integers(0, 14, lengths.sum()).astype(np.int32)
+    stream[np.cumsum(lengths) - 1] = 14
+    own, unknown = lm._logs(params, stream, lengths, 14)
+    assert sum(steps * lanes for steps, lanes in worked if lanes >= 200) >= 190_000
+    assert sum(steps * lanes for steps, lanes in worked) <= 1.2 * len(stream)
+    for first, last in ((0, 100), (100_000, 120_000), (219_900, 220_000)):
+        text = stream[first:last]
+        before = np.append(14, text[:-1])[:, None]
+        states, _ = run(params, before, before == 14, np.zeros((1, 5), np.float32))
+        member = np.where(text < 12, text, -1)
+        alone = recurrent.log_chances(params, states[:, 0], lm._kinds(text), member)
+        assert np.allclose(own[first:last], alone[0], atol=1e-4)
+        assert np.allclose(unknown[first:last], alone[1], atol=1e-4)
+
+
 def tokens(text):
     return [w.lower() for w in words(text)] + [None]
 

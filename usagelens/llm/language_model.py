@@ -7,19 +7,18 @@ words sum to one, however many there are.
 """
 
 import heapq
-import itertools
 import math
-from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm import recurrent
 from usagelens.llm.rows import keyed
-from usagelens.llm.words import pieces, spans, utf8, word_hashes, word_lists
+from usagelens.llm.words import pieces, utf8
 from usagelens.storage import store
 
 HEAD = 1 << 17
@@ -33,51 +32,40 @@ _END = 1 << 30
 _TOKENS = 1 << 21
 
 
-def _lower(data: np.ndarray) -> np.ndarray:
-    return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+def _pieces(batches, names: list[str] = ()):
+    """Texts of a few megabytes, nulls as empty, and columns ``names`` of their rows."""
+    for batch in batches:
+        for first, last in pieces(utf8(batch["text"])[1]):
+            texts, *rest = (batch[n].slice(first, last - first) for n in ["text", *names])
+            yield texts.fill_null(""), rest
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts one after another, with A to Z as lower case, and how many each text has."""
+    listed = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = listed.flatten()
+    real = np.asarray(pc.not_equal(pc.binary_length(words), 0))
+    before = np.concatenate([[0], np.cumsum(real)])
+    count = np.diff(before[np.asarray(listed.offsets) - listed.offsets[0].as_py()])
+    return words.filter(pa.array(real)).cast(pa.binary()), count
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """``word, n``: how often each word occurs in ``text``, with A to Z as lower case.
 
-    Words are told apart by a hash within a piece of text, checked by a second one; only one row
-    per distinct word of a piece leaves it.
+    Only one row per distinct word of a piece of text leaves it.
     """
 
     def run(batches):
-        for batch in batches:
-            data, offsets = utf8(batch["text"])
-            for first, last in pieces(offsets):
-                own = _lower(data[offsets[first] : offsets[last]])
-                starts, ends, _ = spans(own, offsets[first : last + 1] - offsets[first])
-                if not len(starts):
-                    continue
-                names, check = (word_hashes(own, starts, ends, w) for w in (0, 1))
-                _, at, place, count = np.unique(
-                    names, return_index=True, return_inverse=True, return_counts=True
-                )
-                raw = own.tobytes()
-                if (check[at][place] == check).all():
-                    words = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-                    counts = count.tolist()
-                else:  # two words with one hash: count the words themselves
-                    every = Counter(raw[a:b] for a, b in zip(starts.tolist(), ends.tolist()))
-                    words, counts = list(every), list(every.values())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(words, pa.binary()), pa.array(counts, pa.int64())], ["word", "n"]
-                )
+        for piece, _ in _pieces(batches):
+            counts = pc.value_counts(_words(piece)[0])
+            if len(counts):
+                yield pa.RecordBatch.from_arrays(counts.flatten(), ["word", "n"])
 
     counted = texts.select("text").mapInArrow(run, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class _Ranks(dict):
-    """Ranks of words; of others, the number of their class as -1 and below."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1 - Vocabulary.other(word)
-
-
 class Vocabulary:
     """Codes of words: the rank of those among the head, else a negative number for the class.
 
@@ -86,20 +74,43 @@ class Vocabulary:
     """
 
     def __init__(self, head: list[tuple[bytes, int]]):
-        self.rank = _Ranks({w: i for i, (w, _) in enumerate(head)})
+        self.words = pa.array([w for w, _ in head], pa.binary())
         self.counts = np.array([n for _, n in head], np.int64)
         self.end = MEMBERS + OTHERS
-        self.others = np.array([self.other(w) for w, _ in head], np.int16)
+        self.others = self._others(self.words)
+
+    @property
+    def rank(self) -> dict[bytes, int]:
+        return {w: i for i, w in enumerate(self.words.to_pylist())}
 
     @staticmethod
     def other(word: bytes) -> int:
         return int.from_bytes(word[:_PREFIX]) % OTHERS
 
-    def codes(self, text: bytes) -> np.ndarray:
-        """Codes of the words of a lower-case text, and of its end."""
-        get = self.rank.__getitem__
-        parts = [np.fromiter(map(get, w), np.int32, len(w)) for w in word_lists(text)]
-        return np.concatenate([*parts, np.full(1, _END, np.int32)])
+    @staticmethod
+    def _others(words: pa.Array) -> np.ndarray:
+        """The class of each word, as ``other`` tells it."""
+        data, offsets = utf8(words)
+        out = np.zeros(len(words), np.int32)
+        for k in range(_PREFIX):
+            at = np.flatnonzero(np.diff(offsets) > k)
+            out[at] = out[at] * 256 + data[offsets[at] + k]
+        return out % OTHERS
+
+    def codes(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Codes of the words of texts, each followed by its end, how many each text has, and the
+        words outside the head."""
+        words, count = _words(texts)
+        found = np.array(pc.index_in(words, value_set=self.words).fill_null(-1))
+        absent = np.flatnonzero(found < 0)
+        rare = words.take(pa.array(absent))
+        found[absent] = -1 - self._others(rare)
+        ends = np.cumsum(count + 1) - 1
+        inside = np.ones(len(found) + len(count), bool)
+        inside[ends] = False
+        out = np.full(len(inside), _END, np.int32)
+        out[inside] = found
+        return out, count + 1, rare
 
     def numbers(self, codes: np.ndarray) -> np.ndarray:
         """Codes as numbers of inputs."""
@@ -116,17 +127,6 @@ def _kinds(ids: np.ndarray) -> np.ndarray:
     return np.where(ids < MEMBERS, ids // size, ids - MEMBERS + GROUPS)
 
 
-def _lower_texts(batches, names: list[str] = ()):
-    """Pieces of a few megabytes: lower-case texts, and columns ``names`` of their rows."""
-    for batch in batches:
-        data, offsets = utf8(batch["text"])
-        for first, last in pieces(offsets):
-            raw = data[offsets[first] : offsets[last]].tobytes().lower()
-            cuts = (offsets[first : last + 1] - offsets[first]).tolist()
-            texts = [raw[a:b] for a, b in itertools.pairwise(cuts)]
-            yield texts, [batch[n].slice(first, last - first) for n in names]
-
-
 def _train(model, vocabulary, unknown: float, lanes: int, window: int, rate: float):
     """A task's part of a round: the parameters after its texts, in blocks, and its tokens.
 
@@ -140,8 +140,8 @@ def _train(model, vocabulary, unknown: float, lanes: int, window: int, rate: flo
         unknown_kind = len(params["class_odds"]) - 1
         draw = np.random.default_rng(11)
         tokens = 0
-        for texts, _ in _lower_texts(batches):
-            codes = np.concatenate([words.codes(t) for t in texts])
+        for texts, _ in _pieces(batches):
+            codes, _, _ = words.codes(texts)
             unseen = (codes < 0) & (draw.random(len(codes), np.float32) < unknown)
             stream = words.numbers(codes)
             own = min(lanes, max(1, len(stream) // window))
@@ -190,9 +190,9 @@ def _mean(table: pa.Table) -> pa.Table:
     )
 
 
-def _deal(lengths: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, int]:
+def _deal(lengths: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Texts dealt to lanes, the longest first, each to the lane with least so far: for each its
-    lane and its place there, and the longest lane."""
+    lane and its place there, and the lanes' lengths, the longest lane first."""
     heap = [(0, lane) for lane in range(lanes)]
     lane_of, place = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     sizes = lengths.tolist()
@@ -200,38 +200,41 @@ def _deal(lengths: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, int]
         at, lane = heapq.heappop(heap)
         lane_of[i], place[i] = lane, at
         heapq.heappush(heap, (at + sizes[i], lane))
-    return lane_of, place, max(heap)[0]
+    heap.sort(reverse=True)
+    number = np.empty(lanes, np.int64)
+    number[[lane for _, lane in heap]] = np.arange(lanes)
+    return number[lane_of], place, np.array([size for size, _ in heap])
 
 
 def _logs(params: recurrent.Params, stream: np.ndarray, lengths: np.ndarray, end: int):
     """For each token of texts one after another, numbered as inputs, the logs of its probability,
-    up to that of the word within its class, and of the unknown's, each text from its own start."""
-    lanes = int(max(1, min(1024, lengths.sum() // max(lengths.max(), 256))))
-    lane, place, steps = _deal(lengths, lanes)
-    before = np.cumsum(lengths) - lengths
-    at = np.repeat(place * lanes + lane - before * lanes, lengths) + np.arange(len(stream)) * lanes
-    dealt = np.full(steps * lanes, -1, np.int32)
+    up to that of the word within its class, and of the unknown's, each text from its own start.
+
+    The longest lanes come first, so those with tokens left are always the first ones, and a few
+    long texts do not hold the others to as few lanes.
+    """
+    lane, place, sizes = _deal(lengths, int(max(1, min(1024, len(lengths), lengths.sum() // 256))))
+    starts = np.cumsum(sizes) - sizes
+    at = np.repeat(starts[lane] + place - np.cumsum(lengths) + lengths, lengths) + np.arange(len(stream))
+    dealt = np.empty_like(stream)
     dealt[at] = stream
-    dealt = dealt.reshape(steps, lanes)
-    own, unknown = (np.zeros((steps, lanes), np.float32) for _ in range(2))
-    state = np.zeros((lanes, params["fresh"].shape[0]), np.float32)
-    last = np.full((1, lanes), end, np.int32)
-    window = max(1, 16384 // lanes)
-    for t in range(0, steps, window):
-        target = dealt[t : t + window]
-        now = np.vstack([last, target[:-1]])
-        now[now < 0] = end
-        last = target[-1:]
-        states, _ = recurrent.run(params, now, now == end, state, back=False)
-        state = states[-1]
-        known = target >= 0
-        flat, target = states[known], target[known]
+    own, unknown = (np.empty(len(stream), np.float32) for _ in range(2))
+    state = np.zeros((len(sizes), params["fresh"].shape[0]), np.float32)
+    last = np.full((1, len(sizes)), end, stream.dtype)
+    t = 0
+    while t < sizes[0]:
+        lanes = int(np.searchsorted(-sizes, -t))
+        step = np.arange(t, t + min(512, max(1, 16384 // lanes)))[:, None]
+        known = step < sizes[:lanes]
+        from_lane = np.minimum(starts[:lanes] + step, len(stream) - 1)
+        target = np.where(known, dealt[from_lane], end)
+        now = np.vstack([last[:, :lanes], target[:-1]])
+        states, _ = recurrent.run(params, now, now == end, state[:lanes], back=False)
+        last, state, t = target[-1:], states[-1], t + len(step)
+        flat, target, here = states[known], target[known], from_lane[known]
         member = np.where(target < MEMBERS, target, -1)
-        part = slice(t, t + window)
-        own[part][known], unknown[part][known] = recurrent.log_chances(
-            params, flat, _kinds(target), member
-        )
-    return own.ravel()[at], unknown.ravel()[at]
+        own[here], unknown[here] = recurrent.log_chances(params, flat, _kinds(target), member)
+    return own[at], unknown[at]
 
 
 def _score(model, vocabulary, sums, total: float):
@@ -242,11 +245,10 @@ def _score(model, vocabulary, sums, total: float):
     are kept as such, one for each time.
     """
 
-    def scored(codes, tail, ids, serial):
+    def scored(codes, lengths, tail, ids, serial):
         params, words = model.value, vocabulary.value
         share = np.append(np.log10(words.counts + 0.5), 0.0)
-        lengths = np.fromiter(map(len, codes), np.int64, len(codes))
-        codes = np.concatenate(codes)
+        codes, lengths = np.concatenate(codes), np.concatenate(lengths)
         own, unknown = _logs(params, words.numbers(codes), lengths, words.end)
         own, unknown = own.astype(float) / math.log(10), unknown.astype(float) / math.log(10)
         begin = np.cumsum(lengths) - lengths
@@ -261,14 +263,14 @@ def _score(model, vocabulary, sums, total: float):
         mine[at_tail] = 0
         score = np.add.reduceat(mine, begin)
 
-        number: dict[bytes, int] = defaultdict(itertools.count().__next__)
-        named = np.fromiter(map(number.__getitem__, tail), np.int64, len(tail))
-        key = text[at_tail] * max(len(number), 1) + named
+        tail = pa.concat_arrays(tail).dictionary_encode()
+        named = np.asarray(tail.indices).astype(np.int64)
+        key = text[at_tail] * max(len(tail.dictionary), 1) + named
         _, first, place = np.unique(key, return_index=True, return_inverse=True)
         lists = np.concatenate([[0], np.cumsum(np.bincount(text[at_tail[first]], minlength=len(lengths)))])
         own_tail = own[at_tail] - sums[-1 - codes[at_tail]]
         fields = [
-            pa.array([tail[i] for i in first.tolist()], pa.binary()),
+            tail.dictionary.take(pa.array(named[first])),
             pa.array(np.bincount(place, minlength=len(first))),
             pa.array(np.bincount(place, own_tail, len(first))),
             pa.array(np.bincount(place, unknown[at_tail], len(first))),
@@ -290,23 +292,17 @@ def _score(model, vocabulary, sums, total: float):
     def run(batches):
         words = vocabulary.value
         serial = TaskContext.get().partitionId() << 40
-        codes, tail, ids, size = [], [], [], 0
-        for texts, (own_ids,) in _lower_texts(batches, ["id"]):
-            for raw in texts:
-                found = words.codes(raw)
-                codes.append(found)
-                rare, at = found < 0, 0
-                for part in word_lists(raw) if rare.any() else ():
-                    tail += itertools.compress(part, rare[at : at + len(part)].tolist())
-                    at += len(part)
-                size += len(found)
-            ids.append(own_ids)
+        held, size = ([], [], [], []), 0
+        for texts, (ids,) in _pieces(batches, ["id"]):
+            for own, more in zip(held, (*words.codes(texts), ids)):
+                own.append(more)
+            size += len(held[0][-1])
             if size > _TOKENS:
-                yield scored(codes, tail, ids, serial)
-                serial += len(codes)
-                codes, tail, ids, size = [], [], [], 0
-        if codes:
-            yield scored(codes, tail, ids, serial)
+                yield scored(*held, serial)
+                serial += sum(map(len, held[3]))
+                held, size = ([], [], [], []), 0
+        if size:
+            yield scored(*held, serial)
 
     return run
 
