@@ -30,6 +30,7 @@ _SHARES = 1 << 20
 _BLOCK = 1 << 14
 _END = 1 << 30
 _TOKENS = 1 << 21
+_COUNTS = 1 << 20
 
 
 def _pieces(batches, names: list[str] = ()):
@@ -53,14 +54,25 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def count_words(texts: DataFrame) -> DataFrame:
     """``word, n``: how often each word occurs in ``text``, with A to Z as lower case.
 
-    Only one row per distinct word of a piece of text leaves it.
+    Only one row per distinct word leaves some pieces of text, as many as have ``_COUNTS`` rows.
     """
 
+    def added(parts):
+        sums = pa.table(list(map(pa.chunked_array, zip(*parts))), ["word", "n"])
+        sums = sums.group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return sums.rename_columns({"n_sum": "n"}).to_batches()
+
     def run(batches):
+        parts, size = [], 0
         for piece, _ in _pieces(batches):
             counts = pc.value_counts(_words(piece)[0])
-            if len(counts):
-                yield pa.RecordBatch.from_arrays(counts.flatten(), ["word", "n"])
+            parts.append(counts.flatten())
+            size += len(counts)
+            if size > _COUNTS:
+                yield from added(parts)
+                parts, size = [], 0
+        if size:
+            yield from added(parts)
 
     counted = texts.select("text").mapInArrow(run, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -221,7 +233,7 @@ def _logs(params: recurrent.Params, stream: np.ndarray, lengths: np.ndarray, end
     own, unknown = (np.empty(len(stream), np.float32) for _ in range(2))
     state = np.zeros((len(sizes), params["fresh"].shape[0]), np.float32)
     last = np.full((1, len(sizes)), end, stream.dtype)
-    t = 0
+    t, held = 0, []
     while t < sizes[0]:
         lanes = int(np.searchsorted(-sizes, -t))
         step = np.arange(t, t + min(512, max(1, 16384 // lanes)))[:, None]
@@ -231,8 +243,11 @@ def _logs(params: recurrent.Params, stream: np.ndarray, lengths: np.ndarray, end
         now = np.vstack([last[:, :lanes], target[:-1]])
         states, _ = recurrent.run(params, now, now == end, state[:lanes], back=False)
         last, state, t = target[-1:], states[-1], t + len(step)
-        flat, target, here = states[known], target[known], from_lane[known]
-        member = np.where(target < MEMBERS, target, -1)
+        held.append((states[known], target[known], from_lane[known]))
+        if t < sizes[0] and sum(len(part) for _, part, _ in held) < 16384:
+            continue
+        flat, target, here = map(np.concatenate, zip(*held))
+        member, held = np.where(target < MEMBERS, target, -1), []
         own[here], unknown[here] = recurrent.log_chances(params, flat, _kinds(target), member)
     return own[at], unknown[at]
 

@@ -100,7 +100,8 @@ def run(params: Params, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray
     """
     hidden = state.shape[1]
     gates, inner = _apart(params["gates"], hidden), params["fresh"]
-    looked = np.take(_apart(params["look"], hidden), inputs, axis=1)
+    parts = inputs * 3 + np.arange(3)[:, None, None]
+    looked = np.take(params["look"].reshape(-1, hidden), parts, axis=0)
     states = np.empty((len(inputs), *state.shape), looked.dtype)
     any_fresh = fresh.any(1).tolist()
     trail = []
@@ -226,17 +227,19 @@ def _gate_slope(gate: np.ndarray) -> np.ndarray:
 def _sums(rows: np.ndarray, ids: np.ndarray, count: int) -> np.ndarray:
     """Sums of the rows of each of ``count`` ids: many rows of one id at once, of few rows the
     first of each id, then the second of each, and so on."""
-    out = np.zeros((count, rows.shape[1]), rows.dtype)
     order = np.argsort(ids.astype(np.int16 if count < 1 << 15 else np.int32), kind="stable")
-    edges = np.flatnonzero(np.diff(ids[order], prepend=-1))
+    ids, rows = ids[order], rows[order]
+    edges = np.flatnonzero(np.diff(ids, prepend=-1))
     size = np.diff(edges, append=len(order))
-    own = ids[order[edges]]
+    sums = rows[edges]
     for i in np.flatnonzero(size > 16).tolist():
-        out[own[i]] = rows[order[edges[i] : edges[i] + size[i]]].sum(0)
+        np.add.reduce(rows[edges[i] : edges[i] + size[i]], 0, out=sums[i])
     few = np.flatnonzero(size <= 16)
-    for k in range(16):
+    for k in range(1, 16):
         few = few[size[few] > k]
-        out[own[few]] += rows[order[edges[few] + k]]
+        sums[few] += rows[edges[few] + k]
+    out = np.zeros((count, rows.shape[1]), rows.dtype)
+    out[ids[edges]] = sums
     return out
 
 
