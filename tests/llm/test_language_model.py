@@ -189,6 +189,15 @@ def test_word_counts(documents):
     assert lm.Vocabulary.other(b"a") == 0x61 % lm.OTHERS
 
 
+def test_word_counts_of_several_pieces(documents, monkeypatch):
+    """Counts are added up in a task, and leave it whenever there are more than ``_COUNTS``."""
+    monkeypatch.setattr(lm, "_COUNTS", 100)
+    data = [(i, text) for i, (_, text) in enumerate(two_tongues(40))] + [(99, "x1 Y2 " * 900_000)]
+    found = lm.count_words(documents(data).coalesce(1))
+    expect = Counter(t for _, text in data for t in tokens(text) if t is not None)
+    assert {bytes(r.word): r.n for r in found.collect()} == expect
+
+
 def test_every_training_document_trains_by_default(documents, monkeypatch, tmp_path):
     """Each task notes the texts it trains on; the rounds together see each once."""
     train = lm._train
